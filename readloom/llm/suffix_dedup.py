@@ -28,6 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom.llm.chunks import batch_of, by_bucket, pack, rows_of, unpack
 from readloom.llm.common import materialize, ship, table
 
 #: A difference cover of the residues modulo 91; every difference occurs, by ten marked residues.
@@ -78,7 +79,7 @@ class _Chunk:
     def __init__(self, chunk_id: int, sizes: list[int], packed: bytes, length: int) -> None:
         self.size = np.array(sizes, np.int64)
         self.begin = np.cumsum(self.size) - self.size
-        self.raw = zstandard.ZstdDecompressor().decompress(packed, max_output_size=int(self.size.sum()) + 1)
+        self.raw = unpack(sizes, packed)
         self.data = np.frombuffer(self.raw, np.uint8)
         self.rolling = _Rolling(self.data)
         out = []
@@ -101,48 +102,8 @@ class _Chunk:
         return np.maximum(self.low[at], self.marks[at] - PERIOD + 1), np.minimum(self.high[at], self.marks[at] + length)
 
 
-def _pack(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    ids, texts, size, serial = [], [], 0, TaskContext.get().partitionId() << 32
-    press = zstandard.ZstdCompressor(3)
-
-    def flush() -> pa.RecordBatch:
-        nonlocal ids, texts, size, serial
-        cols = [
-            pa.array([serial]),
-            pa.array([ids], pa.list_(pa.int64())),
-            pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-            pa.array([press.compress(b"".join(texts))], pa.binary()),
-        ]
-        ids, texts, size, serial = [], [], 0, serial + 1
-        return pa.RecordBatch.from_arrays(cols, names=["chunk_id", "ids", "sizes", "packed"])
-
-    for b in batches:
-        for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            text = t.as_py() or b""
-            if texts and size + len(text) > chunk_bytes:
-                yield flush()
-            ids.append(i)
-            texts.append(text)
-            size += len(text)
-    if texts:
-        yield flush()
-
-
-def _by_bucket(names: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, positions of its names in order of the name)."""
-    order = np.argsort(names)
-    bucket = (names[order] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(names), np.int64)
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-    ends = np.r_[cuts[1:], len(bucket)] if len(bucket) else []
-    for a, b in zip(cuts, ends, strict=True):
-        yield int(bucket[a]), order[a:b]
-
-
 def _chunks(batch: pa.RecordBatch, length: int) -> Iterator[tuple[dict, _Chunk]]:
-    for row in range(batch.num_rows):
-        x = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
+    for x in rows_of(batch):
         yield x, _Chunk(x["chunk_id"], x["sizes"], x["packed"], length)
 
 
@@ -154,11 +115,11 @@ def _sample_names(bits: int, length: int):
         for batch in batches:
             for x, c in _chunks(batch, length):
                 rows = []
-                for bucket, at in _by_bucket(c.names, bits):
+                for bucket, at in by_bucket(c.names, bits):
                     rest = (c.names[at] << np.uint64(bits)) >> np.uint64(24)
                     rows.append((bucket, x["chunk_id"], rest.astype("<u4").tobytes(), (rest >> np.uint64(32)).astype(np.uint8).tobytes()))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
+                    yield batch_of(rows, schema)
 
     return run, "bucket long, chunk_id long, low binary, high binary"
 
@@ -186,7 +147,7 @@ def _repeated_names(t: pa.Table) -> pa.Table:
 def _hit_marks(c: _Chunk, found: list[dict] | None, bits: int) -> np.ndarray:
     """Marks of the chunk whose names are repeated."""
     places = {f["bucket"]: np.frombuffer(f["hits"], "<u4") for f in found or []}
-    out = [at[places[bucket]] for bucket, at in _by_bucket(c.names, bits) if bucket in places]
+    out = [at[places[bucket]] for bucket, at in by_bucket(c.names, bits) if bucket in places]
     return np.sort(np.concatenate(out)) if out else np.empty(0, np.int64)
 
 
@@ -201,9 +162,9 @@ def _ties(bits: int, length: int):
                 start, end = c.around(hit, length)
                 # Cut surroundings differ from whole ones, and from those cut elsewhere.
                 whole = _mix(c.rolling.at(start, end) + ((c.marks[hit] - start) * 1024 + (end - start)).astype(np.uint64))
-                rows = [(b, x["chunk_id"], c.names[hit[at]].tobytes(), whole[at].tobytes()) for b, at in _by_bucket(c.names[hit], bits)]
+                rows = [(b, x["chunk_id"], c.names[hit[at]].tobytes(), whole[at].tobytes()) for b, at in by_bucket(c.names[hit], bits)]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
+                    yield batch_of(rows, schema)
 
     return run, "bucket long, chunk_id long, names binary, wholes binary"
 
@@ -240,7 +201,7 @@ def _states(c: _Chunk, x: dict, bits: int) -> tuple[np.ndarray, np.ndarray]:
     hit = _hit_marks(c, x["found"], bits)
     state = np.zeros(len(hit), np.uint8)
     by = {s["bucket"]: np.frombuffer(s["states"], np.uint8) for s in x["settled"] or []}
-    for b, at in _by_bucket(c.names[hit], bits):
+    for b, at in by_bucket(c.names[hit], bits):
         if b in by:
             state[at] = by[b]
     return hit, state
@@ -257,12 +218,12 @@ def _edges(bits: int, length: int):
                 hit = hit[(state & OPEN) > 0]
                 start, end = c.around(hit, length)
                 rows = []
-                for b, at in _by_bucket(c.names[hit], bits):
+                for b, at in by_bucket(c.names[hit], bits):
                     texts = b"".join(c.raw[s:e] for s, e in zip(start[at].tolist(), end[at].tolist(), strict=True))
                     before, size = (c.marks[hit[at]] - start[at]).astype(np.uint8), (end[at] - start[at]).astype("<u2")
                     rows.append((b, x["chunk_id"], c.names[hit[at]].tobytes(), before.tobytes(), size.tobytes(), press.compress(texts)))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
+                    yield batch_of(rows, schema)
 
     return run, "bucket long, chunk_id long, names binary, before binary, size binary, texts binary"
 
@@ -315,7 +276,7 @@ def _cut(bits: int, length: int, keep_text: bool):
                 np.add.at(change, end[full], -1)
                 opened = hit[(state & OPEN) > 0]
                 by = {p["bucket"]: np.frombuffer(p["proved"], np.uint8).reshape(-1, (PERIOD + 7) // 8) for p in x["proved"] or []}
-                for b, at in _by_bucket(c.names[opened], bits):
+                for b, at in by_bucket(c.names[opened], bits):
                     if b in by:
                         row, back = np.nonzero(np.unpackbits(by[b], axis=1, count=PERIOD))
                         begin = c.marks[opened[at[row]]] - back
@@ -357,9 +318,7 @@ def remove_repeats(
         raise ValueError(f"length: {2 * PERIOD} to 900 bytes")
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_b"))
-    packed = rows.mapInArrow(lambda it: _pack(it, chunk_bytes), "chunk_id long, ids array<long>, sizes array<long>, packed binary")
-    chunks = materialize(packed, "chunks")
+    chunks = pack(docs, text, doc_id, chunk_bytes, "chunks")
     total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
     bits = max(0, int(total * 5 * len(COVER) // PERIOD // bucket_bytes).bit_length())
 
