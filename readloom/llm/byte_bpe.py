@@ -176,14 +176,15 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", o
     """
     ship(docs.sparkSession)
     kept = docs.drop(out)
+    names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
             texts = b.column(b.schema.get_field_index("_encode"))
             ids = pa.array([c.encode(t.as_py() or "") for t in texts], pa.list_(pa.int32()))
-            cols = [b.column(b.schema.get_field_index(k)) for k in kept.columns]
-            yield pa.RecordBatch.from_arrays([*cols, ids], names=[*kept.columns, out])
+            cols = [b.column(b.schema.get_field_index(k)) for k in names]
+            yield pa.RecordBatch.from_arrays([*cols, ids], names=[*names, out])
 
     return kept.withColumn("_encode", F.col(text)).mapInArrow(run, kept.schema.add(out, "array<int>"))
 
@@ -192,14 +193,15 @@ def decode_ids(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids",
     """docs with a binary column `out`: the bytes of each row's ids (null ids: empty). Unknown ids raise an error."""
     ship(docs.sparkSession)
     kept = docs.drop(out)
+    names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
             got = b.column(b.schema.get_field_index(ids))
             raw = pa.array([c.decode(x.as_py() or []) for x in got], pa.binary())
-            cols = [b.column(b.schema.get_field_index(k)) for k in kept.columns]
-            yield pa.RecordBatch.from_arrays([*cols, raw], names=[*kept.columns, out])
+            cols = [b.column(b.schema.get_field_index(k)) for k in names]
+            yield pa.RecordBatch.from_arrays([*cols, raw], names=[*names, out])
 
     return kept.mapInArrow(run, kept.schema.add(out, "binary"))
 

@@ -1,8 +1,10 @@
 """Registered queries of this subpackage: name -> function of (spark, sf_dir), and DuckDB SQL where SQL can express one."""
 
+from readloom.llm.byte_bpe import op4_byte_bpe
 from readloom.llm.context_tree import op1_context_tree
+from readloom.llm.quality_classifier import op7_quality_classifier
 from readloom.llm.simhash_dedup import op9_simhash_dedup
 from readloom.llm.suffix_dedup import op10_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_context_tree, op9_simhash_dedup, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_context_tree, op4_byte_bpe, op7_quality_classifier, op9_simhash_dedup, op10_suffix_dedup)}
 ORACLES: dict[str, str] = {}
