@@ -8,7 +8,9 @@ ones whose ids hash lowest. The model is linear in the features, so scoring redu
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,8 @@ from readloom.llm.common import ship, table
 
 BUCKETS = 1 << 17
 GRAMS = (3, 4)
+#: Bucket of the repeated-word feature, past the hashed ones.
+AGAIN = BUCKETS
 #: Bound on the labelled rows that the classifier learns from.
 TRAIN_ROWS = 4000
 #: Words whose numbers a Python worker remembers.
@@ -32,12 +36,18 @@ def word_features(word: bytes) -> list[int]:
     return [zlib.crc32(g) & (BUCKETS - 1) for g in [word, *grams]]
 
 
+def repeats(words: list[bytes]) -> int:
+    """How many words equal the word before; each counts as one more feature, with a learned vector of its own."""
+    return sum(map(eq, words, words[1:]))
+
+
 def text_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares."""
-    total = np.zeros(BUCKETS, np.int64)
-    words, counts = np.unique(np.array(text.split(), object), return_counts=True) if text.strip() else ([], [])
-    for w, n in zip(words, counts, strict=True):
+    total = np.zeros(BUCKETS + 1, np.int64)
+    words = text.split()
+    for w, n in Counter(words).items():
         np.add.at(total, word_features(w), n)
+    total[AGAIN] += repeats(words)
     at = np.flatnonzero(total)
     return at, total[at] / max(1, total.sum())
 
@@ -47,7 +57,7 @@ class SubwordModel:
 
     def __init__(self, dim: int = 16, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
-        self.vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim))
+        self.vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS + 1, dim))
         self.weights, self.bias = np.zeros((2, dim)), np.zeros(2)
         self.rng = rng
 
@@ -128,11 +138,12 @@ def score(docs: DataFrame, model: SubwordModel, text: str = "text", out: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, prior = flat.value
-        words = _Words(weights)
+        words, again = _Words(weights), complex(weights[AGAIN], 1)
         for b in batches:
             logits = []
             for t in b.column(b.schema.get_field_index("_score_text")):
-                total = sum(map(words.__getitem__, (t.as_py() or b"").split()), 0j)
+                split = (t.as_py() or b"").split()
+                total = sum(map(words.__getitem__, split), again * repeats(split))
                 logits.append(prior + (total.real / total.imag if total.imag else 0.0))
             p = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
             cols = [b.column(b.schema.get_field_index(k)) for k in names]
