@@ -3,8 +3,21 @@
 from readloom.llm.byte_bpe import op4_byte_bpe
 from readloom.llm.context_tree import op1_context_tree
 from readloom.llm.quality_classifier import op7_quality_classifier
+from readloom.llm.quality_rules import op6_quality_rules
 from readloom.llm.simhash_dedup import op9_simhash_dedup
 from readloom.llm.suffix_dedup import op10_suffix_dedup
+from readloom.llm.url_filter import OP3_SQL, op3_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_context_tree, op4_byte_bpe, op7_quality_classifier, op9_simhash_dedup, op10_suffix_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_context_tree,
+        op3_url_filter,
+        op4_byte_bpe,
+        op6_quality_rules,
+        op7_quality_classifier,
+        op9_simhash_dedup,
+        op10_suffix_dedup,
+    )
+}
+ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL}
