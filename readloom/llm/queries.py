@@ -1,7 +1,9 @@
 """Registered queries of this subpackage: name -> function of (spark, sf_dir), and DuckDB SQL where SQL can express one."""
 
+from readloom.llm.benchmark_windows import op8_decontamination
 from readloom.llm.byte_bpe import op4_byte_bpe
 from readloom.llm.context_tree import op1_context_tree
+from readloom.llm.pii import op5_pii
 from readloom.llm.quality_classifier import op7_quality_classifier
 from readloom.llm.quality_rules import op6_quality_rules
 from readloom.llm.simhash_dedup import op9_simhash_dedup
@@ -14,8 +16,10 @@ QUERIES = {
         op1_context_tree,
         op3_url_filter,
         op4_byte_bpe,
+        op5_pii,
         op6_quality_rules,
         op7_quality_classifier,
+        op8_decontamination,
         op9_simhash_dedup,
         op10_suffix_dedup,
     )
