@@ -65,12 +65,13 @@ def benchmark_items(benchmark: DataFrame, k: int, similarity: float, text: str,
 
 def _windows(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """Every item-sized window of docs (doc_id, _h) that holds an anchor: doc_id, start, n, m, hashes, fingerprint."""
-    anchors = items.select(F.explode("anchors").alias("anchor"), "n", "m").distinct()
-    hits = docs.select("doc_id", "_h", F.posexplode("_h").alias("at", "gram")).join(F.broadcast(anchors), F.col("gram") == F.col("anchor"))
+    # Outer explodes: the others add a filter on the array, which the optimizer would push down and evaluate again.
+    anchors = items.select(F.explode_outer("anchors").alias("anchor"), "n", "m").distinct()
+    hits = docs.select("doc_id", "_h", F.posexplode_outer("_h").alias("at", "gram")).join(F.broadcast(anchors), F.col("gram") == F.col("anchor"))
     first = F.expr("greatest(0, at - m + 1)")
     hits = hits.select("doc_id", "n", "m", first.alias("first"), F.expr("slice(_h, greatest(0, at - m + 1) + 1, at + m - greatest(0, at - m + 1))").alias("_r"))
     hits = hits.filter("size(_r) >= m")
-    each = hits.select("doc_id", "n", "m", "first", "_r", F.explode(F.expr("sequence(0, size(_r) - m)")).alias("skip"))
+    each = hits.select("doc_id", "n", "m", "first", "_r", F.explode_outer(F.expr("sequence(0, size(_r) - m)")).alias("skip"))
     each = each.select("doc_id", "n", "m", (F.col("first") + F.col("skip")).alias("start"), F.expr("slice(_r, skip + 1, m)").alias("win_h"))
     each = each.withColumn("_l", F.expr(_lanes("win_h")))
     return each.withColumn("fp", F.expr(_bits("_l", "m"))).drop("_l")
@@ -82,9 +83,9 @@ def _matches(windows: DataFrame, items: DataFrame, similarity: float) -> DataFra
         return f"cast(shiftrightunsigned({fp}, {BLOCK_BITS} * {b}) & {(1 << BLOCK_BITS) - 1} as int)"
 
     masks = F.array(*map(F.lit, _ball()))
-    entered = items.select("item_id", "n", "item_h", "item_fp", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("b"))
-    entered = entered.withColumn("mask", F.explode(masks)).select("item_id", F.col("n").alias("_n"), "item_h", "item_fp", F.col("b").alias("_b"), F.expr(f"{block('item_fp', 'b')} ^ mask").alias("_key"))
-    asked = windows.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))).withColumn("key", F.expr(block("fp", "b")))
+    entered = items.select("item_id", "n", "item_h", "item_fp", F.explode_outer(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("b"))
+    entered = entered.withColumn("mask", F.explode_outer(masks)).select("item_id", F.col("n").alias("_n"), "item_h", "item_fp", F.col("b").alias("_b"), F.expr(f"{block('item_fp', 'b')} ^ mask").alias("_key"))
+    asked = windows.withColumn("b", F.explode_outer(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))).withColumn("key", F.expr(block("fp", "b")))
     pairs = asked.join(F.broadcast(entered), F.expr("n = _n and b = _b and key = _key"))
     # A pair that meets in several blocks counts in the first.
     earlier = " or ".join(f"(b > {i} and bit_count({block('fp', str(i))} ^ {block('item_fp', str(i))}) <= {NEAR})" for i in range(BLOCKS - 1))
