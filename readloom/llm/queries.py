@@ -3,6 +3,7 @@
 from readloom.llm.benchmark_windows import op8_decontamination
 from readloom.llm.byte_bpe import op4_byte_bpe
 from readloom.llm.context_tree import op1_context_tree
+from readloom.llm.paragraph_dedup import op2_paragraph_dedup
 from readloom.llm.pii import op5_pii
 from readloom.llm.quality_classifier import op7_quality_classifier
 from readloom.llm.quality_rules import op6_quality_rules
@@ -14,6 +15,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_context_tree,
+        op2_paragraph_dedup,
         op3_url_filter,
         op4_byte_bpe,
         op5_pii,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from readloom.llm.common import materialize, parts, ship, table
 from readloom.llm.components import connected_components
+from readloom.llm.verify import jaccard_links
 
 #: Rows of one segment value that a task compares by itself; larger groups are cut into pairs of blocks.
 BLOCK = 4096
@@ -228,5 +229,81 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return fps.join(named, fps.fp == named._fp, "left").select("doc_id", digits, "component_id")
 
 
+def _word_prints(names: list[str], words: int):
+    """Rows (_rid, doc_id, name, fingerprint words): the SimHash of a text's distinct words, names for equal word sequences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            prints, name = [], []
+            for t in b.column(2):
+                split = (t.as_py() or b"").lower().split()
+                name.append(xxhash.xxh64_intdigest(b" ".join(split)))
+                prints.append(fingerprint(sorted(set(split)), words))
+            cols = np.array(prints, np.uint64).reshape(-1, words).view(np.int64)
+            arrays = [pa.array(np.array(name, np.uint64).view(np.int64)), *(pa.array(np.ascontiguousarray(cols[:, w])) for w in range(words))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays], names=["_rid", "doc_id", "name", *names])
+
+    return run
+
+
+def _document_grams(wanted: bytes):
+    """Rows (name, grams): distinct five-word shingles of the texts that pass the filter."""
+    from readloom.llm.paragraph_dedup import FILTER_BITS, WordHashes, shingle_hashes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, bits = WordHashes(), np.unpackbits(np.frombuffer(wanted, np.uint8))
+        for b in batches:
+            names, grams = [], []
+            for t in b.column(0):
+                split = (t.as_py() or b"").lower().split()
+                name = xxhash.xxh64_intdigest(b" ".join(split))
+                if bits[name & (FILTER_BITS - 1)]:
+                    names.append(name)
+                    grams.append(np.unique(shingle_hashes([split], words)[0]).tobytes())
+            if names:
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(grams, pa.binary())], names=["name", "grams"])
+
+    return run
+
+
+#: For whole documents at a shingle similarity: bits of the fingerprint of distinct words (64 times this), and the
+#: complete distance up to which a pair is a candidate. Pairs of similarity 0.8 differ by about 6 % of the bits, so
+#: one of the six segments almost surely differs in one bit at most.
+PRINT_WORDS, PRINT_RADIUS = 3, 30
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = 0.8) -> DataFrame:
+    """docs without near-duplicates: of each group the row of the smallest doc_id stays, nulls last.
+
+    Candidates come from multi-index hashing of a 192-bit SimHash over each text's distinct words; a pair is a link if
+    the Jaccard similarity of its five-word shingles is at least `similarity`, computed exactly inside every candidate
+    cluster; groups are the components of the links. Texts with equal words are one; so are all texts without words.
+    """
+    from readloom.llm.paragraph_dedup import name_filter
+
+    spark = docs.sparkSession
+    ship(spark)
+    rows = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "rows")
+    widths = [f"w{i}" for i in range(PRINT_WORDS)]
+    raw = F.col(text).cast("binary").alias("_b")
+    schema = "_rid long, doc_id long, name long, " + ", ".join(f"{w} long" for w in widths)
+    prints = rows.select("_rid", F.col(doc_id).cast("long").alias("doc_id"), raw).mapInArrow(_word_prints(widths, PRINT_WORDS), schema)
+    prints = materialize(prints, "prints")
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_rid")
+    nodes = prints.groupBy(F.col("name").alias("node")).agg(*(F.first(w).alias(w) for w in widths), F.min(rank).alias("first"))
+    nodes = materialize(nodes, "nodes")
+    clusters = connected_components(hamming_links(nodes, widths, PRINT_RADIUS))
+    clusters = materialize(clusters.select(F.col("node").alias("_name"), F.col("component").alias("cluster")), "clusters")
+    grams = rows.select(raw).mapInArrow(_document_grams(name_filter(clusters, "_name")), "name long, grams binary")
+    grams = grams.join(clusters, F.col("name") == F.col("_name")).groupBy("cluster", F.col("name").alias("node")).agg(F.first("grams").alias("grams"))
+    groups = connected_components(jaccard_links(grams, similarity))
+    named = nodes.select("node", "first").join(groups.select(F.col("node").alias("_name"), "component"), F.col("node") == F.col("_name"), "left")
+    named = named.select("node", "first", F.coalesce("component", "node").alias("group"))
+    keepers = named.groupBy("group").agg(F.min("first").alias("keeper"))
+    keepers = named.join(keepers, "group").select(F.col("node").alias("_name"), F.col("keeper._rid").alias("_keep"))
+    gone = prints.join(keepers, F.col("name") == F.col("_name")).filter("_rid <> _keep").select("_rid")
+    return rows.join(materialize(gone, "gone"), "_rid", "left_anti").drop("_rid")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
