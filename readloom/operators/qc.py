@@ -16,7 +16,7 @@ def per_position(reads: DataFrame) -> DataFrame:
     each = reads.select(F.posexplode_outer(phred("quality")).alias("position", "q")).filter("position is not null")
     counts = each.groupBy("position", "q").agg(F.count("*").alias("n"))
     return counts.groupBy("position").agg(
-        F.sum("n").alias("n"), (F.sum(F.col("q") * F.col("n")) / F.sum("n")).alias("mean_q"), F.percentile("q", F.lit(0.5), "n").alias("median_q")
+        F.sum("n").alias("n"), (F.sum(F.col("q") * F.col("n")) / F.sum("n")).alias("mean_q"), F.percentile("q", F.lit(0.5), F.col("n")).alias("median_q")
     )
 
 

@@ -1,10 +1,350 @@
 """Registered queries over the given tables, with DuckDB SQL for each that SQL can express."""
 
+from __future__ import annotations
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from readloom.config import LABELS, PRIMERS, RANGES
+from readloom.functions import sequences as fn
+from readloom.operators import counts, qc
+from readloom.operators import reads as ops
+from readloom.sources.derived import reads, reads_sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+CHERIF = PRIMERS["CHERIF"]
+FORWARD, REVERSE_RC = CHERIF["forwards"][0], fn.reverse_complement_text(CHERIF["reverses"][0])
+STATS = ("length", "A", "T", "C", "G", "N", "GC", "AT", "Q_Score", "std_QScore", "q25", "q50", "q75", "q90", "ScoreDist")
+
+READS = f"with reads as ({reads_sql('VARCHAR')})"
+#: Read statistics in DuckDB; floats as Spark keeps them.
+_STATS = """, qs as (
+  select *, length(sequence) as length, list_transform(string_split(quality, ''), lambda c: ascii(c) - 33) as q from reads
+), os as (
+  select *, list_sort(q) as o, length - length(replace(sequence, 'A', '')) as na, length - length(replace(sequence, 'T', '')) as nt,
+    length - length(replace(sequence, 'C', '')) as nc, list_sum(q)::DOUBLE / length as mean,
+    list_sum(list_transform(q, lambda x: x * x))::DOUBLE / length as sq, len(list_filter(q, lambda x: x < 15)) as low from qs
+), es as (
+  select *, o[1 + floor(0.25::DOUBLE * length)::INT]::DOUBLE as f25, o[1 + floor(0.5::DOUBLE * length)::INT]::DOUBLE as f50,
+    o[1 + floor(0.75::DOUBLE * length)::INT]::DOUBLE as f75, o[1 + floor(0.9::DOUBLE * length)::INT]::DOUBLE as f90,
+    na::DOUBLE / length as a_, nt::DOUBLE / length as t_, nc::DOUBLE / length as c_ from os
+), stats as (
+  select read_idx, id, barcode, sequence, quality, substr(sequence, 1, 50) as prefix, right(sequence, 50) as suffix, length,
+    a_::FLOAT as A, t_::FLOAT as T, c_::FLOAT as C, (1 - a_ - t_ - c_)::FLOAT as G, (low::DOUBLE / length)::FLOAT as N,
+    (c_ + (1 - a_ - t_ - c_))::FLOAT as GC, (1 - (c_ + (1 - a_ - t_ - c_)))::FLOAT as AT, mean::FLOAT as Q_Score,
+    sqrt(greatest(0, sq - mean * mean))::FLOAT as std_QScore, f25::FLOAT as q25, f50::FLOAT as q50, f75::FLOAT as q75, f90::FLOAT as q90,
+    sqrt((1 / mean) ** 2 + (1 / f25) ** 2 + (1 / f50) ** 2 + (1 / f75) ** 2 + (1 / f90) ** 2)::FLOAT as ScoreDist
+  from es
+)"""
+_BEGIN = f"instr(lower(sequence), '{FORWARD.lower()}')"
+_END = f"length(sequence) - instr(reverse(lower(sequence)), '{REVERSE_RC.lower()[::-1]}') + 1"
+_CUT = f""", cut as (
+  select read_idx, id, barcode, substr(sequence, b, e - b + 1) as sequence, substr(quality, b, e - b + 1) as quality from (
+    select *, {_BEGIN} as b, {_END} as e from reads
+    where {_BEGIN} > 0 and instr(reverse(lower(sequence)), '{REVERSE_RC.lower()[::-1]}') > 0
+  ) where b - 1 < e
+), amplicons as (select * from cut where length(sequence) between {RANGES['CHERIF'][0]} and {RANGES['CHERIF'][1]})"""
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name."""
+
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _ids(df: DataFrame) -> DataFrame:
+    return df.select("read_idx", "id")
+
+
+def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.with_stats(reads(spark, sf_dir))
+
+
+def amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = ops.cut_primers(reads(spark, sf_dir), CHERIF["forwards"], CHERIF["reverses"])
+    return ops.filter_size(cut.withColumn("length", F.length("sequence")), *map(float, RANGES["CHERIF"])).drop("length")
+
+
+_ROUNDED = ", ".join(f'round("{c}"::DOUBLE, 4) as "{c}"' for c in STATS if c != "length")
+
+
+@query(f"{READS}{_STATS} select read_idx, id, prefix, suffix, length, {_ROUNDED} from stats")
+def read_stats(spark, sf_dir):
+    df = stats(spark, sf_dir)
+    rounded = [F.round(F.col(c).cast("double"), 4).alias(c) for c in STATS if c != "length"]
+    return df.select("read_idx", "id", "prefix", "suffix", "length", *rounded)
+
+
+@query(f"{READS}{_STATS} select read_idx, id from stats where length between 150 and 160")
+def filter_size_absolute(spark, sf_dir):
+    return _ids(ops.filter_size(stats(spark, sf_dir), 150.0, 160.0))
+
+
+@query(f"""{READS}{_STATS}, q as (select quantile_cont(length::DOUBLE, 0.1::DOUBLE)::FLOAT as lo, quantile_cont(length::DOUBLE, 0.9::DOUBLE)::FLOAT as hi from stats)
+select read_idx, id from stats, q where length::FLOAT between lo and hi""")
+def filter_size_quantile(spark, sf_dir):
+    return _ids(ops.filter_size(stats(spark, sf_dir), 0.1, 0.9))
+
+
+@query(f"{READS}{_STATS} select read_idx, id from stats where Q_Score >= 17.5::FLOAT")
+def filter_q(spark, sf_dir):
+    return _ids(ops.filter_q(stats(spark, sf_dir), 17.5))
+
+
+@query(f"""{READS}{_STATS}, q as (select quantile_cont(ScoreDist::DOUBLE, 0.75::DOUBLE)::FLOAT as most from stats)
+select read_idx, id from stats, q where ScoreDist <= most""")
+def filter_quality(spark, sf_dir):
+    return _ids(ops.filter_quality(stats(spark, sf_dir), 0.75))
+
+
+@query(f"""{READS}{_STATS}, q as (select quantile_cont(N::DOUBLE, 0.5::DOUBLE)::FLOAT as most from stats)
+select read_idx, id from stats, q where N <= most""")
+def filter_n(spark, sf_dir):
+    return _ids(ops.filter_n(stats(spark, sf_dir), 0.5))
+
+
+@query(f"{READS}{_STATS} select read_idx, id from stats where GC between 0.45::FLOAT and 0.55::FLOAT")
+def filter_gc(spark, sf_dir):
+    return _ids(ops.filter_gc(stats(spark, sf_dir), 0.45, 0.55))
+
+
+@query(f"{READS} select read_idx, id from reads qualify row_number() over (partition by substr(sequence, 1, 50) order by read_idx) = 1")
+def filter_duplicates(spark, sf_dir):
+    return _ids(ops.filter_duplicates(reads(spark, sf_dir)))
+
+
+@query(f"""{READS}, h as (
+  select *, round_even(length(sequence) * 0.1::FLOAT::DOUBLE, 0)::INT as h from reads
+), c as (select read_idx, id, substr(sequence, h + 1) as s, substr(quality, h + 1) as q from h)
+select read_idx, id, substr(s, 1, length(s) - 5) as sequence, substr(q, 1, length(s) - 5) as quality from c where length(s) > 5""")
+def crop_head_tail(spark, sf_dir):
+    return ops.crop(reads(spark, sf_dir), 0.1, 5.0).select("read_idx", "id", "sequence", "quality")
+
+
+@query(f"{READS}{_CUT} select read_idx, id, sequence, quality from cut")
+def cut_primers(spark, sf_dir):
+    return ops.cut_primers(reads(spark, sf_dir), CHERIF["forwards"], CHERIF["reverses"]).select("read_idx", "id", "sequence", "quality")
+
+
+@query(f"{READS}{_CUT} select barcode, count(*) as n_reads from amplicons group by barcode")
+def amplicons_by_barcode(spark, sf_dir):
+    return amplicons(spark, sf_dir).groupBy("barcode").agg(F.count("*").alias("n_reads"))
+
+
+@query(f"""{READS}{_STATS}, q as (select quantile_cont(length::DOUBLE, 0.05::DOUBLE)::FLOAT as l, quantile_cont(ScoreDist::DOUBLE, 0.9::DOUBLE)::FLOAT as d, quantile_cont(N::DOUBLE, 0.8::DOUBLE)::FLOAT as n from stats),
+kept as (select stats.* from stats, q where length::FLOAT >= l and length::FLOAT <= 200::FLOAT and ScoreDist <= d and stats.N <= q.n and GC between 0.4::FLOAT and 0.6::FLOAT)
+select read_idx, id, substr(sequence, 4) as sequence from kept qualify row_number() over (partition by substr(sequence, 4, 50) order by read_idx) = 1""")
+def multi_filter(spark, sf_dir):
+    kept = ops.multi_filter(stats(spark, sf_dir), 0.05, 200.0, 0.9, 0.8, head=3.0, min_gc=0.4, max_gc=0.6, duplicated=True)
+    return kept.select("read_idx", "id", "sequence")
+
+
+_KMERS = f"{READS}, k as (select unnest(list_transform(range(1, length(sequence) - 19), lambda i: substr(sequence, i, 21))) as kmer from reads where length(sequence) >= 21)"
+
+
+@query(f"{_KMERS} select distinct kmer from k")
+def kmers_distinct(spark, sf_dir):
+    return ops.distinct_kmers(reads(spark, sf_dir))
+
+
+@query(f"{_KMERS} select kmer, count(*) as n from k group by kmer")
+def kmer_counts(spark, sf_dir):
+    return ops.kmer_counts(reads(spark, sf_dir))
+
+
+_RC = "translate(regexp_replace(reverse(sequence), '[^ACGTacgt]', 'c', 'g'), 'ACGTacgt', 'TGCAtgca')"
+
+
+@query(f"{READS} select read_idx, {_RC} as reversed from reads")
+def reverse_complement(spark, sf_dir):
+    return reads(spark, sf_dir).select("read_idx", fn.reverse_complement("sequence").alias("reversed"))
+
+
+@query(f"""{READS} select read_idx, nullif(instr(lower(sequence), '{FORWARD.lower()}'), 0) - 1 as first_start,
+length(sequence) - nullif(instr(reverse(lower(sequence)), '{REVERSE_RC.lower()[::-1]}'), 0) + 1 as last_end from reads""")
+def primer_positions(spark, sf_dir):
+    return reads(spark, sf_dir).select("read_idx", fn.first_start("sequence", [FORWARD]).alias("first_start"), fn.last_end("sequence", [REVERSE_RC]).alias("last_end"))
+
+
+@query(f"""{READS} select read_idx, w as word, p as start from (
+  select read_idx, w, unnest(list_filter(range(0, length(sequence) - length(w) + 1), lambda i: substr(lower(sequence), i + 1, length(w)) = w)) as p
+  from reads, (values ('acg'), ('ttaa'), ('cgcg')) v(w))""")
+def pattern_search(spark, sf_dir):
+    found = reads(spark, sf_dir).select("read_idx", F.explode_outer(fn.search_all("sequence", ["ACG", "TTAA", "CGCG"])).alias("word", "at"))
+    return found.select("read_idx", "word", F.explode_outer("at").alias("start")).filter("start is not null").withColumn("start", F.col("start").cast("long"))
+
+
+@query("""select doc_id, w as word, (length(t) - length(replace(t, w, ''))) // length(w) as n from (select doc_id, lower(text) as t from documents), (values ('tion'), ('ment'), ('the ')) v(w) where t is not null""")
+def text_pattern_counts(spark, sf_dir):
+    """Occurrences that do not overlap, in texts other than DNA (none of these words overlaps itself)."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("text is not null").select("doc_id", F.lower("text").alias("t"))
+    words = F.explode_outer(F.array(*[F.lit(w) for w in ("tion", "ment", "the ")])).alias("word")
+    n = ((F.length("t") - F.length(F.replace("t", F.col("word"), F.lit("")))) / F.length("word")).cast("long")
+    return docs.select("doc_id", "t", words).select("doc_id", "word", n.alias("n"))
+
+
+_CODE = "translate(regexp_replace(upper(sequence), '[^ATCG]', '0', 'g'), 'ATCG', '1234')"
+
+
+@query(f"{READS} select read_idx, rpad({_CODE}, greatest(160, length(sequence))::INT, '0') as code from reads")
+def encode_vector(spark, sf_dir):
+    vector = fn.encode("sequence", 160)
+    return reads(spark, sf_dir).select("read_idx", F.array_join(F.transform(vector, lambda x: x.cast("string")), "").alias("code"))
+
+
+@query(f"{READS} select read_idx, id from reads where read_idx in (select user_id from events)")
+def semi_by_id(spark, sf_dir):
+    ids = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.concat(F.lit("@r"), F.col("user_id").cast("string")).alias("id"))
+    return _ids(ops.by_ids(reads(spark, sf_dir), ids))
+
+
+@query(f"{READS} select id || chr(10) || sequence || chr(10) || '+' || chr(10) || quality as value from reads")
+def fastq_text(spark, sf_dir):
+    return ops.fastq_lines(reads(spark, sf_dir))
+
+
+@query(f"{READS} select '>' || substr(id, 2) || chr(10) || sequence as value from reads")
+def fasta_text(spark, sf_dir):
+    return ops.fasta_lines(reads(spark, sf_dir))
+
+
+@query()
+def sample_reads(spark, sf_dir):
+    return _ids(ops.sample(reads(spark, sf_dir), 500))
+
+
+@query(f"{READS} select barcode, count(*) as n, round_even(count(*) * 0.3::DOUBLE, 0)::BIGINT as taken from reads group by barcode")
+def stratified_split(spark, sf_dir):
+    df = reads(spark, sf_dir)
+    taken = ops.stratified(df, "barcode", "read_idx", 0.3).groupBy("barcode").agg(F.count("*").alias("taken"))
+    return df.groupBy("barcode").agg(F.count("*").alias("n")).join(taken, "barcode").select("barcode", "n", "taken")
+
+
+_LABELS = "[" + ", ".join(f"'{x}'" for x in LABELS) + "]"
+#: A fixed assignment of the amplicons to species, standing in for a classifier's output.
+_HITS = f"{READS}{_CUT}, hits as (select barcode, read_idx, {_LABELS}[1 + read_idx % 11] as species, (read_idx % 100) / 100.0::DOUBLE as p from amplicons)"
+
+
+def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.get(F.array(*map(F.lit, LABELS)), (F.col("read_idx") % 11).cast("int"))
+    return amplicons(spark, sf_dir).select("barcode", "read_idx", label.alias("species"), ((F.col("read_idx") % 100) / F.lit(100.0)).alias("p"))
+
+
+@query(f"""{_HITS} select b.barcode, s.species, count(h.read_idx) as n, case when count(h.read_idx) = 0 then 0.0::DOUBLE else round(log10(count(h.read_idx)), 6) end as log10_n,
+count(h.read_idx) >= 10 as seen
+from (select distinct barcode from reads) b cross join (select unnest({_LABELS}) as species) s
+left join (select * from hits where p >= 0.5::DOUBLE) h on h.barcode = b.barcode and h.species = s.species group by all""")
+def species_counts_log10(spark, sf_dir):
+    kept = _hits(spark, sf_dir).filter("p >= 0.5D")
+    species = spark.createDataFrame([(x,) for x in LABELS], "species string")
+    return counts.complete_counts(kept, reads(spark, sf_dir), species).withColumn("log10_n", F.round("log10_n", 6))
+
+
+_WIDE = ", ".join(f"count(*) filter (species = '{x}') as \"{x}\"" for x in LABELS)
+
+
+@query(f"{_HITS} select barcode, {_WIDE} from hits group by barcode")
+def barcode_matrix(spark, sf_dir):
+    n = _hits(spark, sf_dir).groupBy("barcode", "species").agg(F.count("*").alias("n"))
+    wide = counts.matrix(n, list(LABELS), "n")
+    return wide.select("barcode", *[F.col(x).cast("long").alias(x) for x in LABELS])
+
+
+@query(f"{_HITS} select species, count(*) as n from hits group by species")
+def value_counts(spark, sf_dir):
+    return counts.value_counts(_hits(spark, sf_dir), "species")
+
+
+@query(f"{_HITS} select species, {_LABELS}[1 + list_position({_LABELS}, species) % 11] as next_label, list_position({_LABELS}, species) - 1 as code, count(*) as n from hits group by all")
+def label_map(spark, sf_dir):
+    codes = F.create_map(*[F.lit(x) for k, name in enumerate(LABELS) for x in (name, k)])
+    names = F.create_map(*[F.lit(x) for k, name in enumerate(LABELS) for x in (k, name)])
+    code = F.element_at(codes, F.col("species"))
+    df = _hits(spark, sf_dir).withColumn("code", code).withColumn("next_label", F.element_at(names, (F.col("code") + 1) % 11))
+    return df.groupBy("species", "next_label", "code").agg(F.count("*").alias("n")).select("species", "next_label", F.col("code").cast("long").alias("code"), "n")
+
+
+@query("select quality, count(*) filter (toxic = 0) as \"0\", count(*) filter (toxic = 1) as \"1\" from labels group by quality")
+def confusion_matrix(spark, sf_dir):
+    return counts.confusion(spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality", "toxic", [0, 1])
+
+
+@query("select round(avg((quality = toxic)::INT), 6) as recall from labels")
+def micro_recall(spark, sf_dir):
+    return counts.micro_recall(spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality", "toxic").select(F.round("recall", 6).alias("recall"))
+
+
+@query("""with c as (select quality::VARCHAR as y, toxic::VARCHAR as p, count(*) as n from labels group by all),
+k as (select distinct y as class from c union select distinct p from c),
+e as (select class, coalesce(sum(n) filter (y = class), 0) as support, coalesce(sum(n) filter (p = class), 0) as said, coalesce(sum(n) filter (y = class and p = class), 0) as hit from k, c group by class),
+s as (select *, coalesce(hit / nullif(said, 0), 0) as precision, coalesce(hit / nullif(support, 0), 0) as recall from e),
+f as (select *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) as f1 from s)
+select class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support::BIGINT as support from f
+union all select 'accuracy', round(sum(hit) / sum(support), 6), round(sum(hit) / sum(support), 6), round(sum(hit) / sum(support), 6), sum(support)::BIGINT from f
+union all select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::BIGINT from f
+union all select 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support)::BIGINT from f""")
+def class_report(spark, sf_dir):
+    df = counts.class_report(spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality", "toxic")
+    return df.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("select p as k, round(avg(x), 6) as mean_value from (select unnest(embedding)::DOUBLE as x, generate_subscripts(embedding, 1) - 1 as p from embeddings) group by p")
+def mean_by_class(spark, sf_dir):
+    each = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.posexplode_outer("embedding").alias("k", "x")).filter("k is not null")
+    return each.groupBy(F.col("k").cast("long").alias("k")).agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("mean_value"))
+
+
+@query("""with d as (select a.vec_id, b.label, b.vec_id as place, list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) * (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE))) as d
+  from embeddings a, embeddings b where a.vec_id % 20 = 0),
+r as (select * from d qualify row_number() over (partition by vec_id order by d, place) <= 5),
+v as (select vec_id, label, count(*) as n from r group by all)
+select vec_id, label as prediction from v qualify row_number() over (partition by vec_id order by n desc, label) = 1""")
+def knn_vote(spark, sf_dir):
+    """The stated query set (ids divisible by 20) against all rows."""
+    points = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return counts.knn_vote(points.filter("vec_id % 20 = 0"), points, "embedding", "label", "vec_id")
+
+
+@query("""with u as (select doc_id as k, 'document' as kind from documents union all select item_id, 'item' from benchmark) select kind, count(*) as n, count(distinct k) as n_distinct from u group by kind""")
+def union_all(spark, sf_dir):
+    a = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("k"), F.lit("document").alias("kind"))
+    b = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("k"), F.lit("item").alias("kind"))
+    return a.unionByName(b).groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("k").alias("n_distinct"))
+
+
+@query(f"""{READS}, e as (select unnest(list_transform(string_split(quality, ''), lambda c: ascii(c) - 33)) as q, generate_subscripts(string_split(quality, ''), 1) - 1 as position from reads)
+select position, count(*) as n, round(avg(q), 6) as mean_q, median(q)::DOUBLE as median_q from e group by position""")
+def qc_per_position(spark, sf_dir):
+    df = qc.per_position(reads(spark, sf_dir))
+    return df.select(F.col("position").cast("long").alias("position"), "n", F.round("mean_q", 6).alias("mean_q"), "median_q")
+
+
+@query(f"{READS} select length(sequence) as length, count(*) as n from reads group by all")
+def qc_length_histogram(spark, sf_dir):
+    return qc.length_histogram(reads(spark, sf_dir)).withColumn("length", F.col("length").cast("long"))
+
+
+@query(f"{READS} select floor((length(sequence) - length(translate(sequence, 'CG', ''))) * 100::DOUBLE / length(sequence))::BIGINT as gc_percent, count(*) as n from reads group by all")
+def qc_gc_histogram(spark, sf_dir):
+    return qc.gc_histogram(reads(spark, sf_dir))
+
+
+@query(f"{READS}{_STATS} select floor(Q_Score)::BIGINT as mean_q, count(*) as n from stats group by all")
+def qc_quality_histogram(spark, sf_dir):
+    return qc.quality_histogram(stats(spark, sf_dir))
+
+
+@query(f"{READS} select copies, count(*) as n_sequences from (select count(*) as copies from reads group by sequence) group by copies")
+def qc_duplication_levels(spark, sf_dir):
+    return qc.duplication_levels(reads(spark, sf_dir))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return amplicons_by_barcode(spark, sf_dir)
