@@ -119,7 +119,7 @@ def cut_primers(reads: DataFrame, forwards: list[str], reverses: list[str], min_
     ends = [reverse_complement_text(r) for r in reverses]
 
     def cut(df: DataFrame) -> DataFrame:
-        df = df.withColumns({"_b": first_start("sequence", forwards), "_e": last_end("sequence", ends)}).filter("_b < _e")
+        df = df.withColumns({"_b": first_start("sequence", forwards), "_e": last_end("sequence", ends)}).filter("coalesce(_b < _e, false)")
         span = [F.substring(F.col(c), F.col("_b") + 1, F.col("_e") - F.col("_b")) for c in ("sequence", "quality")]
         return df.withColumns(dict(zip(("sequence", "quality"), span, strict=True))).filter(F.length("sequence") >= min_length).drop("_b", "_e")
 
@@ -137,9 +137,9 @@ def cut_primers(reads: DataFrame, forwards: list[str], reverses: list[str], min_
 def _cropped(size: Column, value: float, strict_parity: bool) -> Column:
     """How many bases a head or tail value takes from a read."""
     v = F.lit(value).cast("float").cast("double")
-    amount = size * v if 0 < value < 1 else v
+    amount = (size * v).cast("float").cast("double") if 0 < value < 1 else v
     if strict_parity and 0 < value < 1:
-        amount = F.when(amount < 1, size * amount).otherwise(amount)
+        amount = F.when(amount < 1, (size * amount).cast("float").cast("double")).otherwise(amount)
     return F.bround(amount).cast("int")
 
 

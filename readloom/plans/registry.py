@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from readloom.config import LABELS, PRIMERS, RANGES
 from readloom.functions import sequences as fn
-from readloom.operators import counts, qc
+from readloom.operators import counts, models, qc, simulate
 from readloom.operators import reads as ops
+from readloom.operators.align import align
+from readloom.plans import runs
 from readloom.sources.derived import reads, reads_sql
 
 QUERIES: dict = {}
@@ -121,7 +123,7 @@ def filter_duplicates(spark, sf_dir):
 
 
 @query(f"""{READS}, h as (
-  select *, round_even(length(sequence) * 0.1::FLOAT::DOUBLE, 0)::INT as h from reads
+  select *, round_even((length(sequence) * 0.1::FLOAT::DOUBLE)::FLOAT::DOUBLE, 0)::INT as h from reads
 ), c as (select read_idx, id, substr(sequence, h + 1) as s, substr(quality, h + 1) as q from h)
 select read_idx, id, substr(s, 1, length(s) - 5) as sequence, substr(q, 1, length(s) - 5) as quality from c where length(s) > 5""")
 def crop_head_tail(spark, sf_dir):
@@ -346,5 +348,39 @@ def qc_duplication_levels(spark, sf_dir):
     return qc.duplication_levels(reads(spark, sf_dir))
 
 
+def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A template for each species: its first amplicon."""
+    first = _hits(spark, sf_dir).groupBy("species").agg(F.min("read_idx").alias("_first"))
+    found = amplicons(spark, sf_dir).join(F.broadcast(first), F.col("read_idx") == F.col("_first"))
+    return found.select("species", F.col("id").alias("ref_id"), "sequence")
+
+
+@query(f"""{_HITS}, refs as (select species, min(read_idx) as first from hits group by species)
+select a.id, r.species from amplicons a, refs r, amplicons t where t.read_idx = r.first and a.sequence = t.sequence""")
+def align_reads(spark, sf_dir):
+    """Random amplicons share long k-mers only where they are equal, which SQL can say."""
+    return align(amplicons(spark, sf_dir), _references(spark, sf_dir)).filter("mapq >= 40").select("id", "species")
+
+
+@query()
+def mapping_counts(spark, sf_dir):
+    return runs.mapping_counts(amplicons(spark, sf_dir), _references(spark, sf_dir), reads(spark, sf_dir)).withColumn("log10_n", F.round("log10_n", 6))
+
+
+@query()
+def simulated_amplicons(spark, sf_dir):
+    """Errored copies of every reference, ten each."""
+    inner = _references(spark, sf_dir).select("species", F.expr(f"substr(sequence, {len(FORWARD) + 1}, length(sequence) - {len(FORWARD) + len(REVERSE_RC)})").alias("sequence"))
+    return simulate.errored_amplicons(inner, 10)
+
+
+@query()
+def classified_counts(spark, sf_dir):
+    """Train on errored copies of the references, then classify every amplicon."""
+    inner = _references(spark, sf_dir).select("species", F.expr(f"substr(sequence, {len(FORWARD) + 1}, length(sequence) - {len(FORWARD) + len(REVERSE_RC)})").alias("sequence"))
+    model = models.fit(simulate.dataset(simulate.errored_amplicons(inner, 20, high=0.05)), numTrees=10, maxDepth=8)
+    return runs.classified_counts(amplicons(spark, sf_dir), model, reads(spark, sf_dir), 0.5).withColumn("log10_n", F.round("log10_n", 6))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amplicons_by_barcode(spark, sf_dir)
