@@ -14,10 +14,10 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from readloom.llm.common import WORD_GAP, lower_ascii, materialize, table
+from readloom.llm.common import WORD_GAP, materialize, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, BLOCK_BITS, NEAR = 8, 8, 2
@@ -43,7 +43,8 @@ def _lanes(hashes: str) -> str:
 
 def _bits(lanes: str, total: str) -> str:
     """SQL of the fingerprint: bit b is 1 if over half of the hashes have it."""
-    return " | ".join(f"if(2 * (shiftrightunsigned({lanes}.c{b // 4}, {16 * (b % 4)}) & 65535) > {total}, shiftleft(1L, {b}), 0L)" for b in range(64))
+    dot = f"{lanes}." if lanes else ""
+    return " | ".join(f"if(2 * (shiftrightunsigned({dot}c{b // 4}, {16 * (b % 4)}) & 65535) > {total}, shiftleft(1L, {b}), 0L)" for b in range(64))
 
 
 def _ball() -> list[int]:
@@ -53,7 +54,7 @@ def _ball() -> list[int]:
 
 def benchmark_items(benchmark: DataFrame, k: int, similarity: float, text: str, item_id: str) -> DataFrame:
     """Items of at least k words: item_id, n words, m shingles, hashes, fingerprint, anchors."""
-    words = F.array_remove(F.split(lower_ascii(F.coalesce(F.col(text), F.lit(""))), WORD_GAP), "")
+    words = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_GAP), "")
     df = benchmark.select(F.col(item_id).alias("item_id"), words.alias("_w")).filter(f"size(_w) >= {k}")
     df = df.select("item_id", F.size("_w").alias("n"), F.expr(_hashes("_w", k)).alias("item_h"))
     missing = (1 - similarity) / (1 + similarity)
@@ -63,48 +64,67 @@ def benchmark_items(benchmark: DataFrame, k: int, similarity: float, text: str,
     return df.withColumn("anchors", F.expr(f"slice(array_sort(array_distinct(item_h)), 1, {count})")).drop("_l")
 
 
-def _windows(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """Every item-sized window of docs (doc_id, _h) that holds an anchor: doc_id, start, n, m, hashes, fingerprint."""
+def _hits(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """Anchors found in docs (doc_id, _h): rid, doc_id, n, m, at, `_from` (first window start not yet covered by the
+    anchor before), `_first` (where _r begins) and _r, the shingles that windows around the anchor can have."""
     # Outer explodes: the others add a filter on the array, which the optimizer would push down and evaluate again.
     anchors = items.select(F.explode_outer("anchors").alias("anchor"), "n", "m").distinct()
-    hits = docs.select("doc_id", "_h", F.posexplode_outer("_h").alias("at", "gram")).join(F.broadcast(anchors), F.col("gram") == F.col("anchor"))
-    first = F.expr("greatest(0, at - m + 1)")
-    hits = hits.select("doc_id", "n", "m", first.alias("first"), F.expr("slice(_h, greatest(0, at - m + 1) + 1, at + m - greatest(0, at - m + 1))").alias("_r"))
-    hits = hits.filter("size(_r) >= m")
-    each = hits.select("doc_id", "n", "m", "first", "_r", F.explode_outer(F.expr("sequence(0, size(_r) - m)")).alias("skip"))
-    each = each.select("doc_id", "n", "m", (F.col("first") + F.col("skip")).alias("start"), F.expr("slice(_r, skip + 1, m)").alias("win_h"))
-    each = each.withColumn("_l", F.expr(_lanes("win_h")))
-    return each.withColumn("fp", F.expr(_bits("_l", "m"))).drop("_l")
-
-
-def _matches(windows: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    found = docs.select("doc_id", "_h", F.monotonically_increasing_id().alias("rid"))
+    found = found.select("rid", "doc_id", "_h", F.posexplode_outer("_h").alias("at", "gram"))
+    found = found.join(F.broadcast(anchors), F.col("gram") == F.col("anchor"))
+    first = "greatest(0, at - m + 1)"
+    found = found.select("rid", "doc_id", "n", "m", "at", F.expr(first).alias("_first"), F.expr(f"slice(_h, {first} + 1, at + m - {first})").alias("_r"))
+    before = F.lag("at").over(Window.partitionBy("rid", "n").orderBy("at"))
+    return found.withColumn("_from", F.greatest(F.col("_first"), F.coalesce(before + 1, F.lit(0))))
+
+
+def _windows(hits: DataFrame) -> DataFrame:
+    """Fingerprint of every item-sized window that holds an anchor, once: rid, doc_id, n, m, at, _first, start, fp."""
+    last = F.least(F.col("at"), F.col("_first") + F.size("_r") - F.col("m"))
+    starts = hits.withColumn("_last", last).filter("_last >= _from")
+    each = starts.withColumn("start", F.explode_outer(F.sequence("_from", "_last")))
+    grams = each.select("rid", "doc_id", "n", "m", "at", "_first", "start", F.explode_outer(F.expr("slice(_r, start - _first + 1, m)")).alias("h"))
+    lanes = [" + ".join(f"shiftleft(shiftrightunsigned(h, {4 * i + j}) & 1L, {16 * j})" for j in range(4)) for i in range(16)]
+    keys = ("rid", "doc_id", "n", "m", "at", "_first", "start")
+    summed = grams.groupBy(*keys).agg(*[F.sum(F.expr(x)).alias(f"c{i}") for i, x in enumerate(lanes)])
+    return summed.select(*keys, F.expr(_bits("", "m")).alias("fp"))
+
+
+def _matches(hits: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
     """Window-item pairs within RADIUS bits whose exact similarity suffices."""
+
     def block(fp: str, b: str) -> str:
         return f"cast(shiftrightunsigned({fp}, {BLOCK_BITS} * {b}) & {(1 << BLOCK_BITS) - 1} as int)"
 
     masks = F.array(*map(F.lit, _ball()))
-    entered = items.select("item_id", "n", "item_h", "item_fp", F.explode_outer(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("b"))
-    entered = entered.withColumn("mask", F.explode_outer(masks)).select("item_id", F.col("n").alias("_n"), "item_h", "item_fp", F.col("b").alias("_b"), F.expr(f"{block('item_fp', 'b')} ^ mask").alias("_key"))
-    asked = windows.withColumn("b", F.explode_outer(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))).withColumn("key", F.expr(block("fp", "b")))
+    blocks = F.explode_outer(F.array(*map(F.lit, range(BLOCKS)))).alias("b")
+    entered = items.select("item_id", "n", "item_h", "item_fp", blocks).withColumn("mask", F.explode_outer(masks))
+    key = F.expr(f"{block('item_fp', 'b')} ^ mask").alias("_key")
+    entered = entered.select("item_id", F.col("n").alias("_n"), "item_h", "item_fp", F.col("b").alias("_b"), key)
+    asked = _windows(hits).select("*", blocks).withColumn("key", F.expr(block("fp", "b")))
     pairs = asked.join(F.broadcast(entered), F.expr("n = _n and b = _b and key = _key"))
     # A pair that meets in several blocks counts in the first.
     earlier = " or ".join(f"(b > {i} and bit_count({block('fp', str(i))} ^ {block('item_fp', str(i))}) <= {NEAR})" for i in range(BLOCKS - 1))
     pairs = pairs.withColumn("hamming", F.expr("bit_count(fp ^ item_fp)")).filter(f"hamming <= {RADIUS} and not ({earlier})")
+    pairs = pairs.select("rid", "n", "at", "start", "item_id", "item_h", "hamming")
+    region = hits.select(F.col("rid").alias("_rid"), F.col("n").alias("_n"), F.col("at").alias("_at"), "doc_id", "m", "_first", "_r")
+    near = pairs.join(region, F.expr("rid = _rid and n = _n and at = _at"))
+    near = near.withColumn("win_h", F.expr("slice(_r, start - _first + 1, m)"))
     shared = "aggregate(array_distinct(item_h), 0, (a, h) -> a + least(size(filter(win_h, x -> x = h)), size(filter(item_h, x -> x = h))))"
-    pairs = pairs.withColumn("_s", F.expr(shared)).withColumn("similarity", F.expr("_s / (2D * m - _s)"))
-    return pairs.filter(F.col("similarity") >= similarity - 1e-12).select("doc_id", "item_id", "start", "n", "hamming", "similarity")
+    near = near.withColumn("_s", F.expr(shared)).withColumn("similarity", F.expr("_s / (2D * m - _s)"))
+    return near.filter(F.col("similarity") >= similarity - 1e-12).select("doc_id", "item_id", "start", "n", "hamming", "similarity")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """One row for each document and benchmark item it contains: doc_id, item_id, similarity, start, n_words, hamming.
 
     Of several windows the most similar counts, then the first; `start` is its first word. Words are lower-cased
-    (A-Z). Items of fewer than five words are compared as a single shingle of all their words; items without words and
+    (all letters). Items of fewer than five words are compared as a single shingle of all their words; items without words and
     null texts match nothing. Rows of docs with one doc_id, null included, count as one document.
     """
     lengths = F.size(F.array_remove(F.split(F.coalesce(F.col(item_text), F.lit("")), WORD_GAP), ""))
     short = [r[0] for r in benchmark.select(lengths.alias("n")).filter(f"n between 1 and {SHINGLE - 1}").distinct().collect()]
-    words = F.array_remove(F.split(lower_ascii(F.coalesce(F.col(text), F.lit(""))), WORD_GAP), "")
+    words = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_GAP), "")
     found = []
     for k in [*sorted(short), SHINGLE]:
         items = materialize(benchmark_items(benchmark, k, similarity, item_text, item_id), "items")
@@ -115,7 +135,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         passes = max(1, -(-total // PASS_SHINGLES))
         for p in range(passes if total else 0):
             mine = items.filter(F.pmod(F.xxhash64("item_id", "item_h"), F.lit(passes)) == p) if passes > 1 else items
-            found.append(_matches(_windows(hashed, mine, k), mine, similarity))
+            found.append(_matches(materialize(_hits(hashed, mine, k), "anchors"), mine, similarity))
     if not found:
         return docs.sparkSession.createDataFrame([], docs.select(F.col(doc_id).alias("doc_id")).schema.add("item_id", "long").add("similarity", "double").add("start", "int").add("n_words", "int").add("hamming", "int"))
     best = F.max_by(F.struct("similarity", "start", F.col("n").alias("n_words"), "hamming"), F.struct("similarity", -F.col("start"))).alias("best")
