@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from readloom.llm.common import ship, table
 
@@ -186,7 +187,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", o
             cols = [b.column(b.schema.get_field_index(k)) for k in names]
             yield pa.RecordBatch.from_arrays([*cols, ids], names=[*names, out])
 
-    return kept.withColumn("_encode", F.col(text)).mapInArrow(run, kept.schema.add(out, "array<int>"))
+    return kept.withColumn("_encode", F.col(text)).mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
 
 
 def decode_ids(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -203,7 +204,7 @@ def decode_ids(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids",
             cols = [b.column(b.schema.get_field_index(k)) for k in names]
             yield pa.RecordBatch.from_arrays([*cols, raw], names=[*names, out])
 
-    return kept.mapInArrow(run, kept.schema.add(out, "binary"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.BinaryType())]))
 
 
 def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

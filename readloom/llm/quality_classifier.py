@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from readloom.llm.common import ship, table
 
@@ -149,7 +150,7 @@ def score(docs: DataFrame, model: SubwordModel, text: str = "text", out: str = "
             cols = [b.column(b.schema.get_field_index(k)) for k in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(p, pa.float64())], names=[*names, out])
 
-    return kept.withColumn("_score_text", F.col(text).cast("binary")).mapInArrow(run, kept.schema.add(out, "double"))
+    return kept.withColumn("_score_text", F.col(text).cast("binary")).mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", train_rows: int = TRAIN_ROWS) -> DataFrame:

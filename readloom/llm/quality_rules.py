@@ -118,3 +118,37 @@ def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: f
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("failed_rule")
+
+
+#: DuckDB SQL for op6_quality_rules.
+OP6_SQL = r"""
+with d as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents
+), e as (
+  select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as full_lines,
+    length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) as word_chars, length(t) as size,
+    length(t) - length(translate(t, '#*$%&|<>', '')) as n_symbols
+  from d
+), g as (
+  select rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as gram
+  from (select rid, w, unnest(range(1, len(w) - 1)) as i from e where len(w) >= 3)
+), r as (
+  select rid, i from g qualify count(*) over (partition by rid, gram) > 1
+), c as (
+  select rid, count(distinct j) as n from (select rid, unnest([i, i + 1, i + 2]) as j from r) group by rid
+), f as (
+  select doc_id, t, size, len(w) as n_words, word_chars, n_symbols, len(full_lines) - len(list_distinct(full_lines)) as n_dup_lines,
+    len(string_split(t, chr(10))) as n_lines, coalesce(c.n, 0) as n_repeat_words
+  from e left join c using (rid)
+), j as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from f
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not (
+    n_symbols * 100 > size * 5 or (size - length(replace(t, '!', ''))) * 100 > size * 5
+    or (size - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) * 100 > size * 40
+    or (n_lines >= 4 and n_dup_lines * 100 > n_lines * 50) or word_chars * 100 > size * 98
+  ) as kept
+from j
+"""

@@ -6,7 +6,7 @@ from readloom.llm.context_tree import op1_context_tree
 from readloom.llm.paragraph_dedup import op2_paragraph_dedup
 from readloom.llm.pii import op5_pii
 from readloom.llm.quality_classifier import op7_quality_classifier
-from readloom.llm.quality_rules import op6_quality_rules
+from readloom.llm.quality_rules import OP6_SQL, op6_quality_rules
 from readloom.llm.simhash_dedup import op9_simhash_dedup
 from readloom.llm.suffix_dedup import op10_suffix_dedup
 from readloom.llm.url_filter import OP3_SQL, op3_url_filter
@@ -26,4 +26,4 @@ QUERIES = {
         op10_suffix_dedup,
     )
 }
-ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL, "op6_quality_rules": OP6_SQL}
