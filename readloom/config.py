@@ -37,7 +37,7 @@ AMPLICONS = (
     (595, 709), (583, 702), (542, 654), (566, 680), (585, 699),
     (554, 675), (564, 686), (490, 604), (566, 680), (577, 693),
 )
-MODEL_PATH = "./clf_ra.sav"
+MODEL_PATH = "./model"
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,7 @@ class Settings:
     ranges: dict = field(default_factory=lambda: RANGES)
     encoder: dict = field(default_factory=lambda: {name: k for k, name in enumerate(LABELS)})
     columns: dict = field(default_factory=lambda: {name: k for k, name in enumerate(READ_COLUMNS)})
-    clf_file: str = MODEL_PATH
+    model_path: str = MODEL_PATH
     none: None = None
 
     def get(self, name: str):
