@@ -26,7 +26,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 9, 4
 MIN_WORDS = 5
 #: Size of the filter that spares most paragraphs the second shuffle; fixed, so it only filters less as data grow.
-FILTER_BITS = 1 << 24
+FILTER_BITS = 1 << 22
 _PERMUTE = np.random.default_rng(31).integers(1, 2**63, (2, BANDS * BAND_ROWS), dtype=np.uint64) | np.uint64(1)
 _COMBINE = np.random.default_rng(32).integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 
@@ -123,7 +123,7 @@ def _grams(min_words: int, wanted: bytes):
     """Rows (name, grams) of the paragraphs that pass the filter, once a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bits = WordHashes(), np.unpackbits(np.frombuffer(wanted, np.uint8))
+        words, bits = WordHashes(), np.unpackbits(np.frombuffer(wanted, np.uint8), bitorder="little")
         for batch in batches:
             lines = [w for t in batch.column(0) for _, w in paragraphs(t.as_py() or b"", min_words)]
             name = _names(lines)
@@ -138,11 +138,11 @@ def _grams(min_words: int, wanted: bytes):
 
 
 def name_filter(names: DataFrame, column: str) -> bytes:
-    """FILTER_BITS bits, set at the names' low bits; collected as at most that many bits."""
+    """FILTER_BITS bits, set at the names' low bits; collected as one long for 64 of them."""
     low = F.col(column).bitwiseAND(FILTER_BITS - 1)
-    bytes_ = names.select((low / 8).cast("int").alias("at"), F.call_function("shiftright", F.lit(128), (low % 8).cast("int")).alias("bit"))
-    rows = bytes_.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (low % 64).cast("int")).alias("bit")
+    rows = names.select((low / 64).cast("int").alias("at"), bit).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 64, "<i8")
     for at, bits in rows:
         out[at] = bits
     return out.tobytes()

@@ -251,7 +251,7 @@ def _document_grams(wanted: bytes):
     from readloom.llm.paragraph_dedup import FILTER_BITS, WordHashes, shingle_hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bits = WordHashes(), np.unpackbits(np.frombuffer(wanted, np.uint8))
+        words, bits = WordHashes(), np.unpackbits(np.frombuffer(wanted, np.uint8), bitorder="little")
         for b in batches:
             names, grams = [], []
             for t in b.column(0):

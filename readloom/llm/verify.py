@@ -20,7 +20,8 @@ def jaccard_links(members: DataFrame, similarity: float = 0.8, block: int = BLOC
 
     grams are distinct unsigned 64-bit hashes as bytes, nodes are distinct. Clusters over `block` members are cut into
     blocks by the node's hash and every pair of blocks is compared in a task of its own, so that none is held whole.
-    Pairs already linked by others of the same task are not compared again: components are those of all the links.
+    A row is compared with the rows of a linked group until one suits, so a group of copies takes one comparison a row;
+    components are those of all the links.
     """
     sizes = members.groupBy("cluster").agg(F.count("*").alias("_n")).filter("_n > 1")
     sizes = sizes.select(F.col("cluster").alias("_c"), F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
@@ -31,26 +32,26 @@ def jaccard_links(members: DataFrame, similarity: float = 0.8, block: int = BLOC
 
     def compare(rows: list[tuple[int, int, bytes]], crossed: bool) -> Iterator[tuple[int, int]]:
         sets = [set(np.frombuffer(g, np.uint64).tolist()) for _, _, g in rows]
-        parent = list(range(len(rows)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
         order = sorted(range(len(rows)), key=lambda k: len(sets[k]))
+        joined: list[list[int]] = []  # places in `order`, ascending, of rows linked so far
         for n, y in enumerate(order):
-            b = sets[y]
-            for x in reversed(order[:n]):
-                a = sets[x]
-                if len(a) < similarity * len(b):
-                    break
-                if (crossed and rows[x][0] == rows[y][0]) or root(x) == root(y):
-                    continue
-                both = len(a & b)
-                if both >= similarity * (len(a) + len(b) - both) - 1e-9:
-                    parent[root(x)] = root(y)
-                    yield rows[x][1], rows[y][1]
+            b, own, alone = sets[y], [n], []
+            for group in joined:
+                for m in reversed(group):
+                    a = sets[order[m]]
+                    if len(a) < similarity * len(b):
+                        alone.append(group)
+                        break
+                    if crossed and rows[order[m]][0] == rows[y][0]:
+                        continue
+                    both = len(a & b)
+                    if both >= similarity * (len(a) + len(b) - both) - 1e-9:
+                        own += group
+                        yield rows[order[m]][1], rows[y][1]
+                        break
+                else:
+                    alone.append(group)
+            joined = [*alone, sorted(own)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, found = None, [], []
