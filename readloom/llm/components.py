@@ -25,7 +25,7 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = F.least("u", F.min("v").over(Window.partitionBy("u")))
         large = both.withColumn("m", nearest).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = large.filter("u <> v")
         least = F.min("v").over(Window.partitionBy("u"))
         pairs = F.explode(
             F.array(F.struct(F.col("v").alias("x"), F.col("m")), F.struct(F.col("u").alias("x"), F.col("m")))
