@@ -8,6 +8,7 @@ Matches meet by an equi-join on the segment value, and the complete distance dec
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -197,10 +198,15 @@ def hamming_links(fps: DataFrame, widths: list[str], radius: int, block: int = B
     at most one differing bit: with radius < 2 * segments, that is every pair. Pairs already joined within one
     segment value are not emitted, so rows stay linear in the nodes while components are those of all the links.
     """
-    spark = fps.sparkSession
     fields = ", ".join(f"{w} long" for w in widths)
     probes = fps.select("node", *widths).mapInArrow(_probes(widths), f"key long, asks boolean, node long, {fields}")
-    dealt = probes.repartition(parts(spark), "key").sortWithinPartitions("key", "asks")
+    return _links_by_key(probes, widths, radius, block)
+
+
+def _links_by_key(probes: DataFrame, widths: list[str], radius: int, block: int) -> DataFrame:
+    """Spanning links (a, b) of the nodes that share a key, are not both asking, and lie within `radius` bits."""
+    fields = ", ".join(f"{w} long" for w in widths)
+    dealt = probes.repartition(parts(probes.sparkSession), "key").sortWithinPartitions("key", "asks")
     out = f"key long, asks boolean, node long, {fields}, a long, b long"
     linked = materialize(dealt.mapInArrow(_link_runs(widths, radius, block), out), "hamming")
     hot = linked.filter("key is not null").select("key", "asks", "node", *widths)
@@ -229,19 +235,83 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return fps.join(named, fps.fp == named._fp, "left").select("doc_id", digits, "component_id")
 
 
-def _word_prints(names: list[str], words: int):
-    """Rows (_rid, doc_id, name, fingerprint words): the SimHash of a text's distinct words, names for equal word sequences."""
+def shingle_print(grams: np.ndarray, words: int) -> np.ndarray:
+    """SimHash of 64 * words bits of distinct shingle hashes; none: zero."""
+    out = np.zeros(words, np.uint64)
+    for w in range(words if len(grams) else 0):
+        h = grams + np.uint64((w + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(h), 65536):
+            part = h[at : at + 65536]
+            ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+        out[w] = np.packbits(2 * ones > len(grams), bitorder="little").view("<u8")[0]
+    return out
+
+
+def rare_prefix(grams: np.ndarray, levels: np.ndarray, similarity: float) -> np.ndarray:
+    """The rarest shingles of a set, so many that two sets of Jaccard similarity >= `similarity` share one of them.
+
+    Such sets share at least similarity * n of n shingles, so not all of the first n - ceil(similarity * n) + 1 in an
+    order common to all sets can be missing from the other's. The order is (level of the shingle's slot, hash): any
+    levels are right, those of true frequencies keep common shingles out.
+    """
+    count = len(grams) - math.ceil(similarity * len(grams) - 1e-9) + 1
+    return grams[np.lexsort((grams, levels[grams >> np.uint64(64 - SLOT_BITS)]))[:count]]
+
+
+def _slot_counts():
+    """Rows (slot, n): how many texts of a task have a shingle in the slot."""
+    from readloom.llm.paragraph_dedup import WordHashes, shingle_hashes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts = WordHashes(), np.zeros(1 << SLOT_BITS, np.int64)
+        for b in batches:
+            for t in b.column(0):
+                split = (t.as_py() or b"").lower().split()
+                if split:
+                    slots = np.unique(shingle_hashes([split], words)[0]) >> np.uint64(64 - SLOT_BITS)
+                    np.add.at(counts, slots.astype(np.int64), 1)
+        for at in range(0, len(counts), 1 << 16):
+            some = np.flatnonzero(counts[at : at + (1 << 16)]) + at
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["slot", "n"])
+
+    return run
+
+
+def slot_levels(texts: DataFrame) -> np.ndarray:
+    """Binary logarithm of each slot's count over one binary column of texts; collected as one long for eight slots."""
+    counts = texts.mapInArrow(_slot_counts(), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    level = F.floor(F.log2("n")).cast("long")
+    byte = F.call_function("shiftleft", level, (F.col("slot") % 8 * 8).cast("int"))
+    rows = counts.select((F.col("slot") / 8).cast("int").alias("at"), byte.alias("byte")).groupBy("at").agg(F.bit_or("byte").alias("bytes")).collect()
+    out = np.zeros((1 << SLOT_BITS) // 8, "<i8")
+    for at, packed in rows:
+        out[at] = packed
+    return out.view(np.uint8)
+
+
+def _shingle_prints(names: list[str], words: int, levels: bytes, similarity: float):
+    """Rows (_rid, doc_id, name, keys, fingerprint words): names for equal word sequences, keys the rare prefix."""
+    from readloom.llm.paragraph_dedup import WordHashes, shingle_hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, level = WordHashes(), np.frombuffer(levels, np.uint8)
         for b in batches:
-            prints, name = [], []
+            prints, name, keys = [], [], []
             for t in b.column(2):
                 split = (t.as_py() or b"").lower().split()
                 name.append(xxhash.xxh64_intdigest(b" ".join(split)))
-                prints.append(fingerprint(sorted(set(split)), words))
+                grams = np.unique(shingle_hashes([split], hashes)[0]) if split else np.empty(0, np.uint64)
+                prints.append(shingle_print(grams, words))
+                keys.append(rare_prefix(grams, level, similarity).view(np.int64) if split else grams.view(np.int64))
             cols = np.array(prints, np.uint64).reshape(-1, words).view(np.int64)
-            arrays = [pa.array(np.array(name, np.uint64).view(np.int64)), *(pa.array(np.ascontiguousarray(cols[:, w])) for w in range(words))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays], names=["_rid", "doc_id", "name", *names])
+            arrays = [pa.array(np.array(name, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
+            arrays += [pa.array(np.ascontiguousarray(cols[:, w])) for w in range(words)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays], names=["_rid", "doc_id", "name", "keys", *names])
 
     return run
 
@@ -266,17 +336,20 @@ def _document_grams(wanted: bytes):
     return run
 
 
-#: For whole documents at a shingle similarity: bits of the fingerprint of distinct words (64 times this), and the
-#: complete distance up to which a pair is a candidate. Pairs of similarity 0.8 differ by about 6 % of the bits, so
-#: one of the six segments almost surely differs in one bit at most.
-PRINT_WORDS, PRINT_RADIUS = 3, 30
+#: For whole documents at a shingle similarity: words of the fingerprint of distinct shingles, and the complete distance
+#: up to which two texts with a common rare shingle are compared exactly. Pairs of similarity 0.8 differ by 15 % of the
+#: bits (29 of 192, 36 for the shortest texts), with a standard deviation of 5; unrelated ones by half.
+PRINT_WORDS, PRINT_RADIUS = 3, 64
+#: Shingles are counted by their hash's first bits, in a table of fixed size that decides their order alone.
+SLOT_BITS = 20
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = 0.8) -> DataFrame:
     """docs without near-duplicates: of each group the row of the smallest doc_id stays, nulls last.
 
-    Candidates come from multi-index hashing of a 192-bit SimHash over each text's distinct words; a pair is a link if
-    the Jaccard similarity of its five-word shingles is at least `similarity`, computed exactly inside every candidate
+    Candidates share one of their rarest five-word shingles, so many of each text that every pair of the wanted
+    similarity does (a prefix filter), and have 192-bit SimHashes over those shingles within PRINT_RADIUS bits; a pair is
+    a link if the Jaccard similarity of the shingles is at least `similarity`, computed exactly inside every candidate
     cluster; groups are the components of the links. Texts with equal words are one; so are all texts without words.
     """
     from readloom.llm.paragraph_dedup import name_filter
@@ -286,13 +359,16 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sim
     rows = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "rows")
     widths = [f"w{i}" for i in range(PRINT_WORDS)]
     raw = F.col(text).cast("binary").alias("_b")
-    schema = "_rid long, doc_id long, name long, " + ", ".join(f"{w} long" for w in widths)
-    prints = rows.select("_rid", F.col(doc_id).cast("long").alias("doc_id"), raw).mapInArrow(_word_prints(widths, PRINT_WORDS), schema)
+    levels = slot_levels(rows.select(raw)).tobytes()
+    schema = "_rid long, doc_id long, name long, keys array<long>, " + ", ".join(f"{w} long" for w in widths)
+    run = _shingle_prints(widths, PRINT_WORDS, levels, similarity)
+    prints = rows.select("_rid", F.col(doc_id).cast("long").alias("doc_id"), raw).mapInArrow(run, schema)
     prints = materialize(prints, "prints")
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_rid")
-    nodes = prints.groupBy(F.col("name").alias("node")).agg(*(F.first(w).alias(w) for w in widths), F.min(rank).alias("first"))
+    nodes = prints.groupBy(F.col("name").alias("node")).agg(*(F.first(w).alias(w) for w in ("keys", *widths)), F.min(rank).alias("first"))
     nodes = materialize(nodes, "nodes")
-    clusters = connected_components(hamming_links(nodes, widths, PRINT_RADIUS))
+    keyed = nodes.select(F.explode_outer("keys").alias("key"), F.lit(False).alias("asks"), "node", *widths).filter("key is not null")
+    clusters = connected_components(_links_by_key(keyed, widths, PRINT_RADIUS, BLOCK))
     clusters = materialize(clusters.select(F.col("node").alias("_name"), F.col("component").alias("cluster")), "clusters")
     grams = rows.select(raw).mapInArrow(_document_grams(name_filter(clusters, "_name")), "name long, grams binary")
     grams = grams.join(clusters, F.col("name") == F.col("_name")).groupBy("cluster", F.col("name").alias("node")).agg(F.first("grams").alias("grams"))

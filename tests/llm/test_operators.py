@@ -377,6 +377,38 @@ def test_one_of_each(docs, clashing, rows, empty):
     assert simhash_dedup.one_of_each(empty).count() == 0
 
 
+def test_one_of_each_finds_added_and_cut_blocks(spark):
+    """Every pair of different texts down to similarity 0.8, among texts that share a common passage, against brute force."""
+    rng = np.random.default_rng(11)
+    common = " ".join(f"c{k}" for k in range(30))
+    texts = []
+    for n in (40, 150, 600):
+        for k in range(25):
+            own = [f"t{n}.{k}.{x}" for x in rng.integers(0, 10**6, n).tolist()]
+            cut = int(rng.uniform(0.03, 0.17) * n)
+            texts += [" ".join(own) + " " + common * (k % 2), " ".join(own[: n - cut]) + " " + common * (k % 2)]
+    sets = [shingle_set(split(t)) for t in texts]
+    near = [k for k in range(0, len(texts), 2) if jaccard(sets[k], sets[k + 1]) >= 0.8]
+    assert len(near) > 50
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in simhash_dedup.one_of_each(df).collect()}
+    assert kept == set(range(len(texts))) - {k + 1 for k in near}
+
+
+def test_rare_prefix_and_print_cover_the_similarity():
+    rng = np.random.default_rng(12)
+    levels = rng.integers(0, 20, 1 << simhash_dedup.SLOT_BITS).astype(np.uint8)
+    worst = 0
+    for n in (5, 6, 10, 50, 400):
+        for _ in range(200):
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+            b = a[np.sort(rng.permutation(n)[: math.ceil(0.8 * n)])]
+            assert np.intersect1d(simhash_dedup.rare_prefix(a, levels, 0.8), simhash_dedup.rare_prefix(b, levels, 0.8)).size
+            far = simhash_dedup.shingle_print(a, simhash_dedup.PRINT_WORDS) ^ simhash_dedup.shingle_print(b, simhash_dedup.PRINT_WORDS)
+            worst = max(worst, int(np.bitwise_count(far).sum()))
+    assert worst <= simhash_dedup.PRINT_RADIUS
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (200, 201), (201, 202), (200, 202)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
