@@ -1,8 +1,9 @@
 """Benchmark decontamination by SimHash of item-sized windows (operator 8), in DataFrame expressions alone.
 
 A window has as many words as an item and is contaminated if the weighted Jaccard similarity of their word shingles
-(five words, repeats counted) is at least `similarity`. Such a window lacks at most a fixed share of the item's
-shingles, so it holds one of the item's anchors, of which there is one more than may be missing: windows without an
+(five words, repeats counted) is at least `similarity`. A text shorter than the item is one window, compared whole.
+Such a window lacks at most a fixed share of the item's shingles, so it holds one of the item's anchors, of which there
+is one more than may be missing (more in a shorter text, so that texts have further anchors there): windows without an
 anchor need no fingerprint. Window and item fingerprints meet in eight 8-bit blocks, each item entered under every
 value within two bits, which finds every pair within RADIUS = 20 differing bits (at similarity 0.8 about 10 are
 expected); the complete distance and then the exact similarity decide. Only anchored windows leave the scan's stage;
@@ -53,25 +54,27 @@ def _ball() -> list[int]:
 
 
 def benchmark_items(benchmark: DataFrame, k: int, similarity: float, text: str, item_id: str) -> DataFrame:
-    """Items of at least k words: item_id, n words, m shingles, hashes, fingerprint, anchors."""
+    """Items of at least k words: item_id, n words, m shingles, hashes, fingerprint, anchors, the first
+    `near` of which serve texts of at least m shingles."""
     words = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_GAP), "")
     df = benchmark.select(F.col(item_id).alias("item_id"), words.alias("_w")).filter(f"size(_w) >= {k}")
     df = df.select("item_id", F.size("_w").alias("n"), F.expr(_hashes("_w", k)).alias("item_h"))
-    missing = (1 - similarity) / (1 + similarity)
     df = df.withColumn("m", F.size("item_h")).withColumn("_l", F.expr(_lanes("item_h")))
-    count = f"cast(floor(m * {missing!r}D + 1e-9D) as int) + 1"
-    df = df.withColumn("item_fp", F.expr(_bits("_l", "m")))
-    return df.withColumn("anchors", F.expr(f"slice(array_sort(array_distinct(item_h)), 1, {count})")).drop("_l")
+    count = "cast(floor(m * {!r}D + 1e-9D) as int) + 1"
+    # Of m shingles, a window of as many lacks (1 - s) / (1 + s) at most, a shorter text 1 - s.
+    df = df.withColumn("item_fp", F.expr(_bits("_l", "m"))).withColumn("near", F.expr(count.format((1 - similarity) / (1 + similarity))))
+    return df.withColumn("anchors", F.expr(f"slice(array_sort(array_distinct(item_h)), 1, {count.format(1 - similarity)})")).drop("_l")
 
 
 def _hits(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """Anchors found in docs (doc_id, _h): rid, doc_id, n, m, at, `_from` (first window start not yet covered by the
     anchor before), `_first` (where _r begins) and _r, the shingles that windows around the anchor can have."""
     # Outer explodes: the others add a filter on the array, which the optimizer would push down and evaluate again.
-    anchors = items.select(F.explode_outer("anchors").alias("anchor"), "n", "m").distinct()
+    anchors = items.select(F.posexplode_outer("anchors").alias("place", "anchor"), "n", "m", "near")
+    anchors = anchors.groupBy("anchor", "n", "m").agg(F.min(F.col("place") >= F.col("near")).alias("short_only"))
     found = docs.select("doc_id", "_h", F.monotonically_increasing_id().alias("rid"))
     found = found.select("rid", "doc_id", "_h", F.posexplode_outer("_h").alias("at", "gram"))
-    found = found.join(F.broadcast(anchors), F.col("gram") == F.col("anchor"))
+    found = found.join(F.broadcast(anchors), F.expr("gram = anchor and (size(_h) < m or not short_only)"))
     first = "greatest(0, at - m + 1)"
     found = found.select("rid", "doc_id", "n", "m", "at", F.expr(first).alias("_first"), F.expr(f"slice(_h, {first} + 1, at + m - {first})").alias("_r"))
     before = F.lag("at").over(Window.partitionBy("rid", "n").orderBy("at"))
@@ -79,15 +82,17 @@ def _hits(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
 
 
 def _windows(hits: DataFrame) -> DataFrame:
-    """Fingerprint of every item-sized window that holds an anchor, once: rid, doc_id, n, m, at, _first, start, fp."""
-    last = F.least(F.col("at"), F.col("_first") + F.size("_r") - F.col("m"))
+    """Fingerprint of every item-sized window, or whole shorter text, that holds an anchor, once: rid, doc_id, n, m, at,
+    _first, start, fp."""
+    last = F.least(F.col("at"), F.col("_first") + F.greatest(F.size("_r") - F.col("m"), F.lit(0)))
     starts = hits.withColumn("_last", last).filter("_last >= _from")
+    starts = starts.withColumn("_g", F.least(F.col("m"), F.size("_r")))
     each = starts.withColumn("start", F.explode_outer(F.sequence("_from", "_last")))
-    grams = each.select("rid", "doc_id", "n", "m", "at", "_first", "start", F.explode_outer(F.expr("slice(_r, start - _first + 1, m)")).alias("h"))
+    grams = each.select("rid", "doc_id", "n", "m", "at", "_first", "start", "_g", F.explode_outer(F.expr("slice(_r, start - _first + 1, m)")).alias("h"))
     lanes = [" + ".join(f"shiftleft(shiftrightunsigned(h, {4 * i + j}) & 1L, {16 * j})" for j in range(4)) for i in range(16)]
-    keys = ("rid", "doc_id", "n", "m", "at", "_first", "start")
+    keys = ("rid", "doc_id", "n", "m", "at", "_first", "start", "_g")
     summed = grams.groupBy(*keys).agg(*[F.sum(F.expr(x)).alias(f"c{i}") for i, x in enumerate(lanes)])
-    return summed.select(*keys, F.expr(_bits("", "m")).alias("fp"))
+    return summed.select(*keys, F.expr(_bits("", "_g")).alias("fp"))
 
 
 def _matches(hits: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
@@ -111,14 +116,16 @@ def _matches(hits: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
     near = pairs.join(region, F.expr("rid = _rid and n = _n and at = _at"))
     near = near.withColumn("win_h", F.expr("slice(_r, start - _first + 1, m)"))
     shared = "aggregate(array_distinct(item_h), 0, (a, h) -> a + least(size(filter(win_h, x -> x = h)), size(filter(item_h, x -> x = h))))"
-    near = near.withColumn("_s", F.expr(shared)).withColumn("similarity", F.expr("_s / (2D * m - _s)"))
-    return near.filter(F.col("similarity") >= similarity - 1e-12).select("doc_id", "item_id", "start", "n", "hamming", "similarity")
+    near = near.withColumn("_s", F.expr(shared)).withColumn("similarity", F.expr("_s / (0D + m + size(win_h) - _s)"))
+    near = near.filter(F.col("similarity") >= similarity - 1e-12)
+    return near.select("doc_id", "item_id", "start", F.expr("n - m + size(win_h)").alias("n"), "hamming", "similarity")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """One row for each document and benchmark item it contains: doc_id, item_id, similarity, start, n_words, hamming.
 
-    Of several windows the most similar counts, then the first; `start` is its first word. Words are lower-cased
+    Of several windows the most similar counts, then the first; `start` is its first word. A text with fewer shingles
+    than the item is a window of its own. Words are lower-cased
     (all letters). Items of fewer than five words are compared as a single shingle of all their words; items without words and
     null texts match nothing. Rows of docs with one doc_id, null included, count as one document.
     """

@@ -314,6 +314,27 @@ def test_benchmark_windows(spark, rows, docs, clashing, empty):
     assert benchmark_windows.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_texts_shorter_than_the_item(spark):
+    rng = np.random.default_rng(4)
+    items, texts = [], []
+    for n in (6, 14, 50, 120):
+        w = [f"v{n}.{x}" for x in rng.integers(0, 10**6, n).tolist()]
+        items.append((n, " ".join(w)))
+        for cut in (1, 2, n // 10, n // 6, n // 5, n // 4):
+            texts += [" ".join(w[: n - cut]), " ".join(w[cut:]), " ".join(w[cut // 2 : n - (cut - cut // 2)])]
+        texts.append(" ".join([*w[: n // 2], "other", *w[n // 2 + 2 :]]))
+    want = {}
+    grams = lambda t: collections.Counter(tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4))
+    for i, t in enumerate(texts):
+        for j, x in items:
+            a, b = grams(t), grams(x)
+            if a and (a & b).total() >= 0.8 * (a | b).total():
+                want[i, j] = ((a & b).total() / (a | b).total(), 0, len(t.split()))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = benchmark_windows.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(want) > 20 and {(r.doc_id, r.item_id): (r.similarity, r.start, r.n_words) for r in got} == want
+
+
 # 9 --------------------------------------------------------------------------------------------------------------------
 
 
