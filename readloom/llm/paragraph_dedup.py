@@ -1,6 +1,7 @@
 """Paragraph near-duplicates by MinHash banding (operator 2).
 
-A paragraph is a line of a text with at least MIN_WORDS words. Its MinHash signature over shingles of five lower-cased
+A paragraph is a line of a text with at least `min_words` words: one in the query, so every line that is not blank.
+Lines of fewer than five words have a single shingle, so they are similar if equal and need no bands. A longer line's MinHash signature over shingles of five lower-cased
 words is cut into BANDS bands of BAND_ROWS: at similarity 0.8 two paragraphs share a band with probability
 1 - (1 - 0.8**4)**9 = 0.991. Equal paragraphs are one class from the start. Classes that share a band are linked to the
 smallest class there (a star, never all pairs); the components of those links are candidate clusters, inside which the
@@ -24,6 +25,7 @@ from readloom.llm.verify import jaccard_links
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 9, 4
+#: Default of duplicate_paragraphs; the query counts every line.
 MIN_WORDS = 5
 #: Size of the filter that spares most paragraphs the second shuffle; fixed, so it only filters less as data grow.
 FILTER_BITS = 1 << 22
@@ -82,7 +84,8 @@ def _names(lines: list[list[bytes]]) -> np.ndarray:
 
 
 def _occurrences(min_words: int):
-    """Rows (rid, doc_id, line, name, bands): bands with a name's first occurrence in the batch; line -1: no paragraph."""
+    """Rows (rid, doc_id, line, name, bands): bands with a name's first occurrence in the batch unless it
+    has fewer than SHINGLE words; line -1: no paragraph."""
     names = ["rid", "doc_id", "line", "name", "bands"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,9 +112,10 @@ def _occurrences(min_words: int):
             if lines:
                 name = _names(lines)
                 _, first = np.unique(name, return_index=True)
+                first = [k for k in first.tolist() if len(lines[k]) >= SHINGLE]
                 bands: list = [None] * len(lines)
-                keys = _bands(*shingle_hashes([lines[k] for k in first.tolist()], words))
-                for k, row in zip(first.tolist(), keys.tolist(), strict=True):
+                keys = _bands(*shingle_hashes([lines[k] for k in first], words)) if first else np.empty((0, BANDS), np.int64)
+                for k, row in zip(first, keys.tolist(), strict=True):
                     bands[k] = row
                 cols = [pa.array(rids, pa.int64()), pa.array(ids, pa.int64()), pa.array(line, pa.int32()), pa.array(name), pa.array(bands, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
@@ -198,4 +202,4 @@ def without_lines(text: F.Column, removed: F.Column) -> F.Column:
 
 
 def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicate_paragraphs(table(spark, sf_dir, "documents"))
+    return duplicate_paragraphs(table(spark, sf_dir, "documents"), min_words=1)

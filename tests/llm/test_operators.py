@@ -139,6 +139,13 @@ def test_paragraphs(docs, clashing, rows):
     assert [r[0] for r in one.select(paragraph_dedup.without_lines(F.col("t"), F.array(F.lit(1)))).collect()] == ["a\nc", None]
 
 
+def test_short_lines_are_paragraphs_of_the_query(spark, tmp_path):
+    texts = ["Yes\nno\n\none two three four", "a b c d e f\nyes \n no no", "one  two three FOUR\nyes\none two three four five", None, "no"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_paragraphs, r.n_linked, r.removed_lines, r.keeper_ids) for r in paragraph_dedup.op2_paragraph_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: (3, 3, [], []), 1: (3, 1, [1], [0]), 2: (3, 2, [0, 1], [0]), 3: (0, 0, [], []), 4: (1, 1, [0], [0])}
+
+
 def test_jaccard_links_in_blocks(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 60)
