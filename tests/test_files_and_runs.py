@@ -2,6 +2,7 @@
 
 import gzip
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +157,14 @@ def test_quality_tables(spark):
     first = qc.per_position(df.filter("quality <> ''")).orderBy("position").first()
     assert (first["n"], first["mean_q"], first["median_q"]) == (3, pytest.approx(80 / 3), 20.0)
     assert {r["copies"]: r["n_sequences"] for r in qc.duplication_levels(df).collect()} == {1: 2, 2: 1}
+
+
+def test_knn_vote_beyond_one_broadcast(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(450, 500))
+    y = rng.integers(0, 3, 450)
+    df = spark.createDataFrame([(k, int(c), v.tolist()) for k, (c, v) in enumerate(zip(y, x, strict=True))], "id long, y int, v array<double>").repartition(2)
+    got = {r.id: r.prediction for r in counts.knn_vote(df, df, "v", "y", "id").collect()}
+    far = [((x - v) ** 2).sum(1) for v in x]
+    votes = [np.bincount(y[np.lexsort((np.arange(450), d))[:5]], minlength=3) for d in far]
+    assert x.size > counts.QUERY_VALUES and got == {k: int(v.argmax()) for k, v in enumerate(votes)}
