@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: ASCII white space separates words; everything else belongs to a word (bytes.split() agrees).
 WORD_GAP = r"[ \t-\r]+"
@@ -20,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
@@ -35,10 +39,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that go to a Python worker at once; Spark's default of 64 MB is too much for texts of all sizes.
+ARROW_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for clusters where the repository is not installed."""
+    """Make the session ready for Python tasks of this package: send it to the executors once per application, for
+    clusters where the repository is not installed, and bound Arrow batches by ARROW_BYTES unless the user has set it."""
     import zipfile
 
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit).rstrip("b") == str(64 << 20):
+        spark.conf.set(limit, str(ARROW_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -55,6 +67,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(name: str, *taken: str) -> str:
+    """A column name close to `name` that none of `taken` has, letter case aside."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+def places(kept: DataFrame, made: list[T.StructField]) -> list[str]:
+    """Names by place for the columns of kept and those made."""
+    return [f"c{k}" for k in range(len(kept.columns) + len(made))]
+
+
+def with_columns(kept: DataFrame, made: list[T.StructField], run: Callable) -> DataFrame:
+    """kept.mapInArrow(run) with the columns `made` appended. Inside, columns have names by place, so that none of the
+    user's clashes with another."""
+    fields, names = [*kept.schema.fields, *made], places(kept, made)
+    inner = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields, strict=True)])
+    return kept.toDF(*names[: len(kept.columns)]).mapInArrow(run, inner).toDF(*[f.name for f in fields])
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
