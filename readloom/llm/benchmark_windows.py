@@ -5,8 +5,8 @@ A window has as many words as an item and is contaminated if the weighted Jaccar
 Such a window lacks at most a fixed share of the item's shingles, so it holds one of the item's anchors, of which there
 is one more than may be missing (more in a shorter text, so that texts have further anchors there): windows without an
 anchor need no fingerprint. Window and item fingerprints meet in eight 8-bit blocks, each item entered under every
-value within two bits, which finds every pair within RADIUS = 20 differing bits (at similarity 0.8 about 10 are
-expected); the complete distance and then the exact similarity decide. Only anchored windows leave the scan's stage;
+value within two bits, which finds every pair within RADIUS = 23 differing bits (at similarity 0.8 about 8 are
+expected, and more than 23 were never seen); the complete distance and then the exact similarity decide. Only anchored windows leave the scan's stage;
 items are broadcast in blocks of bounded size, so a large benchmark takes several passes instead of a larger table.
 """
 
@@ -18,11 +18,11 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from readloom.llm.common import WORD_GAP, materialize, table
+from readloom.llm.common import WORD_GAP, materialize, spare, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, BLOCK_BITS, NEAR = 8, 8, 2
-RADIUS = BLOCKS * (NEAR + 1) - 4
+RADIUS = BLOCKS * (NEAR + 1) - 1
 #: Item shingles that one pass broadcasts, at most.
 PASS_SHINGLES = 200_000
 
@@ -54,11 +54,11 @@ def _ball() -> list[int]:
 
 
 def benchmark_items(benchmark: DataFrame, k: int, similarity: float, text: str, item_id: str) -> DataFrame:
-    """Items of at least k words: item_id, n words, m shingles, hashes, fingerprint, anchors, the first
+    """Items of at least k words: item (a number of its own), item_id, n words, m shingles, hashes, fingerprint, anchors, the first
     `near` of which serve texts of at least m shingles."""
     words = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_GAP), "")
     df = benchmark.select(F.col(item_id).alias("item_id"), words.alias("_w")).filter(f"size(_w) >= {k}")
-    df = df.select("item_id", F.size("_w").alias("n"), F.expr(_hashes("_w", k)).alias("item_h"))
+    df = df.select(F.monotonically_increasing_id().alias("item"), "item_id", F.size("_w").alias("n"), F.expr(_hashes("_w", k)).alias("item_h"))
     df = df.withColumn("m", F.size("item_h")).withColumn("_l", F.expr(_lanes("item_h")))
     count = "cast(floor(m * {!r}D + 1e-9D) as int) + 1"
     # Of m shingles, a window of as many lacks (1 - s) / (1 + s) at most, a shorter text 1 - s.
@@ -103,17 +103,17 @@ def _matches(hits: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
 
     masks = F.array(*map(F.lit, _ball()))
     blocks = F.explode_outer(F.array(*map(F.lit, range(BLOCKS)))).alias("b")
-    entered = items.select("item_id", "n", "item_h", "item_fp", blocks).withColumn("mask", F.explode_outer(masks))
+    entered = items.select("item", "n", "item_fp", blocks).withColumn("mask", F.explode_outer(masks))
     key = F.expr(f"{block('item_fp', 'b')} ^ mask").alias("_key")
-    entered = entered.select("item_id", F.col("n").alias("_n"), "item_h", "item_fp", F.col("b").alias("_b"), key)
+    entered = entered.select("item", F.col("n").alias("_n"), "item_fp", F.col("b").alias("_b"), key)
     asked = _windows(hits).select("*", blocks).withColumn("key", F.expr(block("fp", "b")))
     pairs = asked.join(F.broadcast(entered), F.expr("n = _n and b = _b and key = _key"))
     # A pair that meets in several blocks counts in the first.
     earlier = " or ".join(f"(b > {i} and bit_count({block('fp', str(i))} ^ {block('item_fp', str(i))}) <= {NEAR})" for i in range(BLOCKS - 1))
     pairs = pairs.withColumn("hamming", F.expr("bit_count(fp ^ item_fp)")).filter(f"hamming <= {RADIUS} and not ({earlier})")
-    pairs = pairs.select("rid", "n", "at", "start", "item_id", "item_h", "hamming")
+    pairs = pairs.select("rid", "n", "at", "start", "item", "hamming")
     region = hits.select(F.col("rid").alias("_rid"), F.col("n").alias("_n"), F.col("at").alias("_at"), "doc_id", "m", "_first", "_r")
-    near = pairs.join(region, F.expr("rid = _rid and n = _n and at = _at"))
+    near = pairs.join(region, F.expr("rid = _rid and n = _n and at = _at")).join(F.broadcast(items.select("item", "item_id", "item_h")), "item")
     near = near.withColumn("win_h", F.expr("slice(_r, start - _first + 1, m)"))
     shared = "aggregate(array_distinct(item_h), 0, (a, h) -> a + least(size(filter(win_h, x -> x = h)), size(filter(item_h, x -> x = h))))"
     near = near.withColumn("_s", F.expr(shared)).withColumn("similarity", F.expr("_s / (0D + m + size(win_h) - _s)"))
@@ -144,10 +144,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
             mine = items.filter(F.pmod(F.xxhash64("item_id", "item_h"), F.lit(passes)) == p) if passes > 1 else items
             found.append(_matches(materialize(_hits(hashed, mine, k), "anchors"), mine, similarity))
     if not found:
-        return docs.sparkSession.createDataFrame([], docs.select(F.col(doc_id).alias("doc_id")).schema.add("item_id", "long").add("similarity", "double").add("start", "int").add("n_words", "int").add("hamming", "int"))
+        return docs.sparkSession.createDataFrame([], docs.select(F.col(doc_id).alias("doc_id")).schema.add("item_id", "long").add("similarity", "double").add("start", "integer").add("n_words", "integer").add("hamming", "integer"))
     best = F.max_by(F.struct("similarity", "start", F.col("n").alias("n_words"), "hamming"), F.struct("similarity", -F.col("start"))).alias("best")
     return reduce(DataFrame.union, found).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
+def without_items(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
+    """The rows of docs that contain no benchmark item, each judged by itself, whatever its other columns."""
+    row = spare("_row", *docs.columns)
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = contaminated(rows.select(row, text), benchmark, similarity, text, row).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(materialize(found, "leaks"), row, "left_anti").drop(row)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

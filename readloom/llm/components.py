@@ -2,51 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import materialize
 
 
-def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(a, b) links of long node ids -> (node, component), component being the smallest node id reached.
 
     Nodes without a link do not appear; null ends, self links and repeated links are ignored. An empty input
-    gives an empty result. Every round is two shuffles of at most the number of links, written to the shared
-    folder, so a lost executor repeats one round at most. Rounds grow with the logarithm of the longest chain.
+    gives an empty result. A round finds each node's least neighbour by an aggregation that combines before its
+    shuffle, and joins it back to the links by a key that Spark deals anew, so that it can split the link list of a hub:
+    no task needs it whole. A round is written to the shared folder, so a lost executor repeats one at most. Rounds go on
+    until nothing changes; their number grows with the logarithm of the longest chain.
     """
-    edges = materialize(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links"
-    )
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
+    edges = materialize(edges, "links")
     state = _state(edges)
-    for _ in range(max_rounds):
-        if state[0] == 0:
-            break
+    while state[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = F.least("u", F.min("v").over(Window.partitionBy("u")))
-        large = both.withColumn("m", nearest).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v")
-        least = F.min("v").over(Window.partitionBy("u"))
-        pairs = F.explode(
-            F.array(F.struct(F.col("v").alias("x"), F.col("m")), F.struct(F.col("u").alias("x"), F.col("m")))
-        )
-        small = (
-            large.withColumn("m", least)
-            .select(pairs.alias("p"))
-            .select(F.col("p.x").alias("u"), F.col("p.m").alias("v"))
-            .filter("u <> v")
-            .distinct()
-        )
-        edges = materialize(small, "stars")
+        nearest = both.groupBy("u").agg(F.min("v").alias("m")).select(_dealt_anew("u").alias("w"), F.least("u", "m").alias("m"))
+        large = edges.join(nearest, _dealt_anew("v") == nearest.w).select("u", F.col("m").alias("v")).filter("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m")).select(_dealt_anew("u").alias("w"), "m")
+        small = large.join(least, _dealt_anew("u") == least.w).select("u", "v", "m")
+        ends = F.explode(F.array(F.struct(F.col("v").alias("u"), "m"), F.struct("u", "m"))).alias("e")
+        small = small.select(ends).select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).filter("u <> v")
+        edges = materialize(small.distinct(), "stars")
         before, state = state, _state(edges)
         if before == state:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def _dealt_anew(node: str) -> F.Column:
+    """A node under another name, by which neither side of a join lies dealt out already: adaptive execution splits hot
+    keys only where both sides are shuffled for the join."""
+    return F.col(node).bitwiseXOR(F.lit(1).cast("long"))
+
+
 def _state(edges: DataFrame) -> tuple:
     """Row count and an order-free checksum of the edges."""
     row = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(xxhash64(v, u) % 1000003)")).first()

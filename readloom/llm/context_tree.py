@@ -2,10 +2,12 @@
 
 Every byte is eight binary choices; each choice has a tree of contexts, one byte per level. A node predicts by the
 Krichevsky-Trofimov estimate of its own counts, mixed with its children's predictions by the weight that the training
-data give to stopping there (half a priori at every node), so all depths take part. Training gathers counts of all
-(DEPTH + 1)-byte strings; contexts visited by less than SHARE of the training bytes fold into one `other` leaf of
-their parent. That rule is relative, so it is the same at every size, and bounds the model: at most 8 / SHARE nodes
-a level. Words, for the base of comparison, are counted exactly by 64-bit names and their totals return by chunk.
+data give to stopping there (half a priori at every node), so all depths take part; a context that training has not
+seen predicts one half. All contexts of all training bytes are kept: the model grows with the corpus and stays in
+tables. Strings of DEPTH + 1 bytes are counted by chunk of texts, and sent to shards by their two latest context
+bytes, so that a shard has whole subtrees below level two; sums for the two levels above, of bounded size, come to the
+driver. Each chunk's distinct strings, as sent, are its questions too: their shard answers each with one number.
+Words, for the base of comparison, are counted exactly by 64-bit names and their totals return by chunk.
 
 A text is read as its lower-cased words, each ended by a space, and a line feed: a code for token sequences.
 """
@@ -19,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +29,12 @@ from readloom.llm.chunks import batch_of, by_bucket, pack, rows_of, texts_of
 from readloom.llm.common import materialize, parts, ship, table
 
 DEPTH = 5
-SHARE = 2.0**-19
 CHUNK_BYTES = 8 << 20
 END = b"\n"
-_FLUSH = 3_000_000
+#: Bytes of texts whose strings are laid out at once.
+PIECE_BYTES = 1 << 20
+#: Chunks whose counts one group adds up, and strings that one group is asked about, about.
+FAN, ASKED = 256, 2_000_000
 _HALF = np.log(0.5)
 
 
@@ -73,36 +78,92 @@ def _tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of a key by its two latest context bytes, so a shard has whole subtrees below level two."""
+    """Shard of a key by its two latest context bytes."""
     return ((((keys >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(0x9E3779B1)) % np.uint64(1 << 32) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _gather(depth: int, shards: int):
-    """Chunks -> rows (shard, string keys, their counts) of the training texts, combined within a task."""
-    schema = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("n", pa.int64())])
+def _squeezed(x: np.ndarray, steps: bool) -> bytes:
+    """Unsigned longs, or the steps between them if they ascend, compressed by byte planes."""
+    x = x.astype("<u8")
+    x = np.diff(x, prepend=np.zeros(1, "<u8")) if steps else x
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes())
 
-    def emit(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        shard = _shard(keys, shards)
-        rows = []
-        for s in np.unique(shard).tolist():
-            at = shard == s
-            rows.append((s, keys[at].tobytes(), counts[at].astype("<i8").tobytes(), int(counts[at].sum())))
-        return batch_of(rows, schema)
+
+def _restored(data: bytes, steps: bool) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    x = np.ascontiguousarray(planes.T).view("<u8").ravel()
+    return np.cumsum(x, dtype=np.uint64) if steps else x
+
+
+def _pieces(lines: list[list[bytes]]) -> Iterator[list[list[bytes]]]:
+    """Word lists by about PIECE_BYTES; a longer text stands alone."""
+    group, held = [], 0
+    for w in lines:
+        n = sum(map(len, w)) + len(w)
+        if group and held + n > PIECE_BYTES:
+            yield group
+            group, held = [], 0
+        group.append(w)
+        held += n
+    if group:
+        yield group
+
+
+def _strings(depth: int, shards: int):
+    """Chunks -> rows (shard, chunk_id, n, keys, counts): each chunk's distinct strings and how often they train."""
+    schema = pa.schema([("shard", pa.int64()), ("chunk_id", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
             for x in rows_of(batch):
-                lines = [t.lower().split() for i, t in zip(x["ids"], texts_of(x["sizes"], x["packed"]), strict=True) if not held_out(i)]
-                k, n = _tally(_keys(lines, depth)[0])
-                keys, counts = _sums(np.concatenate([keys, k]), np.concatenate([counts, n]))
-                if len(keys) > _FLUSH:
-                    yield emit(keys, counts)
-                    keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield emit(keys, counts)
-
-    return run, "shard long, keys binary, counts binary, n long"
+                found = []
+                sides: tuple[list, list] = ([], [])
+                for i, t in zip(x["ids"], texts_of(x["sizes"], x["packed"]), strict=True):
+                    sides[held_out(i)].append(t.lower().split())
+                for held, lines in enumerate(sides):
+                    for piece in _pieces(lines):
+                        k, n = _tally(_keys(piece, depth)[0])
+                        found.append((k, n * (1 - held)))
+                if not found:
+                    continue
+                keys, counts = _sums(*map(np.concatenate, zip(*found, strict=True)))
+                shard = _shard(keys, shards)
+                order = np.argsort(shard, kind="stable")
+                cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
+                rows = []
+                for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+                    at = order[a:b]
+                    rows.append((int(shard[at[0]]), x["chunk_id"], len(at), _squeezed(keys[at], True), _squeezed(counts[at], False)))
+                yield batch_of(rows, schema)
+
+    return run, "shard long, chunk_id long, n long, keys binary, counts binary"
+
+
+def _total(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of a group's rows with the sums of their counts, those that train alone."""
+    keys = np.concatenate([_restored(x.as_py(), True) for x in t["keys"]])
+    counts = np.concatenate([_restored(x.as_py(), False) for x in t["counts"]]).astype(np.int64)
+    keys, counts = _sums(keys[counts > 0], counts[counts > 0])
+    return keys, counts
+
+
+def _added(t: pa.Table) -> pa.Table:
+    """Rows of one (shard, part) -> one row of their sums; the part stands where the chunk did."""
+    keys, counts = _total(t)
+    return pa.table({"shard": t["shard"][:1], "chunk_id": t["part"][:1], "keys": pa.array([_squeezed(keys, True)], pa.binary()), "counts": pa.array([_squeezed(counts, False)], pa.binary())})
+
+
+def shard_counts(strings: DataFrame, chunks: int) -> DataFrame:
+    """(shard, chunk_id, keys, counts) with one row a shard; sums of at most FAN rows at a time, so a frequent context's
+    group holds each of its strings FAN times at most."""
+    rows = strings.select("shard", "chunk_id", "keys", "counts")
+    while True:
+        chunks = -(-chunks // FAN)
+        part = F.pmod(F.xxhash64("chunk_id", F.lit(chunks)), F.lit(max(1, chunks))).alias("part")
+        rows = rows.select("shard", "keys", "counts", part).groupBy("shard", "part")
+        rows = materialize(rows.applyInArrow(_added, "shard long, chunk_id long, keys binary, counts binary"), "counts")
+        if chunks <= 1:
+            return rows
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -135,120 +196,142 @@ def _level(keys: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray
     return _sums(np.concatenate(ids), np.concatenate(zeros), np.concatenate(ones))
 
 
-def _weigh(level: tuple, child: dict | None, depth: int, least: float) -> dict:
-    """Kept nodes of a level with their estimates, and the log of their weighted probability given the next level's."""
+def _weigh(level: tuple, below: np.ndarray | None) -> dict:
+    """Nodes of a level with their estimates, and the log of their weighted probability given the sum of their
+    children's; None: the deepest level."""
     ids, zeros, ones = level
-    keep = (zeros + ones >= least) | (depth == 0)
-    ids, zeros, ones = ids[keep], zeros[keep], ones[keep]
-    own = _log_kt(zeros, ones)
-    rest0, rest1, below = zeros.astype(np.float64), ones.astype(np.float64), np.zeros(len(ids))
-    if child is not None and len(child["ids"]):
-        parent = np.searchsorted(ids, child["ids"] & np.uint64((1 << 8 * (depth + 1)) - 1))
-        np.subtract.at(rest0, parent, child["zeros"])
-        np.subtract.at(rest1, parent, child["ones"])
-        np.add.at(below, parent, child["log_p"])
-        alone = np.bincount(parent, minlength=len(ids)) == 0
-    else:
-        alone = np.ones(len(ids), bool)
-    split = below + _log_kt(rest0, rest1)
-    log_p = np.where(alone, own, _HALF + np.logaddexp(own, split))
-    return {
-        "ids": ids, "zeros": zeros, "ones": ones, "log_p": log_p,
-        "stop": np.where(alone, 1.0, np.exp(_HALF + own - log_p)),
-        "one": (ones + 0.5) / (zeros + ones + 1.0), "other": (rest1 + 0.5) / (rest0 + rest1 + 1.0),
-    }
-
-
-def _subtrees(depth: int, least: float):
-    """One shard of string counts -> its kept nodes of levels two and deeper, and sums of the levels above."""
-
-    def run(t: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in t["keys"]])
-        counts = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in t["counts"]])
-        keys, counts = _sums(keys, counts)
-        rows, child = [], None
-        for d in range(depth, 1, -1):
-            child = _weigh(_level(keys, counts, d), child, d, least)
-            rows.append((d, *(child[k].tobytes() for k in ("ids", "zeros", "ones", "log_p", "stop", "one", "other"))))
-        for d in (1, 0):
-            ids, zeros, ones = _level(keys, counts, d)
-            rows.append((d, ids.tobytes(), zeros.tobytes(), ones.tobytes(), b"", b"", b"", b""))
-        cols = list(zip(*rows, strict=True))
-        types = [pa.int64(), *[pa.binary()] * 7]
-        return pa.table([pa.array(c, k) for c, k in zip(cols, types, strict=True)], names=["level", "ids", "zeros", "ones", "log_p", "stop", "one", "other"])
+    log_p = own = _log_kt(zeros, ones)
+    if below is not None:
+        log_p = _HALF + np.logaddexp(own, below)
+    stop = np.exp(_HALF + own - log_p) if below is not None else np.ones(len(ids))
+    return {"ids": ids, "log_p": log_p, "stop": stop, "one": (ones + 0.5) / (zeros + ones + 1.0)}
 
-    return run
 
+def _below(ids: np.ndarray, child: dict, depth: int) -> np.ndarray:
+    """Sum of the children's log_p for the nodes of a level."""
+    parent = np.searchsorted(ids, child["ids"] & np.uint64((1 << 8 * (depth + 1)) - 1))
+    return np.bincount(parent, child["log_p"], len(ids))
 
-def _assemble(rows: list, depth: int, least: float) -> list[dict]:
-    """The model by level: node ids in order, weight of stopping, own and other estimate of a one."""
-    kinds = {"ids": np.uint64, "zeros": np.int64, "ones": np.int64, "log_p": np.float64, "stop": np.float64, "one": np.float64, "other": np.float64}
-    levels: list[dict] = [{} for _ in range(depth + 1)]
-    for d in range(depth, -1, -1):
-        mine = [r for r in rows if r["level"] == d]
-        cols = {k: np.concatenate([np.frombuffer(r[k], v) for r in mine] or [np.empty(0, v)]) for k, v in kinds.items()}
-        if d > 1:
-            order = np.argsort(cols["ids"])
-            levels[d] = {k: v[order] for k, v in cols.items()}
-        else:
-            levels[d] = _weigh(_sums(cols["ids"], cols["zeros"], cols["ones"]), levels[d + 1] if depth > d else None, d, least)
-    return [{"ids": x["ids"], "stop": x["stop"].astype(np.float32), "one": x["one"].astype(np.float32), "other": x["other"].astype(np.float32)} for x in levels]
-
-
-class Scorer:
-    """Log10 probabilities of bytes after their contexts, with a table of those met before."""
-
-    SLOTS = 20
-
-    def __init__(self, levels: list[dict]) -> None:
-        self.levels = levels
-        self.depth = len(levels) - 1
-        self.known = np.full(1 << self.SLOTS, np.uint64(1 << 63))
-        self.value = np.zeros(1 << self.SLOTS)
-
-    def compute(self, keys: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(keys))
-        for k in range(8):
-            choice = np.uint64(1 << k) | ((keys & np.uint64(255)) >> np.uint64(8 - k))
-            bit = ((keys >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
-            p, deeper = np.full(len(keys), 0.5), np.zeros(len(keys), bool)
-            for d in range(self.depth, -1, -1):
-                m = self.levels[d]
-                if not len(m["ids"]):
+
+def _subtrees(keys: np.ndarray, counts: np.ndarray, depth: int) -> list[dict]:
+    """Levels depth, ..., 2 of a shard's strings, deepest first."""
+    out: list[dict] = []
+    for d in range(depth, 1, -1):
+        level = _level(keys, counts, d)
+        out.append(_weigh(level, _below(level[0], out[-1], d) if out else None))
+    return out
+
+
+def _upper(depth: int):
+    """Shards -> rows (last, ids, zeros, ones, below) of level one by its context byte, each shard's share of the sums."""
+    schema = pa.schema([("last", pa.int64()), *((n, pa.binary()) for n in ("ids", "zeros", "ones", "below"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in rows_of(batch):
+                keys, counts = _restored(x["keys"], True), _restored(x["counts"], False).astype(np.int64)
+                if not len(keys):
                     continue
+                ids, zeros, ones = _level(keys, counts, 1)
+                below = _below(ids, _subtrees(keys, counts, depth)[-1], 1)
+                last = (ids >> np.uint64(8)).astype(np.int64)
+                rows = [(int(b), ids[last == b].tobytes(), zeros[last == b].tobytes(), ones[last == b].tobytes(), below[last == b].tobytes()) for b in np.unique(last)]
+                yield batch_of(rows, schema)
+
+    return run, "last long, ids binary, zeros binary, ones binary, below binary"
+
+
+def _level_one(t: pa.Table) -> pa.Table:
+    """One context byte's shares -> its nodes, weighed."""
+    kinds = (("ids", np.uint64), ("zeros", np.int64), ("ones", np.int64), ("below", np.float64))
+    ids, zeros, ones, below = _sums(*(np.concatenate([np.frombuffer(x.as_py(), k) for x in t[n]]) for n, k in kinds))
+    node = _weigh((ids, zeros, ones), below) | {"zeros": zeros, "ones": ones}
+    return pa.table({n: pa.array([node[n].tobytes()], pa.binary()) for n in ("ids", "zeros", "ones", "log_p", "stop", "one")})
+
+
+def upper_levels(model: DataFrame, depth: int) -> list[dict]:
+    """Levels one and zero, which have at most 65,536 and 256 nodes."""
+    run, schema = _upper(depth)
+    fields = ", ".join(f"{n} binary" for n in ("ids", "zeros", "ones", "log_p", "stop", "one"))
+    rows = model.mapInArrow(run, schema).groupBy("last").applyInArrow(_level_one, fields).collect()
+    kinds = {"ids": np.uint64, "zeros": np.int64, "ones": np.int64, "log_p": np.float64, "stop": np.float64, "one": np.float64}
+    one = {n: np.concatenate([np.frombuffer(r[n], k) for r in rows] or [np.empty(0, k)]) for n, k in kinds.items()}
+    order = np.argsort(one["ids"])
+    one = {n: v[order] for n, v in one.items()}
+    level = _sums(one["ids"] & np.uint64(255), one["zeros"], one["ones"])
+    return [one, _weigh(level, _below(level[0], one, 0))]
+
+
+def log_scores(keys: np.ndarray, levels: list[dict], depth: int) -> np.ndarray:
+    """Log10 probability of each string's last byte after its others; levels from the deepest to level zero."""
+    total = np.zeros(len(keys))
+    for k in range(8):
+        choice = np.uint64(1 << k) | ((keys & np.uint64(255)) >> np.uint64(8 - k))
+        bit = ((keys >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
+        p = np.full(len(keys), 0.5)
+        for m, d in zip(levels, range(depth, -1, -1), strict=True):
+            if len(m["ids"]):
                 node = ((keys & np.uint64((1 << 8 * (d + 1)) - 1)) >> np.uint64(8) << np.uint64(8)) | choice
                 at = np.minimum(np.searchsorted(m["ids"], node), len(m["ids"]) - 1)
-                found = m["ids"][at] == node
-                below = np.where(deeper, p, m["other"][at])
-                stop = m["stop"][at].astype(np.float64)
-                p = np.where(found, stop * m["one"][at] + (1 - stop) * below, p)
-                deeper |= found
-            total += np.log10(np.where(bit, p, 1 - p))
-        return total
+                p = np.where(m["ids"][at] == node, m["stop"][at] * m["one"][at] + (1 - m["stop"][at]) * p, 0.5)
+        total += np.log10(np.where(bit, p, 1 - p))
+    return total
+
+
+def _answers(depth: int, top):
+    """Questions of a (shard, part) and the shard's model -> rows (chunk_id, keys, logs)."""
+    none = {"ids": np.empty(0, np.uint64), "stop": np.empty(0), "one": np.empty(0)}
+
+    def run(asked: pa.Table, model: pa.Table) -> pa.Table:
+        each = [_restored(x.as_py(), True) for x in asked["keys"]]
+        every = np.unique(np.concatenate(each)) if each else np.empty(0, np.uint64)
+        own = [none] * (depth - 1)
+        if model.num_rows:
+            keys, counts = _total(model)
+            own = _subtrees(keys, counts, depth) if len(keys) else own
+        levels = [*own, *top.value]
+        logs = np.concatenate([np.empty(0)] + [log_scores(every[a : a + (1 << 17)], levels, depth) for a in range(0, len(every), 1 << 17)]).astype("<f4")
+        rows = [logs[np.searchsorted(every, x)].tobytes() for x in each]
+        return pa.table({"chunk_id": asked["chunk_id"], "keys": asked["keys"], "logs": pa.array(rows, pa.binary())})
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
-        out = self.value[slot]
-        miss = np.flatnonzero(self.known[slot] != keys)
-        if len(miss):
-            new, back = np.unique(keys[miss], return_inverse=True)
-            got = self.compute(new)
-            out[miss] = got[back]
-            at = ((new * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
-            self.known[at], self.value[at] = new, got
-        return out
-
-
-def train(chunks: DataFrame, depth: int = DEPTH, share: float = SHARE) -> list[dict]:
-    """The model of the training texts; its size is bounded by 8 / share nodes a level."""
+    return run
+
+
+def string_scores(chunks: DataFrame, depth: int) -> DataFrame:
+    """(chunk_id, keys, logs): log10 probabilities of the strings of every chunk, a row for each shard it asked."""
     spark = chunks.sparkSession
-    shards = max(64, parts(spark))
-    run, schema = _gather(depth, shards)
-    counts = materialize(chunks.mapInArrow(run, schema), "strings")
-    least = max(1.0, share * (counts.agg(F.sum("n")).first()[0] or 0))
-    fields = ", ".join(f"{k} binary" for k in ("ids", "zeros", "ones", "log_p", "stop", "one", "other"))
-    rows = counts.groupBy("shard").applyInArrow(_subtrees(depth, least), f"level long, {fields}").collect()
-    return _assemble(rows, depth, least)
+    run, schema = _strings(depth, max(64, parts(spark)))
+    strings = materialize(chunks.mapInArrow(run, schema), "strings")
+    model = shard_counts(strings, max(1, chunks.count()))
+    top = spark.sparkContext.broadcast(upper_levels(model, depth))
+    # A shard with many questions is copied, and each copy gets a part of them.
+    copies = strings.groupBy(F.col("shard").alias("_s")).agg(F.ceil(F.sum("n") / ASKED).cast("int").alias("copies"))
+    copies = F.broadcast(materialize(copies, "copies"))
+    asked = strings.join(copies, F.col("shard") == F.col("_s")).select("shard", F.pmod(F.xxhash64("chunk_id"), "copies").cast("int").alias("part"), "chunk_id", "keys")
+    told = model.join(copies, F.col("shard") == F.col("_s")).select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("part"), "keys", "counts")
+    both = asked.groupBy("shard", "part").cogroup(told.groupBy("shard", "part"))
+    return both.applyInArrow(_answers(depth, top), "chunk_id long, keys binary, logs binary")
+
+
+class Lookup:
+    """Values by key, through a table of slots with the sorted keys behind it."""
+
+    SLOTS = 21
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.slot = np.zeros(1 << self.SLOTS, np.int32)
+        self.slot[self._slots(self.keys)] = np.arange(len(keys))
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.SLOTS)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.slot[self._slots(keys)]
+        miss = np.flatnonzero(self.keys[at] != keys)
+        at[miss] = np.searchsorted(self.keys, keys[miss])
+        return self.values[at]
 
 
 def _word_names(words: list[bytes]) -> np.ndarray:
@@ -293,17 +376,19 @@ def _word_totals(t: pa.Table) -> pa.Table:
     return pa.table({"chunk_id": t["chunk_id"], "bucket": pa.array(bucket, pa.int64()), "totals": pa.array(out, pa.binary()), "known": pa.array(known, pa.int64()), "tokens": pa.array(tokens, pa.int64())})
 
 
-def context_tree_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", depth: int = DEPTH, share: float = SHARE) -> DataFrame:
+def context_tree_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", depth: int = DEPTH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Score every text by a context-tree model of the training texts (crc32 of the id mod 5 is not 1).
 
     One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and
     bits_per_byte (code length of the coded text over its bytes). Null texts are empty: they still have the end token.
     A null id trains. Repeated rows count each time. Other columns are ignored. Without training tokens every choice
-    has probability one half, and base_score is 0.
+    has probability one half, and base_score is 0. depth: 2 to 6 bytes of context.
     """
+    if not 2 <= depth <= 6:
+        raise ValueError("depth: 2 to 6")
     spark = docs.sparkSession
     ship(spark)
-    chunks = pack(docs, text, doc_id, CHUNK_BYTES, "lm")
+    chunks = pack(docs, text, doc_id, chunk_bytes, "lm")
     spread = parts(spark) * 2
     bits = max(1, int(spread).bit_length())
     run, schema = _word_counts(bits)
@@ -312,14 +397,12 @@ def context_tree_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     ends = chunks.agg(trained).first()[0] or 0
     words, known = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     n, v = words + ends, known + (ends > 0)
-    model = spark.sparkContext.broadcast(train(chunks, depth, share))
+    told = string_scores(chunks, depth).groupBy("chunk_id").agg(F.collect_list(F.struct("keys", "logs")).alias("told")).hint("shuffle_hash")
     gathered = totals.groupBy("chunk_id").agg(F.collect_list(F.struct("bucket", "totals")).alias("found")).hint("shuffle_hash")
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
     types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value)
-
         def base(counts: np.ndarray) -> np.ndarray:
             return np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
 
@@ -333,16 +416,12 @@ def context_tree_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_
                 logs = dict(zip(words, base(total).tolist(), strict=True))
                 unseen = {w for w, c in zip(words, total.tolist(), strict=True) if c == 0}
                 end = float(base(np.array([ends]))[0])
-                # About a megabyte of text at a time bounds the arrays of the byte model.
-                scores, sizes, group, held = [], [], [], 0
-                for k, w in enumerate(lines):
-                    group.append(w)
-                    held += sum(map(len, w)) + len(w)
-                    if held > 1 << 20 or k == len(lines) - 1:
-                        keys, size = _keys(group, depth)
-                        scores.append(np.add.reduceat(scorer(keys), np.cumsum(size) - size))
-                        sizes.append(size)
-                        group, held = [], 0
+                lookup = Lookup(np.concatenate([_restored(a["keys"], True) for a in x["told"]]), np.concatenate([np.frombuffer(a["logs"], "<f4") for a in x["told"]]).astype(np.float64))
+                scores, sizes = [], []
+                for piece in _pieces(lines):
+                    keys, size = _keys(piece, depth)
+                    scores.append(np.add.reduceat(lookup(keys), np.cumsum(size) - size))
+                    sizes.append(size)
                 score, size = np.concatenate(scores), np.concatenate(sizes)
                 known = [len(w) + (ends > 0) - (sum(u in unseen for u in w) if unseen else 0) for w in lines]
                 bases = [sum(map(logs.__getitem__, w)) + end if n else 0.0 for w in lines]
@@ -350,7 +429,7 @@ def context_tree_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return chunks.join(gathered, "chunk_id", "left").mapInArrow(run, schema)
+    return chunks.join(gathered, "chunk_id", "left").join(told, "chunk_id", "left").mapInArrow(run, schema)
 
 
 def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm.common import table
+from readloom.llm.common import spare, table
 
 #: What may be personal, as Java patterns.
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -146,14 +146,14 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", found: str | Non
     """
     any_kind = "|".join(f"(?:{p})" for p in PATTERNS.values())
     # Marks set candidates apart; a text that has the mark already gets one with its own digest, which it cannot have.
-    t = f"`{text}`"
-    df = docs.withColumn("_mark", F.expr(f"if(contains({t}, {_quoted(_MARK)}), concat({_quoted(_MARK)}, md5({t})), {_quoted(_MARK)})"))
-    marked = f"regexp_replace({t}, {_quoted(any_kind)}, concat(_mark, '$0', _mark))"
-    df = df.withColumn("_old", F.expr(f"split({marked}, _mark, -1)"))
-    df = df.withColumn("_new", F.expr(f"if(size(_old) > 1, transform(_old, (x, i) -> if(i % 2 = 1, {pseudonym(key, 'x')}, x)), _old)"))
+    t, (mark, old, new) = f"`{text}`", (spare(x, *docs.columns, found or "") for x in ("_mark", "_old", "_new"))
+    df = docs.withColumn(mark, F.expr(f"if(contains({t}, {_quoted(_MARK)}), concat({_quoted(_MARK)}, md5({t})), {_quoted(_MARK)})"))
+    marked = f"regexp_replace({t}, {_quoted(any_kind)}, concat({mark}, '$0', {mark}))"
+    df = df.withColumn(old, F.expr(f"split({marked}, {mark}, -1)"))
+    df = df.withColumn(new, F.expr(f"if(size({old}) > 1, transform({old}, (x, i) -> if(i % 2 = 1, {pseudonym(key, 'x')}, x)), {old})"))
     if found:
-        df = df.withColumn(found, F.expr("if(size(_old) > 1, size(filter(zip_with(_old, _new, (a, b) -> a <> b), e -> e)), 0)").cast("int"))
-    return df.withColumn(text, F.expr(f"if({t} is null, null, array_join(_new, ''))")).drop("_mark", "_old", "_new")
+        df = df.withColumn(found, F.expr(f"if(size({old}) > 1, size(filter(zip_with({old}, {new}, (a, b) -> a <> b), e -> e)), 0)").cast("int"))
+    return df.withColumn(text, F.expr(f"if({t} is null, null, array_join({new}, ''))")).drop(mark, old, new)
 
 
 #: The registered query's key; a real run passes a secret of its own.

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from readloom.llm.common import ship, table
+from readloom.llm.common import materialize, places, ship, table, with_columns
 
 BUCKETS = 1 << 17
 GRAMS = (3, 4)
@@ -27,13 +27,13 @@ AGAIN = BUCKETS
 #: Bound on the labelled rows that the classifier learns from.
 TRAIN_ROWS = 4000
 #: Words whose numbers a Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def word_features(word: bytes) -> list[int]:
-    """Buckets of a word and of the n-grams of its bytes between < and >."""
-    edged = b"<" + word + b">"
-    grams = [edged[i : i + n] for n in GRAMS for i in range(len(edged) - n + 1)]
+    """Buckets of a word and of the n-grams of its characters between < and >."""
+    edged = f"<{word.decode('utf-8', 'replace')}>"
+    grams = [edged[i : i + n].encode() for n in GRAMS for i in range(len(edged) - n + 1)]
     return [zlib.crc32(g) & (BUCKETS - 1) for g in [word, *grams]]
 
 
@@ -100,7 +100,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
     """Fit on labelled rows whose fold is not 1; at most train_rows of them, those of lowest hash. No rows: no opinion."""
     ids = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)")
     ids = ids.groupBy("_id").agg(F.max("_y").alias("_y")).filter(fold("_id") != 1)
-    ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
+    ids = materialize(ids.orderBy(F.xxhash64("_id"), "_id").limit(train_rows), "ids")
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("binary").alias("_t")).join(F.broadcast(ids), "_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,8 +110,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
                 cols = [pa.array([i.as_py()]), pa.array([y.as_py()], pa.int32()), pa.array([at.astype("<i4").tobytes()]), pa.array([share.astype("<f4").tobytes()])]
                 yield pa.RecordBatch.from_arrays(cols, names=["_id", "_y", "at", "share"])
 
-    rows = texts.select(F.col("_id").cast("long").alias("_id"), "_t", "_y").mapInArrow(run, "_id long, _y int, at binary, share binary").limit(2 * train_rows).collect()
-    rows.sort(key=lambda r: (r["_id"], r["share"]))
+    # Of rows with one id the first by content stands, so that their number is bounded, whatever repeats.
+    one = texts.groupBy(F.col("_id").cast("long").alias("_id"), "_y").agg(F.min("_t").alias("_t")).select("_id", "_t", "_y")
+    rows = materialize(one, "rows").mapInArrow(run, "_id long, _y int, at binary, share binary").collect()
+    rows.sort(key=lambda r: r["_id"])
     return SubwordModel().fit([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["share"], "<f4").astype(float), r["_y"]) for r in rows])
 
 
@@ -134,23 +136,22 @@ def score(docs: DataFrame, model: SubwordModel, text: str = "text", out: str = "
     spark = docs.sparkSession
     ship(spark)
     flat = spark.sparkContext.broadcast(model.flat())
-    kept = docs.drop(out)
-    names = kept.columns
+    kept, made = docs.drop(out), [T.StructField(out, T.DoubleType())]
+    names, at = places(kept, made), kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, prior = flat.value
         words, again = _Words(weights), complex(weights[AGAIN], 1)
         for b in batches:
             logits = []
-            for t in b.column(b.schema.get_field_index("_score_text")):
+            for t in b.column(at).cast(pa.binary()):
                 split = (t.as_py() or b"").split()
                 total = sum(map(words.__getitem__, split), again * repeats(split))
                 logits.append(prior + (total.real / total.imag if total.imag else 0.0))
             p = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
-            cols = [b.column(b.schema.get_field_index(k)) for k in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(p, pa.float64())], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], names=names)
 
-    return kept.withColumn("_score_text", F.col(text).cast("binary")).mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
+    return with_columns(kept, made, run)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", train_rows: int = TRAIN_ROWS) -> DataFrame:

@@ -16,8 +16,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from readloom.llm.common import materialize, parts, ship, table
+from readloom.llm.common import materialize, parts, places, ship, spare, table
 from readloom.llm.components import connected_components
 from readloom.llm.verify import jaccard_links
 
@@ -54,17 +55,16 @@ def fingerprint(features: list[bytes], words: int = 1, seed: int = 42) -> np.nda
 def simhash(docs: DataFrame, text: str = "text", shingle: int = 3, out: str = "fp") -> DataFrame:
     """docs with a 64-bit fingerprint column `out` (long) over word shingles in place of the text."""
     ship(docs.sparkSession)
-    keep = [c for c in docs.columns if c != text]
-    schema = docs.select(*keep).schema.add(out, "long")
+    keep = [c for c in docs.columns if c not in (text, out)]
+    names = places(docs.select(*keep), [])
+    schema = T.StructType([T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, keep, strict=True)]).add("made", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(b.schema.get_field_index("_text"))
-            fps = np.array([fingerprint(word_shingles(t.as_py() or b"", shingle))[0] for t in texts], "<u8")
-            cols = [b.column(b.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(fps.view(np.int64))], names=[*keep, out])
+            fps = np.array([fingerprint(word_shingles(t.as_py() or b"", shingle))[0] for t in b.column(len(keep))], "<u8")
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(fps.view(np.int64))], names=[*names, "made"])
 
-    return docs.select(*keep, F.col(text).cast("binary").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).cast("binary")).toDF(*names, "made").mapInArrow(run, schema).toDF(*keep, out)
 
 
 def _probes(widths: list[str]):
@@ -356,13 +356,14 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sim
 
     spark = docs.sparkSession
     ship(spark)
-    rows = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "rows")
+    rid = spare("_rid", *docs.columns)
+    rows = materialize(docs.withColumn(rid, F.monotonically_increasing_id()), "rows")
     widths = [f"w{i}" for i in range(PRINT_WORDS)]
     raw = F.col(text).cast("binary").alias("_b")
     levels = slot_levels(rows.select(raw)).tobytes()
     schema = "_rid long, doc_id long, name long, keys array<long>, " + ", ".join(f"{w} long" for w in widths)
     run = _shingle_prints(widths, PRINT_WORDS, levels, similarity)
-    prints = rows.select("_rid", F.col(doc_id).cast("long").alias("doc_id"), raw).mapInArrow(run, schema)
+    prints = rows.select(F.col(rid).alias("_rid"), F.col(doc_id).cast("long").alias("doc_id"), raw).mapInArrow(run, schema)
     prints = materialize(prints, "prints")
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_rid")
     nodes = prints.groupBy(F.col("name").alias("node")).agg(*(F.first(w).alias(w) for w in ("keys", *widths)), F.min(rank).alias("first"))
@@ -372,13 +373,13 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sim
     clusters = materialize(clusters.select(F.col("node").alias("_name"), F.col("component").alias("cluster")), "clusters")
     grams = rows.select(raw).mapInArrow(_document_grams(name_filter(clusters, "_name")), "name long, grams binary")
     grams = grams.join(clusters, F.col("name") == F.col("_name")).groupBy("cluster", F.col("name").alias("node")).agg(F.first("grams").alias("grams"))
-    groups = connected_components(jaccard_links(grams, similarity))
+    groups = connected_components(jaccard_links(grams, similarity, nodes=clusters))
     named = nodes.select("node", "first").join(groups.select(F.col("node").alias("_name"), "component"), F.col("node") == F.col("_name"), "left")
     named = named.select("node", "first", F.coalesce("component", "node").alias("group"))
     keepers = named.groupBy("group").agg(F.min("first").alias("keeper"))
     keepers = named.join(keepers, "group").select(F.col("node").alias("_name"), F.col("keeper._rid").alias("_keep"))
-    gone = prints.join(keepers, F.col("name") == F.col("_name")).filter("_rid <> _keep").select("_rid")
-    return rows.join(materialize(gone, "gone"), "_rid", "left_anti").drop("_rid")
+    gone = prints.join(keepers, F.col("name") == F.col("_name")).filter("_rid <> _keep").select(F.col("_rid").alias(rid))
+    return rows.join(materialize(gone, "gone"), rid, "left_anti").drop(rid)
 
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,12 +8,17 @@ an equal sample of SAMPLE = length - PERIOD + 1 bytes there. The steps, each ove
    repeated ones return to their chunk.
 2. ties: around each repeated sample lie PERIOD strings of `length` bytes that it can prove. Samples whose whole
    surroundings (PERIOD - 1 bytes before, `length` after) occur again have all of them proved. This settles the
-   inside of long repeats by names alone, without their bytes.
-3. suffixes: for names with samples at the edge of a repeat, the surroundings (one copy of each) go to the bucket,
-   where all suffixes of the same name and offset are sorted and neighbours with `length` equal bytes are proved.
+   inside of long repeats by names alone, without their bytes; the surroundings' hash is of another family.
+3. suffixes: samples at the edge of a repeat go to the bucket with their surroundings' bytes (one copy of each).
+   A bucket's cover-sample suffixes are sorted by their bytes, which gives each its rank, and what precedes them is
+   sorted likewise. A suffix that starts some bytes before a sample is then compared by those bytes and, where they
+   tie, by the sample's rank alone; neighbours in that order with `length` equal bytes are proved.
+4. hot names: a name with more than HOT_SAMPLES samples at edges is not put into one bucket. Each of its samples sends
+   a hash of every string of `length` bytes that it can prove to the bucket of that hash, where those that occur again
+   are found as in step 1, so that the name spreads over all tasks.
 
 A chunk then removes the bytes under its proved strings. Memory per task is a chunk or one bucket; nothing is
-collected. Names meet only names, so chance equalities of a 64-bit hash must agree twice to do harm.
+collected. Two strings that are not proved by their bytes were equal in two independent 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ PERIOD = 91
 COVER = (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
 CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 6 << 20
+#: Samples at edges that one name may put into one bucket.
+HOT_SAMPLES = 4096
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _BYTES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -107,6 +114,12 @@ def _chunks(batch: pa.RecordBatch, length: int) -> Iterator[tuple[dict, _Chunk]]
         yield x, _Chunk(x["chunk_id"], x["sizes"], x["packed"], length)
 
 
+def _halves(names: np.ndarray, bits: int) -> tuple[bytes, bytes]:
+    """40 bits of names that follow the bucket's."""
+    rest = (names << np.uint64(bits)) >> np.uint64(24)
+    return rest.astype("<u4").tobytes(), (rest >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
 def _sample_names(bits: int, length: int):
     """Chunk -> rows (bucket, chunk_id, 40 further bits of each name as 4 + 1 bytes)."""
     schema = pa.schema([("bucket", pa.int64()), ("chunk_id", pa.int64()), ("low", pa.binary()), ("high", pa.binary())])
@@ -116,8 +129,7 @@ def _sample_names(bits: int, length: int):
             for x, c in _chunks(batch, length):
                 rows = []
                 for bucket, at in by_bucket(c.names, bits):
-                    rest = (c.names[at] << np.uint64(bits)) >> np.uint64(24)
-                    rows.append((bucket, x["chunk_id"], rest.astype("<u4").tobytes(), (rest >> np.uint64(32)).astype(np.uint8).tobytes()))
+                    rows.append((bucket, x["chunk_id"], *_halves(c.names[at], bits)))
                 if rows:
                     yield batch_of(rows, schema)
 
@@ -160,8 +172,9 @@ def _ties(bits: int, length: int):
             for x, c in _chunks(batch, length):
                 hit = _hit_marks(c, x["found"], bits)
                 start, end = c.around(hit, length)
+                whole = np.fromiter((xxhash.xxh3_64_intdigest(c.raw[s:e]) for s, e in zip(start.tolist(), end.tolist(), strict=True)), np.uint64, len(hit))
                 # Cut surroundings differ from whole ones, and from those cut elsewhere.
-                whole = _mix(c.rolling.at(start, end) + ((c.marks[hit] - start) * 1024 + (end - start)).astype(np.uint64))
+                whole = _mix(whole + ((c.marks[hit] - start) * 1024 + (end - start)).astype(np.uint64))
                 rows = [(b, x["chunk_id"], c.names[hit[at]].tobytes(), whole[at].tobytes()) for b, at in by_bucket(c.names[hit], bits)]
                 if rows:
                     yield batch_of(rows, schema)
@@ -169,11 +182,20 @@ def _ties(bits: int, length: int):
     return run, "bucket long, chunk_id long, names binary, wholes binary"
 
 
-SETTLED, OPEN = 1, 2
+SETTLED, OPEN, HOT = 1, 2, 4
+
+
+def _settle(hot_samples: int):
+    """One bucket -> per chunk a byte for each repeated name: bit SETTLED if the surroundings recur, OPEN to send them
+    on, HOT to send on their strings' hashes; and the number of hot ones."""
+
+    def run(t: pa.Table) -> pa.Table:
+        return _settle_bucket(t, hot_samples)
+
+    return run
 
 
-def _settle(t: pa.Table) -> pa.Table:
-    """One bucket -> per chunk a byte for each repeated name: bit SETTLED if the surroundings recur, OPEN to send them on."""
+def _settle_bucket(t: pa.Table, hot_samples: int) -> pa.Table:
     names = [np.frombuffer(x.as_py(), np.uint64) for x in t["names"]]
     wholes = [np.frombuffer(x.as_py(), np.uint64) for x in t["wholes"]]
     sizes = [len(x) for x in names]
@@ -189,11 +211,13 @@ def _settle(t: pa.Table) -> pa.Table:
     lone = np.bincount(klass) < 2
     send = unsure[klass] & ~lone[klass] & (~recurs | new_whole)
     state = np.zeros(len(n), np.uint8)
-    state[order] = recurs * SETTLED + send * OPEN
+    hot = (np.bincount(klass, send) > hot_samples)[klass] & send
+    state[order] = recurs * SETTLED + (send & ~hot) * OPEN + hot * HOT
     ends = np.cumsum(sizes)
     states = [state[e - s : e].tobytes() for s, e in zip(sizes, ends, strict=True)]
     bucket = pa.array([t["bucket"][0].as_py()] * len(sizes), pa.int64())
-    return pa.table({"chunk_id": t["chunk_id"], "bucket": bucket, "states": pa.array(states, pa.binary())})
+    count = pa.array([np.count_nonzero(np.frombuffer(x, np.uint8) & HOT) for x in states], pa.int64())
+    return pa.table({"chunk_id": t["chunk_id"], "bucket": bucket, "states": pa.array(states, pa.binary()), "hot": count})
 
 
 def _states(c: _Chunk, x: dict, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,39 +252,76 @@ def _edges(bits: int, length: int):
     return run, "bucket long, chunk_id long, names binary, before binary, size binary, texts binary"
 
 
+def _rows(data: np.ndarray, start: np.ndarray, size: np.ndarray, step: int, width: int) -> np.ndarray:
+    """Bytes from each start on, forwards or backwards (step 1 or -1), as rows of a matrix with zeros past each size."""
+    out = np.zeros((len(start), width), np.uint8)
+    for k in range(width):
+        at = np.flatnonzero(size > k)
+        out[at, k] = data[start[at] + step * k]
+    return out
+
+
+def _ranked(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows by their bytes, and how many bytes each has in common with the one before it in that order."""
+    order = np.argsort(rows.view(f"S{rows.shape[1]}").ravel(), kind="stable")
+    differ = rows[order[1:]] != rows[order[:-1]]
+    common = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
+    return order, np.r_[0, np.minimum(common, np.minimum(size[order[1:]], size[order[:-1]]))][: len(order)]
+
+
 def _sort_suffixes(length: int):
     """One bucket of surroundings -> per chunk and mark a bit for each offset whose `length` bytes occur again."""
 
     def run(t: pa.Table) -> pa.Table:
         unpress = zstandard.ZstdDecompressor()
-        each = [np.frombuffer(x.as_py(), np.uint64) for x in t["names"]]
-        name = np.concatenate(each)
+        sizes = [len(x.as_py()) // 8 for x in t["names"]]
         before = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in t["before"]]).astype(np.int64)
         size = np.concatenate([np.frombuffer(x.as_py(), "<u2") for x in t["size"]]).astype(np.int64)
         data = np.frombuffer(b"".join(unpress.decompress(x.as_py()) for x in t["texts"]), np.uint8)
-        start = np.cumsum(size) - size
-        proved = np.zeros((len(name), PERIOD), bool)
-        # One name's samples at a time share their bucket; suffixes of one offset sort together.
-        rolling = _Rolling(data)
+        mark = np.cumsum(size) - size + before
+        after = size - before
+        by_rank, common = _ranked(_rows(data, mark, after, 1, length), after)
+        by_past, shared = _ranked(_rows(data, mark - 1, before, -1, PERIOD - 1), before)
+        proved, rank, past = np.zeros((len(mark), PERIOD), bool), np.empty(len(mark), np.int64), np.empty(len(mark), np.int64)
         for back in range(PERIOD):
-            at = np.flatnonzero((before >= back) & (before - back + length <= size))
-            if len(at) < 2:
-                continue
-            left = start[at] + before[at] - back
-            h = rolling.at(left, left + length)
-            order = np.lexsort((h, name[at]))
-            same = (name[at][order][1:] == name[at][order][:-1]) & (h[order][1:] == h[order][:-1])
-            twin = np.r_[same, False] | np.r_[False, same]
-            proved[at[order[twin]], back] = True
-        bits = np.packbits(proved, axis=1)
-        ends = np.cumsum([len(x) for x in each])
-        rows = [bits[e - len(x) : e].tobytes() for e, x in zip(ends, each, strict=True)]
+            # Marks agree in both halves of the string if nothing between them in either order differs earlier.
+            rank[by_rank] = np.cumsum(common < length - back)
+            past[by_past] = np.cumsum(shared < back)
+            at = np.flatnonzero((before >= back) & (after >= length - back))
+            _, place, n = np.unique(rank[at] * (len(mark) + 1) + past[at], return_inverse=True, return_counts=True)
+            proved[at[n[place] > 1], back] = True
+        bits, ends = np.packbits(proved, axis=1), np.cumsum(sizes)
+        rows = [bits[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)]
         bucket = pa.array([t["bucket"][0].as_py()] * len(rows), pa.int64())
         return pa.table({"chunk_id": t["chunk_id"], "bucket": bucket, "proved": pa.array(rows, pa.binary())})
 
     return run
 
 
+def _strings(c: _Chunk, hot: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, name) of every string of `length` bytes that hot marks can prove, once each."""
+    start, end = c.around(hot, length)
+    at = np.concatenate([np.arange(s, e - length + 1) for s, e in zip(start.tolist(), end.tolist(), strict=True)] or [np.empty(0, np.int64)])
+    at = np.unique(at)
+    return at, c.rolling.at(at, at + length)
+
+
+def _hot_strings(bits: int, length: int):
+    """Chunk -> rows (bucket, chunk_id, low, high) of the strings at its hot marks, like _sample_names."""
+    schema = pa.schema([("bucket", pa.int64()), ("chunk_id", pa.int64()), ("low", pa.binary()), ("high", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, c in _chunks(batch, length):
+                hit, state = _states(c, x, bits)
+                _, names = _strings(c, hit[(state & HOT) > 0], length)
+                rows = [(b, x["chunk_id"], *_halves(names[at], bits)) for b, at in by_bucket(names, bits)]
+                if rows:
+                    yield batch_of(rows, schema)
+
+    return run, "bucket long, chunk_id long, low binary, high binary"
+
+
 def _cut(bits: int, length: int, keep_text: bool):
     """Chunk with all results -> one row for each text: what is removed and what is left."""
 
@@ -282,6 +343,13 @@ def _cut(bits: int, length: int, keep_text: bool):
                         begin = c.marks[opened[at[row]]] - back
                         np.add.at(change, begin, 1)
                         np.add.at(change, begin + length, -1)
+                start, names = _strings(c, hit[(state & HOT) > 0], length)
+                by = {h["bucket"]: np.frombuffer(h["hits"], "<u4") for h in x["hot"] or []}
+                for b, at in by_bucket(names, bits):
+                    if b in by:
+                        begin = start[at[by[b]]]
+                        np.add.at(change, begin, 1)
+                        np.add.at(change, begin + length, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 out = []
                 for i, a, n in zip(x["ids"], c.begin.tolist(), c.size.tolist(), strict=True):
@@ -306,6 +374,7 @@ def remove_repeats(
     length: int = 200,
     chunk_bytes: int = CHUNK_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
+    hot_samples: int = HOT_SAMPLES,
     keep_text: bool = True,
 ) -> DataFrame:
     """Remove every byte under a string of `length` bytes that also starts anywhere else, in the same text or another.
@@ -333,13 +402,18 @@ def remove_repeats(
     chunks = materialize(chunks.join(found, "chunk_id", "left"), "found")
     run, schema = _ties(bits, length)
     ties = chunks.mapInArrow(run, schema).groupBy("bucket")
-    settled = materialize(ties.applyInArrow(_settle, "chunk_id long, bucket long, states binary"), "settled")
+    settled = ties.applyInArrow(_settle(hot_samples), "chunk_id long, bucket long, states binary, hot long")
+    settled = materialize(settled, "settled")
     chunks = chunks.join(gathered(settled, "states", "settled"), "chunk_id", "left")
+    hot = chunks.join(settled.filter("hot > 0").select(F.col("chunk_id").alias("_c")).distinct(), F.col("chunk_id") == F.col("_c"), "left_semi")
+    run, schema = _hot_strings(bits, length)
+    hot = hot.mapInArrow(run, schema).groupBy("bucket")
+    hot = gathered(hot.applyInArrow(_repeated_names, "chunk_id long, bucket long, hits binary"), "hits", "hot")
     run, schema = _edges(bits, length)
     edges = chunks.mapInArrow(run, schema).groupBy("bucket")
     proved = gathered(edges.applyInArrow(_sort_suffixes(length), "chunk_id long, bucket long, proved binary"), "proved", "proved")
     run, schema = _cut(bits, length, keep_text)
-    return chunks.join(proved, "chunk_id", "left").mapInArrow(run, schema)
+    return chunks.join(proved, "chunk_id", "left").join(hot, "chunk_id", "left").mapInArrow(run, schema)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

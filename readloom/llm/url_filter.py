@@ -3,8 +3,9 @@
 Level 1 is a Bloom filter of the listed keys. The keys of the corpus that pass it though they are not listed go into
 level 2, the listed ones that pass level 2 into level 3, and so on until none passes wrongly. As the corpus's whole
 key universe took part, the first level that a key fails tells exactly whether it is listed. The filters are constants
-of the plan (their size is bounded by MAX_CHARS), so judging rows takes no join. Larger lists are dealt into shards by
-the key's hash; a shard's filters, each within the bound, then meet its rows by an equi-join on the shard.
+of the plan as long as the first is within MAX_CHARS, so judging rows takes no join. Larger lists are dealt into shards
+of about SHARD_KEYS listed keys by the key's hash; a shard's filters, some hundred bytes a level, then meet its rows by
+an equi-join on the shard, in which a key of many rows can be split.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm.common import lower_ascii, materialize, table
+from readloom.llm.common import lower_ascii, materialize, spare, table
 
-BITS_PER_KEY, HASHES, MAX_LEVELS = 8, 4, 60
+BITS_PER_KEY, HASHES = 8, 4
 #: Six bits a character; a level's constant is at most this long.
-MAX_CHARS = 1 << 20
+MAX_CHARS = 1 << 17
+#: Listed keys a shard of larger lists, about.
+SHARD_KEYS = 500
 #: Rules (verdict, host, path) and the terms that put a host on the list.
 RULES = (
     ("allow", "com", "/"),
@@ -70,11 +73,12 @@ def build_cascade(listed: DataFrame, universe: DataFrame, key: str = "key", max_
     b = universe.select(F.col(key).cast("string").alias("key")).filter("key is not null").distinct().withColumn("on", F.lit(False))
     keys = materialize(a.union(b).groupBy("key").agg(F.max("on").alias("on")), "keys")
     n = keys.filter("on").count()
-    shards = max(1, -(-n * BITS_PER_KEY * 5 // (6 * max_chars * 4))) if n * BITS_PER_KEY > 6 * max_chars else 1
+    shards = -(-n // SHARD_KEYS) if n * BITS_PER_KEY > 6 * max_chars else 1
     keys = keys.withColumn("shard", F.pmod(F.xxhash64("key", F.lit(-1)), F.lit(shards)).cast("int"))
-    spark, levels, done = listed.sparkSession, [], []
+    spark, levels = listed.sparkSession, []
     inside, outside = keys.filter("on"), keys.filter("not on")
-    for level in range(1, MAX_LEVELS):
+    while True:
+        level = len(levels) + 1
         sizes = inside.groupBy("shard").agg(F.greatest(F.lit(60), F.count("*") * BITS_PER_KEY).alias("bits"))
         every = spark.range(shards).select(F.col("id").cast("int").alias("shard")).join(sizes, "shard", "left")
         every = every.select("shard", F.ceil(F.coalesce("bits", F.lit(60)) / 6).alias("chars"))
@@ -88,16 +92,16 @@ def build_cascade(listed: DataFrame, universe: DataFrame, key: str = "key", max_
         made = chars.agg(text.cast("binary").alias("chars")).join(every.select("shard", "bits"), "shard")
         made = materialize(made.select(F.lit(level).alias("level"), "shard", "bits", "chars"), "filters")
         levels.append(made)
-        wrong = outside.join(made.select("shard", F.col("bits").alias("_b"), F.col("chars").alias("_c")), "shard")
-        wrong = wrong.filter(_passes(F.col("key"), level, F.col("_b"), F.col("_c"))).select("key", "on", "shard")
-        wrong = materialize(wrong, "wrong")
+        if shards == 1:
+            only = made.first()
+            passing = outside.filter(_passes(F.col("key"), level, F.lit(only["bits"]), F.lit(bytearray(only["chars"]))))
+        else:
+            passing = outside.join(made.select("shard", F.col("bits").alias("_b"), F.col("chars").alias("_c")), "shard")
+            passing = passing.filter(_passes(F.col("key"), level, F.col("_b"), F.col("_c")))
+        wrong = materialize(passing.select("key", "on", "shard"), "wrong")
         if wrong.isEmpty():
-            done = levels
-            break
+            return reduce(DataFrame.union, levels), len(levels), shards
         inside, outside = wrong, inside
-    if not done:
-        raise RuntimeError(f"the cascade did not end in {MAX_LEVELS} levels")
-    return reduce(DataFrame.union, levels), len(levels), shards
 
 
 def _verdict(passes: list[Column]) -> Column:
@@ -119,31 +123,43 @@ def is_listed(rows: DataFrame, key: str, filters: DataFrame, levels: int, shards
         passes = [_passes(value, k, F.lit(found[k][0]), F.lit(bytearray(found[k][1]))) for k in range(1, levels + 1)]
         return rows.withColumn(out, F.coalesce(_verdict(passes), F.lit(False)) & value.isNotNull())
     wide = filters.groupBy("shard").pivot("level", list(range(1, levels + 1))).agg(F.first("bits").alias("b"), F.first("chars").alias("c"))
-    wide = wide.withColumnRenamed("shard", "_shard")
-    dealt = rows.withColumn("_shard", F.pmod(F.xxhash64(value, F.lit(-1)), F.lit(shards)).cast("int")).join(wide, "_shard", "left")
-    passes = [_passes(value, k, F.col(f"{k}_b"), F.col(f"{k}_c")) for k in range(1, levels + 1)]
-    return dealt.withColumn(out, F.coalesce(_verdict(passes), F.lit(False)) & value.isNotNull()).select(*rows.columns, out)
+    names = [spare(f"_{x}", *rows.columns) for x in wide.columns]
+    wide = materialize(wide.toDF(*names), "wide")
+    mine = spare("_mine", *rows.columns)
+    dealt = rows.withColumn(mine, F.pmod(F.xxhash64(value, F.lit(-1)), F.lit(shards)).cast("int"))
+    dealt = dealt.join(wide, F.col(mine) == F.col(names[0]), "left")
+    passes = [_passes(value, k, F.col(names[2 * k - 1]), F.col(names[2 * k])) for k in range(1, levels + 1)]
+    return dealt.withColumn(out, F.coalesce(_verdict(passes), F.lit(False)) & value.isNotNull()).select(*[c for c in rows.columns if c != out], out)
 
 
-def judge_urls(pages: DataFrame, url: str = "url", page_id: str = "page_id", terms: tuple = TERMS, rules: tuple = RULES) -> DataFrame:
+def pages_of_hosts(pages: DataFrame, terms: tuple = TERMS, url: str = "url") -> DataFrame:
+    """A list for judge_urls: the column `key` with the pages (host and path) of hosts with one of the terms as a word."""
+    host, path = host_and_path(F.col(url))
+    rows = pages.select(host.alias("host"), F.concat(host, path).alias("key")).distinct()
+    return rows.filter(F.arrays_overlap(F.split("host", "[.-]"), F.array(*map(F.lit, terms)))).select("key")
+
+
+def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", page_id: str = "page_id", key: str = "key", rules: tuple = RULES) -> DataFrame:
     """One row for each row of pages: page_id, host, path, rule, verdict and listed.
 
-    A URL is blocked or allowed by its longest rule; without one it is blocked if its host is listed, that is, if one
-    of the host's words is a listed term. Null URLs and those without :// have an empty host and path and are allowed.
+    A URL is blocked or allowed by its longest rule; without one it is blocked if its page is listed, that is, if host
+    and path, put together, are in the column `key` of `listed`. The universe of the cascade is the pages of the corpus
+    and the list. Null URLs and those without :// have an empty host and path. Other columns are ignored.
     """
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
-    hosts = materialize(rows.select("host").distinct(), "hosts")
-    listed = hosts.filter(F.arrays_overlap(F.split("host", "[.-]"), F.array(*map(F.lit, terms))))
-    filters, levels, shards = build_cascade(listed, hosts, "host")
+    rows = rows.withColumn("page", F.concat("host", "path"))
+    universe = rows.select("page").distinct()
+    filters, levels, shards = build_cascade(listed.select(F.col(key).alias("page")), universe, "page")
     name, said = longest_rule(F.col("host"), F.col("path"), rules)
-    rows = is_listed(rows, "host", filters, levels, shards)
+    rows = is_listed(rows, "page", filters, levels, shards)
     verdict = F.coalesce(said, F.when(F.col("listed"), "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", name.alias("rule"), verdict.alias("verdict"), "listed")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, pages_of_hosts(pages))
 
 
 #: DuckDB SQL for op3_url_filter.

@@ -15,15 +15,17 @@ from readloom.llm.common import parts
 BLOCK = 512
 
 
-def jaccard_links(members: DataFrame, similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
+def jaccard_links(members: DataFrame, similarity: float = 0.8, block: int = BLOCK, nodes: DataFrame | None = None) -> DataFrame:
     """(cluster, node, grams) -> links (a, b) spanning all pairs of a cluster with set similarity >= `similarity`.
 
+    nodes: a frame with the column `cluster` of the same members, if one is at hand that is cheaper to count.
+
     grams are distinct unsigned 64-bit hashes as bytes, nodes are distinct. Clusters over `block` members are cut into
     blocks by the node's hash and every pair of blocks is compared in a task of its own, so that none is held whole.
     A row is compared with the rows of a linked group until one suits, so a group of copies takes one comparison a row;
     components are those of all the links.
     """
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("_n")).filter("_n > 1")
+    sizes = (nodes or members).groupBy("cluster").agg(F.count("*").alias("_n")).filter("_n > 1")
     sizes = sizes.select(F.col("cluster").alias("_c"), F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
     dealt = members.join(sizes, F.col("cluster") == F.col("_c")).withColumn("i", F.pmod(F.xxhash64("node"), "_blocks").cast("int"))
     dealt = dealt.withColumn("o", F.explode_outer(F.sequence(F.lit(0), F.col("_blocks") - 1)))

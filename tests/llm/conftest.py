@@ -4,7 +4,7 @@ import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names an operator might use itself.
-CLASH = ("fp", "node", "a", "b", "key", "chunk_id", "name", "score", "_t", "n", "h", "at", "rid")
+CLASH = ("fp", "node", "a", "b", "key", "chunk_id", "name", "score", "_t", "n", "h", "at", "rid", "_encode", "_score_text", "_text", "_rid", "_b", "c0", "_old", "_new", "_mark", "_w", "_h", "_s", "_p")
 
 
 def words(rng, n, pool=400):

@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import datetime
 import hashlib
 import math
 import re
@@ -83,67 +84,136 @@ def test_context_tree_base_and_model(docs, rows):
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
-def test_context_tree_is_context_tree_weighting():
-    """The recursion's root probability equals sequential prediction's, and the scorer's choices sum to one."""
-    depth, text = 2, b"abracadabra abracadabra"
-    keys, _ = context_tree._keys([text.split()], depth)
-    k, n = context_tree._tally(keys)
-    child = None
-    levels = {}
-    for d in range(depth, -1, -1):
-        levels[d] = child = context_tree._weigh(context_tree._level(k, n, d), child, d, 1.0)
-    counts = collections.defaultdict(lambda: [0, 0])
-    for x in keys.tolist():
-        for b in range(8):
-            for d in range(depth + 1):
-                counts[d, (x & ((1 << 8 * (d + 1)) - 1)) >> 8, (1 << b) | ((x & 255) >> (8 - b))][(x >> (7 - b)) & 1] += 1
-
-    def log_pe(z, o):
+@pytest.mark.parametrize(("chunk", "fan", "asked"), [(8 << 20, 256, 2_000_000), (300, 2, 40)])
+def test_context_tree_is_context_tree_weighting(spark, monkeypatch, chunk, fan, asked):
+    """Whole-text scores through all shards equal a plain context tree's, and no context is left out."""
+    monkeypatch.setattr(context_tree, "FAN", fan)
+    monkeypatch.setattr(context_tree, "ASKED", asked)
+    monkeypatch.setattr(context_tree, "PIECE_BYTES", 200)
+    rng = np.random.default_rng(8)
+    texts = [" ".join("".join(rng.choice(list("abé"), int(n))) for n in rng.integers(1, 6, 12)) for _ in range(30)] + [None, "", "zzz new"]
+    depth, rows = 3, list(enumerate(texts))
+    counts: dict = collections.defaultdict(lambda: [0, 0])
+    children: dict = collections.defaultdict(set)
+
+    def choices(t):
+        coded = b"\n" * depth + b" ".join([*split(t), b"\n"])
+        for k in range(depth, len(coded)):
+            for b in range(8):
+                yield [(coded[k - d : k], (1 << b) | coded[k] >> (8 - b)) for d in range(depth + 1)], coded[k] >> (7 - b) & 1
+
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            for path, bit in choices(t):
+                for node, deeper in zip(path, [*path[1:], None], strict=True):
+                    counts[node][bit] += 1
+                    if deeper:
+                        children[node].add(deeper)
+
+    def log_kt(z, o):
         return math.lgamma(z + 0.5) + math.lgamma(o + 0.5) - math.log(math.pi) - math.lgamma(z + o + 1)
 
-    def log_pw(d, context, prefix):
-        own = log_pe(*counts[d, context, prefix])
-        if d == depth:
+    weights = {}
+
+    def log_pw(node):
+        own = log_kt(*counts[node])
+        if len(node[0]) == depth:
+            weights[node] = 1.0
             return own
-        below = sum(log_pw(d + 1, c, p) for e, c, p in list(counts) if e == d + 1 and p == prefix and c & ((1 << 8 * d) - 1) == context)
-        return math.log(0.5) + np.logaddexp(own, below)
+        log_p = math.log(0.5) + np.logaddexp(own, sum(map(log_pw, children[node])))
+        weights[node] = math.exp(math.log(0.5) + own - log_p)
+        return log_p
+
+    for node in [n for n in list(counts) if not n[0]]:
+        log_pw(node)
 
-    roots = levels[0]
-    for node, log_p in zip(roots["ids"].tolist(), roots["log_p"].tolist(), strict=True):
-        assert log_p == pytest.approx(log_pw(0, 0, node), abs=1e-6)
-    model = [{f: x[f].astype(np.float32) if f != "ids" else x[f] for f in ("ids", "stop", "one", "other")} for x in (levels[d] for d in range(depth + 1))]
-    scorer = context_tree.Scorer(model)
-    every = np.uint64(ord("a") << 8 | ord("r") << 16) | np.arange(256, dtype=np.uint64)
-    assert (10 ** scorer(every)).sum() == pytest.approx(1, abs=1e-5)
-    assert (10 ** scorer(np.arange(256, dtype=np.uint64) | np.uint64(0x7878 << 8))).sum() == pytest.approx(1, abs=1e-5)
+    def one(path):
+        if path[0] not in weights:
+            return 0.5
+        z, o = counts[path[0]]
+        stop = weights[path[0]]
+        return stop * (o + 0.5) / (z + o + 1) + (1 - stop) * (one(path[1:]) if len(path) > 1 else 0)
+
+    want = {i: sum(math.log10(p if bit else 1 - p) for path, bit in choices(t) for p in [one(path)]) for i, t in rows}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in context_tree.context_tree_scores(df, depth=depth, chunk_bytes=chunk).collect()}
+    assert {i: r.score for i, r in got.items()} == pytest.approx(want, rel=1e-5)
+    assert got[0].bits_per_byte == pytest.approx(-want[0] / math.log10(2) / len(b" ".join([*split(texts[0]), b"\n"])))
 
 
 # 2 --------------------------------------------------------------------------------------------------------------------
 
 
+def paragraph_units(text):
+    """(start, words, is a line) of the lines and windows of a text, by the plain definition."""
+    w, out, at = split(text), [], 0
+    for line in (text or "").encode().lower().split(b"\n"):
+        n = len(WORD.findall(line))
+        if n:
+            out.append((at, w[at : at + n], True))
+        at += n
+    size, reach = paragraph_dedup.WINDOW, paragraph_dedup.REACH
+    h = paragraph_dedup.Words([(text or "").encode()], paragraph_dedup.WordHashes()).shingles.tolist()[: max(0, len(w) - size + 1)]
+    runs = [range(q, q + reach) for q in range(len(h) - reach + 1)] or [range(len(h))]
+    for p in range(len(h)):
+        if any(p in run and h[p] == min(h[k] for k in run) for run in runs) and not any(s == p and len(x) == size for s, x, _ in out):
+            out.append((p, w[p : p + size], False))
+    return out
+
+
 def test_paragraphs(docs, clashing, rows):
-    each = [(i is None, i, r, k, w) for r, (i, t, *_) in enumerate(rows) for k, w in paragraph_dedup.paragraphs((t or "").encode(), 5)]
-    sets = [shingle_set(w) for *_, w in each]
-    root = groups(len(each), lambda x, y: jaccard(sets[x], sets[y]) >= 0.8)
+    each = [(i is None, i, r, s, w, line) for r, (i, t, *_) in enumerate(rows) for s, w, line in paragraph_units(t)]
+    sets = [shingle_set(w) for *_, w, _ in each]
+    alike = lambda x, y: each[x][4] == each[y][4] or each[x][5] and each[y][5] and min(len(each[x][4]), len(each[y][4])) >= 5 and jaccard(sets[x], sets[y]) >= 0.8
+    root = groups(len(each), alike)
     members = collections.defaultdict(list)
     for x, r in enumerate(root):
         members[r].append(x)
+    linked, short, removed = collections.Counter(), collections.Counter(), 0
+    for m in members.values():
+        removed += len(m) - 1
+        if len({each[x][2] for x in m}) > 1:
+            for x in m:
+                (linked if len(each[x][4]) >= paragraph_dedup.WINDOW else short)[each[x][1]] += 1
     for frame in (docs, clashing):
         got = paragraph_dedup.duplicate_paragraphs(frame).collect()
         assert len(got) == len(rows)
-        assert sum(r.n_paragraphs for r in got) == len(each)
-        assert sum(r.n_removed for r in got) == sum(len(m) - 1 for m in members.values())
-        assert sum(r.n_linked for r in got) == sum(len(m) for m in members.values() if len(m) > 1)
-        assert all(r.n_removed == len(r.removed_lines) for r in got)
-    one = docs.sparkSession.createDataFrame([("a\nb\nc",), (None,)], "t string")
-    assert [r[0] for r in one.select(paragraph_dedup.without_lines(F.col("t"), F.array(F.lit(1)))).collect()] == ["a\nc", None]
-
-
-def test_short_lines_are_paragraphs_of_the_query(spark, tmp_path):
+        assert sum(r.n_paragraphs for r in got) == sum(x[5] for x in each)
+        assert sum(r.n_removed for r in got) == removed
+        for name, want in (("n_linked", linked), ("n_short_linked", short)):
+            have = collections.Counter()
+            for r in got:
+                have[r.doc_id] += r[name]
+            assert +have == want
+        assert all(bool(r.n_removed) == bool(r.removed) for r in got)
+        assert all(a.end < b.start for r in got for a, b in zip(r.removed, r.removed[1:], strict=False))
+
+
+def test_passages_inside_lines_and_across_them(spark):
+    rng = np.random.default_rng(12)
+    make = lambda n: [f"u{x}" for x in rng.integers(0, 10**9, n).tolist()]
+    texts, clean = [], []
+    for k in range(40):
+        passage = make(50 + k % 30)
+        for gap in (" ", "\n"):
+            w = [*make(int(rng.integers(0, 60))), *passage, *make(int(rng.integers(0, 60)))]
+            texts.append("".join(x + (gap if rng.random() < 0.1 else " ") for x in w))
+        clean.append(" ".join([*make(60), *passage[:20], *make(60)]) + "\nshared short line")
+    df = spark.createDataFrame(list(enumerate(texts + clean)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in paragraph_dedup.duplicate_paragraphs(df).collect()}
+    assert all(got[i].n_linked > 0 for i in range(80)) and not any(got[i].n_linked for i in range(80, 120))
+    assert all(got[i].n_short_linked == 1 for i in range(80, 120))
+    left = df.join(spark.createDataFrame([(r.doc_id, r.removed) for r in got.values()], "i long, removed array<struct<start: int, end: int>>"), F.col("doc_id") == F.col("i"))
+    left = dict(left.select("doc_id", paragraph_dedup.without_words(F.col("text"), F.col("removed"))).collect())
+    assert left[0] == texts[0] and len(left[1].split()) <= len(texts[1].split()) - 50 + 2 * paragraph_dedup.REACH
+    assert [r[0] for r in spark.createDataFrame([("a b\nc  d",), (None,)], "t string").select(paragraph_dedup.without_words(F.col("t"), F.expr("array(named_struct('start', 1, 'end', 3))"))).collect()] == ["a d", None]
+
+
+def test_short_lines_are_paragraphs(spark, tmp_path):
     texts = ["Yes\nno\n\none two three four", "a b c d e f\nyes \n no no", "one  two three FOUR\nyes\none two three four five", None, "no"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.n_paragraphs, r.n_linked, r.removed_lines, r.keeper_ids) for r in paragraph_dedup.op2_paragraph_dedup(spark, str(tmp_path)).collect()}
-    assert got == {0: (3, 3, [], []), 1: (3, 1, [1], [0]), 2: (3, 2, [0, 1], [0]), 3: (0, 0, [], []), 4: (1, 1, [0], [0])}
+    got = {r.doc_id: (r.n_paragraphs, r.n_short_linked, [tuple(x) for x in r.removed], r.keeper_ids) for r in paragraph_dedup.op2_paragraph_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: (3, 3, [], []), 1: (3, 1, [(6, 7)], [0]), 2: (3, 2, [(0, 5)], [0]), 3: (0, 0, [], []), 4: (1, 1, [(0, 1)], [0])}
 
 
 def test_jaccard_links_in_blocks(spark):
@@ -167,7 +237,7 @@ def test_urls(spark):
     urls = ["http://www.example.com/en/a", "https://EXAMPLE.com/en/b?x", "http://a.b.net/es/1", "ftp://m.org", "http://x-casino-y.org/p#t", None, "no url", "http://net/fr/", "http://notexample.com", "http://example.com", "://casino.org/"]
     df = spark.createDataFrame(list(enumerate(urls)) + [(1, urls[1])], "page_id long, url string").withColumn("key", F.lit(1)).withColumn("listed", F.lit(2))
     got = collections.defaultdict(set)
-    for r in url_filter.judge_urls(df).collect():
+    for r in url_filter.judge_urls(df, url_filter.pages_of_hosts(df)).collect():
         got[r.page_id].add((r.host, r.path, r.rule, r.verdict))
     assert got == {
         0: {("www.example.com", "/en/a", "www.example.com/en/", "allow")},
@@ -182,17 +252,20 @@ def test_urls(spark):
         9: {("example.com", "", None, "allow")},
         10: {("casino.org", "/", None, "block")},
     }
-    assert url_filter.judge_urls(df.limit(0)).count() == 0
+    assert url_filter.judge_urls(df.limit(0), url_filter.pages_of_hosts(df)).count() == 0
+    assert url_filter.judge_urls(df, url_filter.pages_of_hosts(df.limit(0))).filter("verdict = 'block'").count() == 3
 
 
-@pytest.mark.parametrize("chars", [1 << 20, 40])
-def test_cascade_is_exact(spark, chars):
-    keys = spark.range(1500).select(F.concat(F.lit("k"), "id").alias("key"))
+@pytest.mark.parametrize(("n", "chars"), [(1500, 1 << 17), (120_000, 1 << 17), (120_000, 1 << 14)])
+def test_cascade_is_exact(spark, n, chars):
+    keys = spark.range(n).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = keys.filter("hash(key) % 4 = 0")
     filters, levels, shards = url_filter.build_cascade(listed, keys, max_chars=chars)
-    assert (shards > 1) == (chars == 40) and levels > 1
-    got = url_filter.is_listed(keys.union(spark.sql("select cast(null as string)")), "key", filters, levels, shards)
-    assert got.filter("listed <> coalesce(hash(key) % 4 = 0 and key is not null, false)").count() == 0 and got.count() == 1501
+    assert (shards > 1) == (chars == 1 << 14) and levels > 2
+    assert filters.filter("length(chars) > 2000").isEmpty() or shards == 1
+    got = url_filter.is_listed(keys.union(spark.sql("select cast(null as string)")).withColumns({"_shard": F.lit(1), "_1_b": F.lit(2), "shard": F.lit(3)}), "key", filters, levels, shards)
+    assert got.filter("listed <> coalesce(hash(key) % 4 = 0 and key is not null, false)").count() == 0 and got.count() == n + 1
+    assert got.columns == ["key", "_shard", "_1_b", "shard", "listed"]
 
 
 # 4 --------------------------------------------------------------------------------------------------------------------
@@ -212,6 +285,7 @@ def test_bpe(docs, clashing, rows):
         ids = peer.encode_ordinary(t or "")
         want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
     assert collections.Counter(map(tuple, byte_bpe.digests(docs, path, tokenizers.PATTERN).collect())) == want
+    assert byte_bpe.encode_texts(clashing, path, tokenizers.PATTERN, same="same").filter("not same").count() == 0
     back = byte_bpe.decode_ids(byte_bpe.encode_texts(clashing, path, tokenizers.PATTERN), path, tokenizers.PATTERN)
     assert back.filter("decoded <> cast(coalesce(text, '') as binary)").count() == 0 and back.count() == len(rows)
 
@@ -232,6 +306,71 @@ def test_pii(spark):
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[5][1]) and got[5][1] != texts[5]
     assert re.fullmatch(r"[A-Z][a-z]\.[A-Z][a-z]{2}\d@mail\.example\.com", got[6][1])
     assert pii.pseudonymize(df, "other", found="n").filter("doc_id = 5").first().text != got[5][1]
+    kept = pii.pseudonymize(df.withColumns({"_new": F.lit(7), "_mark": F.lit(8)}), "k")
+    assert kept.select("_old", "_new", "_mark", "x").distinct().collect() == [(1, 7, 8, 2)]
+
+
+def plain_feistel(key, kind, a, b, size_a, size_b):
+    def prf(value, turn, size):
+        return int(hashlib.sha256(f"{key}:{kind}:{turn}:{size}:{value}".encode()).hexdigest()[:15], 16) % size
+
+    for turn in range(8):
+        if turn % 2 == 0:
+            a = (a + prf(b, turn, size_a)) % size_a
+        else:
+            b = (b + prf(a, turn, size_b)) % size_b
+    return a, b
+
+
+def plain_pseudonym(key, kind, x):
+    """A pseudonym by plain Python, for values that pass their validation."""
+
+    def digits(kind, d):
+        half = len(d) // 2
+        a, b = plain_feistel(key, kind, int(d[:half]), int(d[half:]), 10**half, 10 ** (len(d) - half))
+        return f"{a:0{half}d}{b:0{len(d) - half}d}"
+
+    def filled(shape, new):
+        new = iter(new)
+        return "".join(next(new) if c.isdigit() else c for c in shape)
+
+    if kind == "card":
+        payload = digits(kind, re.sub("[ -]", "", x)[:-1])
+        total = sum(sum(divmod(int(c) * (2 - k % 2), 10)) for k, c in enumerate(reversed(payload)))
+        return filled(x, payload + str(-total % 10))
+    if kind == "ip":
+        o = list(map(int, x.split(".")))
+        a, b = plain_feistel(key, kind, o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536)
+        return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+    if kind == "ssn":
+        area, group, serial = map(int, x.split("-"))
+        a, b = plain_feistel(key, kind, (area - (2 if area > 666 else 1)) * 99 + group - 1, serial - 1, 898 * 99, 9999)
+        area = a // 99 + (2 if a // 99 >= 665 else 1)
+        return f"{area:03d}-{a % 99 + 1:02d}-{b + 1:04d}"
+    if kind == "date":
+        first = datetime.date(1000, 1, 1)
+        day = (datetime.date.fromisoformat(x) - first).days
+        a, b = plain_feistel(key, kind, day % 146097 // 773, day % 146097 % 773, 189, 773)
+        return str(first + datetime.timedelta(day // 146097 * 146097 + a * 773 + b))
+    country = re.match(r"\+([0-9]{1,3})", x).group(1)
+    rest = x[len(country) + 1 :]
+    return f"+{country}{filled(rest, digits(kind, re.sub('[^0-9]', '', rest)))}"
+
+
+def test_pseudonyms_against_plain_feistel(spark):
+    rng = np.random.default_rng(17)
+    rows = []
+    for _ in range(40):
+        payload = "".join(map(str, rng.integers(0, 10, 15)))
+        total = sum(sum(divmod(int(c) * (2 - k % 2), 10)) for k, c in enumerate(reversed(payload)))
+        card = payload + str(-total % 10)
+        rows += [("card", card), ("card", "-".join(card[k : k + 4] for k in range(0, 16, 4))), ("ip", ".".join(map(str, rng.integers(0, 256, 4))))]
+        area = int(rng.choice([a for a in range(1, 900) if a != 666]))
+        rows += [("ssn", f"{area:03d}-{rng.integers(1, 100):02d}-{rng.integers(1, 10000):04d}")]
+        rows += [("date", str(datetime.date(1000, 1, 1) + datetime.timedelta(int(rng.integers(0, 500000))))), ("phone", f"+44 ({rng.integers(100, 1000)}) {rng.integers(100, 1000)}-{rng.integers(1000, 10000)}")]
+    df = spark.createDataFrame([(k, f"see {x}, and {x}.x" if kind == "card" else f"see {x}, ok") for k, (kind, x) in enumerate(rows)], "k int, text string")
+    got = {r.k: r.text.split(",")[0][4:] for r in pii.pseudonymize(df, "secret").collect()}
+    assert got == {k: plain_pseudonym("secret", kind, x) for k, (kind, x) in enumerate(rows)}
 
 
 @pytest.mark.parametrize("made", ["concat('10.0.', id div 256, '.', id % 256)", "cast(date_add(date'1990-01-01', cast(id as int)) as string)", "concat('u', id, '@a.com')", "concat('+1 (643) 555-', lpad(id, 4, '0'))", "concat('123-45-', lpad(id + 1, 4, '0'))"])
@@ -264,11 +403,20 @@ def test_quality_rules(spark, rows, docs, clashing, empty):
     assert quality_rules.judge(empty).count() == 0
 
 
-def test_cascade_order_prefers_rejection_per_cost(spark):
+def test_cascade_order_prefers_rejection_per_cost(spark, monkeypatch):
     texts = spark.createDataFrame([("!" * 10,)] * 5 + [("plain text",)] * 5, "_t string")
     built = quality_rules.rules(F.col("_t"))
-    assert quality_rules.cascade_order(texts, built)[0] in ("exclamations", "no_spaces")
-    assert sorted(quality_rules.cascade_order(texts, built)) == sorted(built)
+    order = quality_rules.cascade_order(texts, built)
+    assert sorted(order) == sorted(built)
+    monkeypatch.setattr(quality_rules.time, "perf_counter", lambda: 0.0)
+    order = quality_rules.cascade_order(texts, built)
+    assert order == ["exclamations", *[n for n in built if n != "exclamations"]], "equal costs: by rejections, then as named"
+
+
+@pytest.mark.parametrize(("rule", "text"), [("symbols", "a # b"), ("exclamations", "hey!!"), ("capitals", "ABC DEf"), ("digits", "12 34 a"), ("braces", "{a} b"), ("no_spaces", "x" * 60), ("word_length", "a b c d"), ("word_length", "y" * 25 + " " + "z" * 30), ("repeated_lines", "a b\na b\na b\na b"), ("ellipses", "so on...\nand\n"), ("bullets", "- one\n* two\n\u2022 three")])
+def test_each_rule(spark, rule, text):
+    df = spark.createDataFrame([(text,), ("Plain words in a sentence stay.\nOthers too, 3 of them.",)], "_t string")
+    assert [r[0] for r in df.select(quality_rules.rules(F.col("_t"))[rule]).collect()] == [True, False]
 
 
 # 7 --------------------------------------------------------------------------------------------------------------------
@@ -292,6 +440,37 @@ def test_classifier_on_held_out_rows(spark):
     assert {r.score for r in none} == {0.5}
 
 
+def test_classifier_scores_and_steps_by_plain_arithmetic(spark):
+    """Scores equal the averaged vectors' softmax, and a training step follows the loss's numeric gradient."""
+    model = quality_classifier.SubwordModel(dim=4)
+    model.weights = np.random.default_rng(1).normal(size=(2, 4))
+    model.bias = np.array([0.1, -0.3])
+    texts = ["the cat the cat sat", "é mañana", "", "a a a", "x" * 50]
+    want = []
+    for t in texts:
+        words = t.encode().split()
+        found = [f for w in words for f in quality_classifier.word_features(w)] + [quality_classifier.AGAIN] * sum(a == b for a, b in zip(words, words[1:], strict=False))
+        mean = model.vectors[found].mean(0) if found else np.zeros(4)
+        z = model.weights @ mean + model.bias
+        want.append(math.exp(z[1]) / (math.exp(z[0]) + math.exp(z[1])))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality_classifier.score(df, model).collect()}
+    assert [got[k] for k in range(len(texts))] == pytest.approx(want, rel=1e-9)
+    at, share = quality_classifier.text_features(b"the cat the cat sat")
+    loss = lambda: -math.log(model.probabilities(at, share)[1])
+    before, old = loss(), model.bias.copy()
+    step, slope = 1e-6, np.zeros((2, 4))
+    for i in range(2):
+        for j in range(4):
+            model.weights[i, j] += step
+            slope[i, j] = (loss() - before) / step
+            model.weights[i, j] -= step
+    weights = model.weights.copy()
+    model.fit([(at, share, 1)], epochs=1, rate=0.5)
+    assert model.weights == pytest.approx(weights - 0.5 * slope, abs=1e-5) and loss() < before
+    assert model.bias[1] > old[1]
+
+
 # 8 --------------------------------------------------------------------------------------------------------------------
 
 
@@ -315,8 +494,9 @@ def test_benchmark_windows(spark, rows, docs, clashing, empty):
                 if sim >= 0.8 and sim > want.get((i, j), (0,))[0]:
                     want[i, j] = (sim, s)
     for frame in (docs.select("doc_id", "text").union(more), clashing.unionByName(more, allowMissingColumns=True)):
-        got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in benchmark_windows.contaminated(frame, bench).collect()}
-        assert got == pytest.approx(want) and len(got) > 5
+        got = {(r.doc_id, r.item_id): r for r in benchmark_windows.contaminated(frame, bench).collect()}
+        assert got.keys() == want.keys() and len(got) > 5
+        assert all((pytest.approx(r.similarity), r.start) == want[k] for k, r in got.items())
     assert benchmark_windows.contaminated(empty, bench).count() == 0
     assert benchmark_windows.contaminated(docs, bench.limit(0)).count() == 0
 
@@ -342,6 +522,28 @@ def test_texts_shorter_than_the_item(spark):
     assert len(want) > 20 and {(r.doc_id, r.item_id): (r.similarity, r.start, r.n_words) for r in got} == want
 
 
+def test_windows_of_enough_similarity_lie_within_the_radius(spark):
+    """Edited copies of items inside longer texts: every pair of similarity 0.8 or more is found, whatever the item's size."""
+    rng = np.random.default_rng(9)
+    items, texts, want = [], [], set()
+    grams = lambda w: collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    for k in range(150):
+        n = int(rng.choice([14, 20, 30, 50, 80]))
+        w = [f"v{x}" for x in rng.integers(0, 10**6, n).tolist()]
+        items.append((k, " ".join(w)))
+        for j in range(6):
+            v = list(w)
+            for _ in range(int(rng.integers(1, max(2, n // 25 + 1)))):
+                v[int(rng.choice([0, 1, n - 1, n - 2, int(rng.integers(0, n))]))] = f"e{rng.integers(0, 10**6)}"
+            a, b = grams(v), grams(w)
+            if (a & b).total() >= 0.8 * (a | b).total():
+                want.add((len(texts), k))
+            texts.append(" ".join([*(f"p{x}" for x in rng.integers(0, 10**6, 7)), *v, *(f"q{x}" for x in rng.integers(0, 10**6, 9))]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.item_id) for r in benchmark_windows.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) > 400 and want <= got
+
+
 # 9 --------------------------------------------------------------------------------------------------------------------
 
 
@@ -452,8 +654,8 @@ def test_difference_cover():
     assert {(a - b) % v for a in c for b in c} == set(range(v))
 
 
-@pytest.mark.parametrize(("chunk", "bucket"), [(2 << 20, 6 << 20), (1500, 400)])
-def test_suffix_dedup(docs, clashing, rows, empty, chunk, bucket):
+@pytest.mark.parametrize(("chunk", "bucket", "hot"), [(2 << 20, 6 << 20, 4096), (1500, 400, 4096), (1500, 400, 2), (2 << 20, 6 << 20, 0)])
+def test_suffix_dedup(docs, clashing, rows, empty, chunk, bucket, hot):
     length = 200
     texts = [(i, (t or "").encode()) for i, t, *_ in rows]
     count = collections.Counter(t[k : k + length] for _, t in texts for k in range(len(t) - length + 1))
@@ -466,12 +668,32 @@ def test_suffix_dedup(docs, clashing, rows, empty, chunk, bucket):
         edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
         left = np.frombuffer(t, np.uint8)[~gone].tobytes()
         want.append((i, len(t), int(gone.sum()), len(edges) // 2, hashlib.sha256(left).hexdigest()))
-    got = suffix_dedup.remove_repeats(clashing, chunk_bytes=chunk, bucket_bytes=bucket).collect()
+    got = suffix_dedup.remove_repeats(clashing, chunk_bytes=chunk, bucket_bytes=bucket, hot_samples=hot).collect()
     assert sorted((tuple(r[:5]) for r in got), key=key) == sorted(want, key=key)
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.spans) == 2 * r.n_spans for r in got)
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_long_texts(spark):
+    """One text of some megabytes in words, and one of a single huge line without a space."""
+    rng = np.random.default_rng(5)
+    words = " ".join(f"w{x}" for x in rng.integers(0, 50_000, 400_000).tolist())
+    line = "".join(map(chr, rng.integers(97, 123, 300_000).tolist()))
+    texts = [words, line, "short text", words[1000:] + " x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(df, keep_text=False).collect()}
+    assert got[0].n_removed == len(words) - 1000 and got[3].n_removed == len(words) - 1000 and got[1].n_removed == got[2].n_removed == 0
+    assert {r.doc_id: bool(r.n_linked) for r in paragraph_dedup.duplicate_paragraphs(df).collect()} == {0: True, 1: False, 2: False, 3: True}
+    assert {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(df).collect()} == {0: 0, 1: 1, 2: 2, 3: 0}
+    assert {r.doc_id for r in simhash_dedup.one_of_each(df).collect()} == {0, 1, 2}
+    assert all(math.isfinite(r.score) for r in context_tree.context_tree_scores(df).collect())
+    counts = {r.doc_id: r.n_words for r in quality_rules.judge(df, sample=1.0).collect()}
+    assert counts == {0: 400_000, 1: 1, 2: 2, 3: len(texts[3].split())}
+    tokenizers = pytest.importorskip("public_tokenizers")
+    path = tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    assert byte_bpe.encode_texts(df, path, tokenizers.PATTERN, same="same").filter("not same").count() == 0
+
+
 def test_empty_tables(empty):
     assert context_tree.context_tree_scores(empty).count() == 0
     assert paragraph_dedup.duplicate_paragraphs(empty).count() == 0
