@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Primers (5'-3'), amplicon length ranges, label order, read columns.
 PRIMERS = {
@@ -37,21 +37,24 @@ AMPLICONS = (
     (595, 709), (583, 702), (542, 654), (566, 680), (585, 699),
     (554, 675), (564, 686), (490, 604), (566, 680), (577, 693),
 )
-MODEL_PATH = "./model"
+
+#: Which number each label stands for.
+CODES = {name: k for k, name in enumerate(LABELS)}
 
 
 @dataclass(frozen=True)
-class Settings:
-    """What get() hands out by name."""
-
-    primers: dict = field(default_factory=lambda: PRIMERS)
-    ranges: dict = field(default_factory=lambda: RANGES)
-    encoder: dict = field(default_factory=lambda: {name: k for k, name in enumerate(LABELS)})
-    columns: dict = field(default_factory=lambda: {name: k for k, name in enumerate(READ_COLUMNS)})
-    model_path: str = MODEL_PATH
-    none: None = None
-
-    def get(self, name: str):
-        if name not in self.__dataclass_fields__:
-            raise ValueError(f"unknown setting: {name}")
-        return getattr(self, name)
+class PrimerSet:
+    forwards: tuple[str, ...]
+    reverses: tuple[str, ...]
+    shortest: int
+    longest: int
+
+
+PRIMER_SETS = {name: PrimerSet(tuple(p["forwards"]), tuple(p["reverses"]), *RANGES[name]) for name, p in PRIMERS.items()}
+
+
+def primer_set(name: str) -> PrimerSet:
+    """A primer set by name, in any letter case."""
+    if name.upper() not in PRIMER_SETS:
+        raise ValueError(f"primers: one of {', '.join(PRIMER_SETS)}, not {name}")
+    return PRIMER_SETS[name.upper()]

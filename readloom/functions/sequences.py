@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -105,3 +105,19 @@ def barcode_name(n: str | Column) -> Column:
     """barcode01 to barcode09, then barcode10 and on."""
     text = _col(n).cast("string")
     return F.concat(F.lit("barcode"), F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text))
+
+
+def register_sql(spark: SparkSession) -> None:
+    """Make kmers(seq, k), reverse_complement(seq) and encode_bases(seq, n) SQL functions of the session.
+
+    They are SQL expressions that the optimizer sees through. A row for each k-mer: explode kmers() of a subquery.
+    """
+    turned = "translate(regexp_replace(reverse(seq), '[^ACGTacgt]', 'c'), 'ACGTacgt', 'TGCAtgca')"
+    places = "if(length(seq) >= k, sequence(1, length(seq) - k + 1), cast(array() as array<int>))"
+    digits = "translate(regexp_replace(upper(seq), '[^ATCG]', '0'), 'ATCG', '1234')"
+    for head, body in (
+        ("kmers(seq STRING, k INT) RETURNS ARRAY<STRING>", f"transform({places}, i -> substr(seq, i, k))"),
+        ("reverse_complement(seq STRING) RETURNS STRING", turned),
+        ("encode_bases(seq STRING, n INT) RETURNS ARRAY<INT>", f"transform(split(rpad({digits}, greatest(n, length(seq)), '0'), ''), c -> int(c))"),
+    ):
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")

@@ -37,22 +37,24 @@ def confident(scored: DataFrame, threshold: float = 0.9, probs: str = "probs", p
     return scored.filter(F.get(probs, F.col(prediction).cast("int")) >= threshold)
 
 
-def threshold_counts(scored: DataFrame, thresholds: dict[str, float], labels: list[str], probs: str = "probs") -> DataFrame:
-    """(species, threshold, n_reads_detected): each class judged by its own threshold, so a read may count for several."""
-    sums = [F.coalesce(F.count_if(F.get(probs, F.lit(labels.index(s))) >= t), F.lit(0)).alias(s) for s, t in thresholds.items()]
-    wide = scored.agg(*sums)
-    rows = F.array(*[F.struct(F.lit(s).alias("species"), F.lit(t).cast("decimal(3,2)").alias("threshold"), F.col(f"`{s}`").alias("n_reads_detected")) for s, t in thresholds.items()])
-    return wide.select(F.explode(rows).alias("r")).select("r.*")
+def threshold_counts(scored: DataFrame, thresholds: dict[str, float], labels: list[str], probs: str = "probs", by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., species, threshold, n_reads_detected): each class judged by its own threshold, so a read may count for
+    several. Without `by` there is one group, even of no rows."""
+    sums = [F.coalesce(F.count_if(F.get(probs, F.lit(labels.index(s))) >= t), F.lit(0)).alias(f"_{k}") for k, (s, t) in enumerate(thresholds.items())]
+    wide = scored.groupBy(*by).agg(*sums)
+    rows = F.array(*[F.struct(F.lit(s).alias("species"), F.lit(t).cast("decimal(3,2)").alias("threshold"), F.col(f"_{k}").alias("n_reads_detected")) for k, (s, t) in enumerate(thresholds.items())])
+    return wide.select(*by, F.explode(rows).alias("_r")).select(*by, "_r.*")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
 
 
-def mean_probability(scored: DataFrame, labels: list[str], probs: str = "probs") -> DataFrame:
-    """(species, mean_probability), highest first."""
-    each = scored.select(F.posexplode_outer(probs).alias("k", "p")).filter("k is not null").groupBy("k").agg(F.avg("p").alias("mean_probability"))
-    return each.select(F.get(F.array(*map(F.lit, labels)), F.col("k")).alias("species"), "mean_probability").orderBy(F.desc("mean_probability"), "species")
+def mean_probability(scored: DataFrame, labels: list[str], probs: str = "probs", by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., species, mean_probability), highest first."""
+    each = scored.select(*by, F.posexplode_outer(probs).alias("k", "p")).filter("k is not null").groupBy(*by, "k").agg(F.avg("p").alias("mean_probability"))
+    named = each.select(*by, F.get(F.array(*map(F.lit, labels)), F.col("k")).alias("species"), "mean_probability")
+    return named.orderBy(*by, F.desc("mean_probability"), "species")
 
 
 def confusion(df: DataFrame, label: str, prediction: str, classes: list) -> DataFrame:

@@ -4,25 +4,38 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import (
+    DecisionTreeClassifier,
+    GBTClassificationModel,
+    GBTClassifier,
+    LinearSVC,
+    LogisticRegression,
+    NaiveBayes,
+    OneVsRest,
+    OneVsRestModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.feature import PCA, IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.counts import micro_recall
+from readloom.operators.counts import class_report, micro_recall
 from readloom.operators.reads import shuffled
 
 _IO = {"featuresCol": "vector", "labelCol": "label"}
 
 
 def classifier(kind: str = "forest", **params):
-    """forest, tree, logistic, bayes or svm (linear, one against the rest)."""
+    """forest, tree, boosted (gradient-boosted trees, one class against the rest), logistic, bayes or svm (linear, one
+    class against the rest)."""
     makers = {
         "forest": lambda: RandomForestClassifier(**_IO, **{"numTrees": 100, "maxDepth": 20, "subsamplingRate": 0.3, "featureSubsetStrategy": "0.7", "seed": 42, **params}),
         "tree": lambda: DecisionTreeClassifier(**_IO, **{"maxDepth": 20, "seed": 42, **params}),
+        "boosted": lambda: OneVsRest(**_IO, classifier=GBTClassifier(**_IO, **{"maxIter": 20, "maxDepth": 5, "stepSize": 0.3, "subsamplingRate": 0.3, "seed": 42, **params})),
         "logistic": lambda: LogisticRegression(**_IO, **{"family": "multinomial", **params}),
         "bayes": lambda: NaiveBayes(**_IO, **{"modelType": "multinomial", **params}),
         "svm": lambda: OneVsRest(**_IO, classifier=LinearSVC(**_IO, **params)),
@@ -33,7 +46,7 @@ def classifier(kind: str = "forest", **params):
 
 
 def _vectors(df: DataFrame) -> DataFrame:
-    return df.withColumn("vector", array_to_vector(F.transform("features", lambda x: x.cast("double"))))
+    return df.withColumn("vector", array_to_vector(F.coalesce(F.transform("features", lambda x: x.cast("double")), F.array(F.lit(0.0)))))
 
 
 def fit(train: DataFrame, kind: str = "forest", label: str = "species", **params) -> PipelineModel:
@@ -48,15 +61,41 @@ def labels_of(model: PipelineModel) -> list[str]:
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """df with prediction (index), predicted (name) and, where the classifier has them, probs; one pass of the model."""
-    scored = PipelineModel(model.stages[1:]).transform(_vectors(df)).drop("vector", "rawPrediction")
-    return scored.withColumn("probs", vector_to_array("probability")).drop("probability") if "probability" in scored.columns else scored
+    """df with prediction (index), predicted (name) and, where the classifier has them, probs; one pass of the model.
+
+    Rows without features have no prediction and are left out. Boosted trees have one margin a class, which become
+    probabilities by the logistic function and are scaled to a sum of one: flatter than a joint model's.
+    """
+    scored = PipelineModel(model.stages[1:]).transform(_vectors(df.filter("features is not null"))).drop("vector")
+    if "probability" in scored.columns:
+        scored = scored.withColumn("probs", vector_to_array("probability")).drop("probability")
+    elif isinstance(model.stages[1], OneVsRestModel) and isinstance(model.stages[1].models[0], GBTClassificationModel):
+        each = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
+        scored = scored.withColumn("_each", each).withColumn("probs", F.expr("transform(_each, p -> p / aggregate(_each, 0D, (a, x) -> a + x))")).drop("_each")
+    return scored.drop("rawPrediction")
 
 
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def train_and_save(sets: list[DataFrame], path: str, kind: str = "forest", rows: int | None = None, seed: int = 42, **params) -> PipelineModel:
+    """Fit on the union of labelled sets (features, species), shuffled by a seeded hash, the first `rows` of them if
+    given, and save the model."""
+    every = reduce(DataFrame.unionByName, [s.select("features", "species") for s in sets])
+    if rows is not None:
+        every = shuffled(every.withColumn("_key", F.concat_ws(",", F.col("features").cast("array<string>"), "species")), "_key", seed).limit(rows).drop("_key")
+    model = fit(every, kind, **params)
+    save(model, path)
+    return model
+
+
+def report(model: PipelineModel, sets: dict[str, DataFrame], label: str = "species") -> DataFrame:
+    """The class report of every set (train and test, say), with the set's name in the column `part`."""
+    each = [class_report(predict(model, df), label, "predicted").withColumn("part", F.lit(name)) for name, df in sets.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

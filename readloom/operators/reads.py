@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from readloom.functions.sequences import (
     rank_quantile,
     reverse_complement_text,
 )
+from readloom.sources.staging import materialize
 
 LOW_QUALITY = 15
 
@@ -53,26 +57,46 @@ def rejects(reads: DataFrame) -> DataFrame:
     return reads.filter(~F.coalesce((F.length("sequence") > 0) & (F.length("quality") >= F.length("sequence")), F.lit(False)))
 
 
-def _limits(reads: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:
-    """One row of quantiles (linear interpolation), rounded to float as thresholds are."""
-    return reads.agg(*[F.percentile(c, F.lit(float(p))).cast("float").alias(name) for name, (c, p) in wanted.items()])
-
-
-def _with_limits(reads: DataFrame, wanted: dict[str, tuple[str, float]], keep: Column) -> DataFrame:
-    """Filter by thresholds that may come from one row of quantiles; that row is broadcast."""
-    if not wanted:
-        return reads.filter(keep)
-    return reads.crossJoin(F.broadcast(_limits(reads, wanted))).filter(keep).drop(*wanted)
+def quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[str, float | None]:
+    """Exact quantiles, name -> (column, share), by linear interpolation between ranks; null where a column has no value.
 
-
-def _size_rule(inf: float, sup: float) -> tuple[dict, Column]:
-    wanted, low, high = {}, F.lit(float(inf)).cast("float"), F.lit(float(sup)).cast("float")
-    if 0 <= inf < 1:
-        wanted["_inf"], low = ("length", inf), F.col("_inf")
-    if 0 < sup <= 1:
-        wanted["_sup"], high = ("length", sup), F.col("_sup")
+    Rows are reduced to counts by value, which combine before their shuffle; a range partitioning of the values then
+    gives running totals, so that no task holds a whole column. Two rows a quantile reach the driver.
+    """
+    columns = sorted({c for c, _ in wanted.values()})
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")
+    values = df.select(each).select("x.*").filter("v is not null").groupBy("c", "v").agg(F.count("*").alias("n"))
+    values = materialize(values.repartitionByRange("c", "v").withColumn("p", F.spark_partition_id()), "values")
+    sums = values.groupBy("c", "p").agg(F.sum("n").alias("t"))
+    before = F.coalesce(F.sum("t").over(Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("c", "p", before.alias("before"), F.sum("t").over(Window.partitionBy("c")).alias("total"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("c", "p").orderBy("v"))
+    ranked = values.join(F.broadcast(sums), ["c", "p"]).withColumn("upto", upto)
+    asked = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(c).alias("of"), F.lit(float(q)).alias("q")) for name, (c, q) in wanted.items()]))
+    found = ranked.select("*", asked.alias("a")).filter("a.of = c").withColumn("place", F.expr("a.q * (total - 1)"))
+    found = found.filter("upto > floor(place) and upto - n <= ceil(place)").select("a.name", "v", "place", "upto", "n").collect()
+    out: dict[str, float | None] = dict.fromkeys(wanted)
+    for name in wanted:
+        rows = sorted((r for r in found if r["name"] == name), key=lambda r: r["v"])
+        if rows:
+            place, low = rows[0]["place"], math.floor(rows[0]["place"])
+            at = lambda k, rows=rows: next(r["v"] for r in rows if r["upto"] > k)
+            high = math.ceil(place)
+            out[name] = at(low) if low == high else (high - place) * at(low) + (place - low) * at(high)
+    return out
+
+
+def _with_limits(reads: DataFrame, wanted: dict[str, tuple[str, float]], keep: Callable[[dict], Column]) -> DataFrame:
+    """Filter by thresholds that may be quantiles, rounded to float as thresholds are."""
+    found = quantiles(reads, wanted) if wanted else {}
+    return reads.filter(keep({k: F.lit(v).cast("float") for k, v in found.items()}))
+
+
+def _size_rule(inf: float, sup: float) -> tuple[dict, Callable[[dict], Column]]:
+    wanted = ({"inf": ("length", inf)} if 0 <= inf < 1 else {}) | ({"sup": ("length", sup)} if 0 < sup <= 1 else {})
+    fixed = {"inf": F.lit(float(inf)).cast("float"), "sup": F.lit(float(sup)).cast("float")}
     size = F.col("length").cast("float")
-    return wanted, (size >= low) & (size <= high)
+    return wanted, lambda found: size.between((fixed | found)["inf"], (fixed | found)["sup"])
 
 
 def filter_size(reads: DataFrame, inf: float = 0.0, sup: float = 1.0) -> DataFrame:
@@ -86,12 +110,12 @@ def filter_q(reads: DataFrame, threshold: float = 20.0) -> DataFrame:
 
 def filter_quality(reads: DataFrame, threshold: float = 1.0) -> DataFrame:
     """ScoreDist up to its quantile."""
-    return _with_limits(reads, {"_d": ("ScoreDist", threshold)}, F.col("ScoreDist") <= F.col("_d"))
+    return _with_limits(reads, {"d": ("ScoreDist", threshold)}, lambda found: F.col("ScoreDist") <= found["d"])
 
 
 def filter_n(reads: DataFrame, threshold: float = 1.0) -> DataFrame:
     """Share of low-quality bases up to its quantile."""
-    return _with_limits(reads, {"_n": ("N", threshold)}, F.col("N") <= F.col("_n"))
+    return _with_limits(reads, {"n": ("N", threshold)}, lambda found: F.col("N") <= found["n"])
 
 
 def filter_gc(reads: DataFrame, low: float = 0.0, high: float = 1.0) -> DataFrame:
@@ -172,11 +196,15 @@ def multi_filter(
     head: float = 0.0, tail: float = 0.0, min_gc: float = 0.0, max_gc: float = 1.0, duplicated: bool = False,
     strict_parity: bool = False,
 ) -> DataFrame:
-    """Size, quality, N and GC filters with all thresholds from the input, in one pass; then crop; then duplicates."""
-    wanted, keep = _size_rule(size_inf, size_sup)
-    wanted |= {"_d": ("ScoreDist", quality), "_n": ("N", n)}
+    """Size, quality, N and GC filters with all thresholds from the input, in one pass; then crop; then duplicates.
+
+    The statistics are written once, as thresholds and filter both read them.
+    """
+    reads = materialize(reads, "reads")
+    wanted, size = _size_rule(size_inf, size_sup)
+    wanted |= {"d": ("ScoreDist", quality), "n": ("N", n)}
     gc = F.col("GC").between(F.lit(min_gc).cast("float"), F.lit(max_gc).cast("float"))
-    out = _with_limits(reads, wanted, keep & (F.col("ScoreDist") <= F.col("_d")) & (F.col("N") <= F.col("_n")) & gc)
+    out = _with_limits(reads, wanted, lambda found: size(found) & (F.col("ScoreDist") <= found["d"]) & (F.col("N") <= found["n"]) & gc)
     out = crop(out, head, tail, strict_parity) if head > 0 or tail > 0 else out
     return filter_duplicates(out) if duplicated else out
 
@@ -195,21 +223,36 @@ def by_ids(reads: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     return reads.join(ids.select(F.col(id_col).alias("_id")).distinct(), F.col("id") == F.col("_id"), "left_semi")
 
 
+def _draw(seed: int, *key: str) -> Column:
+    """A seeded hash of the key that any SQL engine can compute."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+
+
 def sample(reads: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """n reads without replacement, by the order of a seeded hash."""
-    return reads.withColumn("_r", F.xxhash64("id", F.lit(seed))).orderBy("_r", "id").limit(n).drop("_r")
+    return reads.withColumn("_r", _draw(seed, "id")).orderBy("_r", "id").limit(n).drop("_r")
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key)
+    return df.orderBy(_draw(seed, key), key)
 
 
 def stratified(df: DataFrame, label: str, key: str, fraction: float, seed: int = 42) -> DataFrame:
-    """The first rows of each label in hash order, fraction of its rows rounded half to even."""
-    order = Window.partitionBy(label).orderBy(F.xxhash64(key, F.lit(seed)), key)
-    sizes = df.groupBy(label).agg(F.bround(F.count("*") * F.lit(fraction)).cast("long").alias("_n"))
-    ranked = df.withColumn("_k", F.row_number().over(order)).join(F.broadcast(sizes), label)
-    return ranked.filter("_k <= _n").drop("_k", "_n")
+    """The first rows of each label in hash order, fraction of its rows rounded half to even.
+
+    Counts by label and leading hash digits tell the stretch in which a label's last row lies; only that stretch, one in
+    65,536 of the label, is sorted.
+    """
+    held = df.withColumns({"_d": _draw(seed, key)}).withColumn("_b", F.substring("_d", 1, 4))
+    sizes = held.groupBy(F.col(label).alias("_y"), "_b").agg(F.count("*").alias("_n"))
+    by = Window.partitionBy("_y")
+    whole = F.bround(F.sum("_n").over(by) * F.lit(fraction)).cast("long").alias("_want")
+    sizes = sizes.select("_y", "_b", "_n", F.sum("_n").over(by.orderBy("_b")).alias("_upto"), whole)
+    edge = sizes.filter("_upto >= _want and _upto - _n < _want").select("_y", F.col("_b").alias("_edge"), F.expr("_want - (_upto - _n)").alias("_rest"))
+    held = held.join(F.broadcast(edge), F.col(label).eqNullSafe(F.col("_y")))
+    order = Window.partitionBy("_y").orderBy("_d", key)
+    last = held.filter("_b = _edge").withColumn("_k", F.row_number().over(order)).filter("_k <= _rest")
+    return held.filter("_b < _edge").select(*df.columns).union(last.select(*df.columns))
 
 
 def fastq_lines(reads: DataFrame) -> DataFrame:

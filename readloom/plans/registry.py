@@ -70,8 +70,7 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = ops.cut_primers(reads(spark, sf_dir), CHERIF["forwards"], CHERIF["reverses"])
-    return ops.filter_size(cut.withColumn("length", F.length("sequence")), *map(float, RANGES["CHERIF"])).drop("length")
+    return runs.trimmed(reads(spark, sf_dir))
 
 
 _ROUNDED = ", ".join(f'round("{c}"::DOUBLE, 4) as "{c}"' for c in STATS if c != "length")
@@ -217,16 +216,16 @@ def fasta_text(spark, sf_dir):
     return ops.fasta_lines(reads(spark, sf_dir))
 
 
-@query()
+@query(f"{READS} select read_idx, id from reads order by md5('42:' || id), id limit 500")
 def sample_reads(spark, sf_dir):
     return _ids(ops.sample(reads(spark, sf_dir), 500))
 
 
-@query(f"{READS} select barcode, count(*) as n, round_even(count(*) * 0.3::DOUBLE, 0)::BIGINT as taken from reads group by barcode")
+@query(f"""{READS}, n as (select *, round_even(count(*) over (partition by barcode) * 0.3::DOUBLE, 0)::BIGINT as wanted,
+row_number() over (partition by barcode order by md5('42:' || read_idx), read_idx) as k from reads)
+select barcode, read_idx from n where k <= wanted""")
 def stratified_split(spark, sf_dir):
-    df = reads(spark, sf_dir)
-    taken = ops.stratified(df, "barcode", "read_idx", 0.3).groupBy("barcode").agg(F.count("*").alias("taken"))
-    return df.groupBy("barcode").agg(F.count("*").alias("n")).join(taken, "barcode").select("barcode", "n", "taken")
+    return ops.stratified(reads(spark, sf_dir), "barcode", "read_idx", 0.3).select("barcode", "read_idx")
 
 
 _LABELS = "[" + ", ".join(f"'{x}'" for x in LABELS) + "]"
@@ -244,7 +243,10 @@ count(h.read_idx) >= 10 as seen
 from (select distinct barcode from reads) b cross join (select unnest({_LABELS}) as species) s
 left join (select * from hits where p >= 0.5::DOUBLE) h on h.barcode = b.barcode and h.species = s.species group by all""")
 def species_counts_log10(spark, sf_dir):
-    kept = _hits(spark, sf_dir).filter("p >= 0.5D")
+    # As a classifier says it: a probability for each class, and the predicted one's place.
+    place = (F.col("read_idx") % 11).cast("int")
+    scored = _hits(spark, sf_dir).withColumns({"prediction": place, "probs": F.transform(F.sequence(F.lit(0), F.lit(10)), lambda k: F.when(k == place, F.col("p")).otherwise(0.0))})
+    kept = counts.confident(scored, 0.5)
     species = spark.createDataFrame([(x,) for x in LABELS], "species string")
     return counts.complete_counts(kept, reads(spark, sf_dir), species).withColumn("log10_n", F.round("log10_n", 6))
 
@@ -297,10 +299,20 @@ def class_report(spark, sf_dir):
     return df.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
-@query("select p as k, round(avg(x), 6) as mean_value from (select unnest(embedding)::DOUBLE as x, generate_subscripts(embedding, 1) - 1 as p from embeddings) group by p")
+@query("select 'd' || p as species, round(avg(x), 6) as mean_probability from (select unnest(embedding)::DOUBLE as x, generate_subscripts(embedding, 1) - 1 as p from embeddings) group by p")
 def mean_by_class(spark, sf_dir):
-    each = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.posexplode_outer("embedding").alias("k", "x")).filter("k is not null")
-    return each.groupBy(F.col("k").cast("long").alias("k")).agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("mean_value"))
+    """Means by place in the vectors, which stand in for class probabilities."""
+    scored = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("embedding").cast("array<double>").alias("probs"))
+    size = scored.agg(F.max(F.size("probs"))).first()[0] or 0
+    return counts.mean_probability(scored, [f"d{k}" for k in range(size)]).withColumn("mean_probability", F.round("mean_probability", 6))
+
+
+@query(f"""{_HITS} select s.species, 0.5::DECIMAL(3,2) as threshold, count(h.read_idx) as n_reads_detected
+from (select unnest({_LABELS}) as species) s left join (select * from hits where p >= 0.5::DOUBLE) h using (species) group by 1""")
+def reads_per_species(spark, sf_dir):
+    place = (F.col("read_idx") % 11).cast("int")
+    scored = _hits(spark, sf_dir).select(F.transform(F.sequence(F.lit(0), F.lit(10)), lambda k: F.when(k == place, F.col("p")).otherwise(0.0)).alias("probs"))
+    return counts.threshold_counts(scored, dict.fromkeys(LABELS, 0.5), list(LABELS))
 
 
 @query("""with d as (select a.vec_id, b.label, b.vec_id as place, list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) * (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE))) as d
@@ -362,23 +374,31 @@ def align_reads(spark, sf_dir):
     return align(amplicons(spark, sf_dir), _references(spark, sf_dir)).filter("mapq >= 40").select("id", "species")
 
 
-@query()
+@query(f"""{_HITS}, refs as (select species, min(read_idx) as first from hits group by species),
+same as (select a.barcode, a.read_idx, r.species from amplicons a, refs r, amplicons t where t.read_idx = r.first and a.sequence = t.sequence)
+select b.barcode, s.species, count(h.read_idx) as n, case when count(h.read_idx) = 0 then 0.0::DOUBLE else round(log10(count(h.read_idx)), 6) end as log10_n,
+count(h.read_idx) >= 10 as seen
+from (select distinct barcode from reads) b cross join (select distinct species from refs) s left join same h on h.barcode = b.barcode and h.species = s.species group by all""")
 def mapping_counts(spark, sf_dir):
     return runs.mapping_counts(amplicons(spark, sf_dir), _references(spark, sf_dir), reads(spark, sf_dir)).withColumn("log10_n", F.round("log10_n", 6))
 
 
+def _between(df: DataFrame) -> DataFrame:
+    """species and the sequence between the primers."""
+    return df.select("species", F.expr(f"substr(sequence, {len(FORWARD) + 1}, length(sequence) - {len(FORWARD) + len(REVERSE_RC)})").alias("sequence"))
+
+
 @query()
 def simulated_amplicons(spark, sf_dir):
-    """Errored copies of every reference, ten each."""
-    inner = _references(spark, sf_dir).select("species", F.expr(f"substr(sequence, {len(FORWARD) + 1}, length(sequence) - {len(FORWARD) + len(REVERSE_RC)})").alias("sequence"))
-    return simulate.errored_amplicons(inner, 10)
+    """An errored copy of every amplicon."""
+    return simulate.errored_amplicons(_between(amplicons(spark, sf_dir).withColumn("species", F.col("id"))), 1)
 
 
 @query()
 def classified_counts(spark, sf_dir):
     """Train on errored copies of the references, then classify every amplicon."""
-    inner = _references(spark, sf_dir).select("species", F.expr(f"substr(sequence, {len(FORWARD) + 1}, length(sequence) - {len(FORWARD) + len(REVERSE_RC)})").alias("sequence"))
-    model = models.fit(simulate.dataset(simulate.errored_amplicons(inner, 20, high=0.05)), numTrees=10, maxDepth=8)
+    copies = simulate.errored_amplicons(_between(_references(spark, sf_dir)), 20, high=0.05)
+    model = models.fit(simulate.dataset(copies), numTrees=10, maxDepth=8)
     return runs.classified_counts(amplicons(spark, sf_dir), model, reads(spark, sf_dir), 0.5).withColumn("log10_n", F.round("log10_n", 6))
 
 

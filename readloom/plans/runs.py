@@ -6,26 +6,42 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.config import LABELS, PRIMERS, RANGES
+from readloom.config import LABELS, RANGES, primer_set
 from readloom.functions.sequences import encode, species_name
 from readloom.operators import counts, models
 from readloom.operators.align import align
 from readloom.operators.reads import cut_primers, filter_size
 from readloom.sources.files import read_fasta, read_fastq
+from readloom.sources.staging import materialize
 
 
 def trimmed(reads: DataFrame, primers: str = "CHERIF") -> DataFrame:
     """Reads cut to their primers and within the primer set's length range, for all barcodes in one plan."""
-    low, high = RANGES[primers.upper()]
-    p = PRIMERS[primers.upper()]
-    cut = cut_primers(reads, p["forwards"], p["reverses"], low)
-    return filter_size(cut.withColumn("length", F.length("sequence")), float(low), float(high)).drop("length")
+    p = primer_set(primers)
+    cut = cut_primers(reads, list(p.forwards), list(p.reverses), p.shortest)
+    return filter_size(cut.withColumn("length", F.length("sequence")), float(p.shortest), float(p.longest)).drop("length")
 
 
 def load_run(spark: SparkSession, run_folder: str) -> DataFrame:
     return read_fastq(spark, f"{run_folder}/barcode*/*.fastq.gz")
 
 
+def vectors(reads: DataFrame) -> DataFrame:
+    """barcode and features of trimmed CHERIF reads, as the classifier takes them."""
+    return reads.filter("sequence is not null").select("barcode", encode("sequence", RANGES["CHERIF"][1]).alias("features"))
+
+
+def labelled_reads(reads: DataFrame, references: DataFrame, species: str, mapq: int = 60, k: int = 28) -> DataFrame:
+    """A real test set: features of trimmed reads that map in one species with at least a mapping quality, and its label.
+
+    references: ref_id and sequence of that species. Each read counts once, whichever reference it meets.
+    """
+    kept = trimmed(reads)
+    hits = counts.mapped(align(kept, references.withColumn("species", F.lit(species)), k), mapq).select(F.col("id").alias("_id")).distinct()
+    found = kept.join(hits, F.col("id") == F.col("_id"), "left_semi")
+    return vectors(found).select("features", F.lit(species.replace(" ", "_")).alias("species"))
+
+
 def mapping_counts(reads: DataFrame, references: DataFrame, barcodes: DataFrame, k: int = 28, mapq: int = 40) -> DataFrame:
     """(barcode, species, n, log10_n, seen) of reads mapped in each species with at least a mapping quality."""
     hits = counts.mapped(align(reads, references, k), mapq)
@@ -33,9 +49,14 @@ def mapping_counts(reads: DataFrame, references: DataFrame, barcodes: DataFrame,
 
 
 def classified_counts(reads: DataFrame, model: PipelineModel, barcodes: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """(barcode, species, n, log10_n, seen) of reads whose predicted class has at least a probability."""
-    rows = reads.withColumn("features", encode("sequence", RANGES["CHERIF"][1]))
-    hits = counts.confident(models.predict(model, rows), threshold).withColumnRenamed("predicted", "species")
+    """(barcode, species, n, log10_n, seen) of reads whose predicted class has at least a probability.
+
+    Trimmed reads and predictions are written in between: the optimizer would else merge trimming, model and threshold
+    into one filter, which evaluates the model several times a row, and on reads that trimming drops.
+    """
+    rows = materialize(vectors(reads), "vectors")
+    scored = materialize(models.predict(model, rows).select("barcode", "prediction", "predicted", "probs"), "scored")
+    hits = counts.confident(scored, threshold).withColumnRenamed("predicted", "species")
     names = reads.sparkSession.createDataFrame([(x,) for x in LABELS], "species string")
     return counts.complete_counts(hits, barcodes, names)
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from readloom.sources.staging import shared_dir
+
 FORWARD, REVERSE_RC = "GCGGTAATTCCAGCTCCA", "CGTGTGCGCTTAATTGAGTG"
 _WRITTEN: dict[tuple[str, str], str] = {}
 
@@ -14,10 +15,10 @@ _WRITTEN: dict[tuple[str, str], str] = {}
 def reads_sql(text: str) -> str:
     """SELECT of the reads of `events`, in Spark's (text = STRING) or DuckDB's (VARCHAR) spelling.
 
-    One read an event: 128 or more letters made from a digest, with primers in three of four; contents repeat after
-    9,000 events, so that duplicates exist.
+    One read an event: 128 or more letters made from a digest, with primers in three of four. One event in ten repeats
+    the contents of an earlier one, so that distinct contents and copies both grow with the table.
     """
-    e = f"cast(event_id % 9000 as {text})"
+    e = f"cast(k as {text})"
     letters = " || ".join(f"translate(md5('{x}' || {e}), '0123456789abcdef', 'ACGTACGTACGTACGT')" for x in "abcd")
     scores = f"translate(md5('q' || {e}), '0123456789abcdef', '+,-./0123456789:')"
     cut = lambda n: f"substr(body, 1, cast({n} as int))"
@@ -28,7 +29,10 @@ def reads_sql(text: str) -> str:
       from (
         select event_id, scores, case when k % 4 <> 0
           then {cut('k % 7')} || '{FORWARD}' || {cut('110 + k % 16')} || '{REVERSE_RC}' || {cut('k % 5')} else body end as sequence
-        from (select event_id, event_id % 9000 as k, {letters} as body, {scores} as scores from events) a
+        from (
+          select event_id, k, {letters} as body, {scores} as scores
+          from (select event_id, case when event_id % 10 = 0 and event_id >= 100 then cast(floor(event_id / 100) as bigint) else event_id end as k from events) c
+        ) a
       ) b"""
 
 
@@ -36,8 +40,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """read_idx, id, barcode, sequence, quality for every event with an id."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        path = f"{shared.rstrip('/')}/reads-{uuid.uuid4().hex}"
+        path = f"{shared_dir(spark)}/reads-{uuid.uuid4().hex}"
         view = f"events_{uuid.uuid4().hex}"
         spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_id is not null").createOrReplaceTempView(view)
         spark.sql(reads_sql("STRING").replace("from events)", f"from {view})")).write.parquet(path)

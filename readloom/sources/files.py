@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from readloom.functions.sequences import barcode_of
 from readloom.operators.reads import fasta_lines, fastq_lines
@@ -15,8 +12,8 @@ from readloom.operators.reads import fasta_lines, fastq_lines
 def read_fastq(spark: SparkSession, path: str, stop_at_empty: bool = True) -> DataFrame:
     """FASTQ files (plain or .gz, globs allowed): file, barcode, read_idx, id (with @), sequence, quality.
 
-    One file is one row while it is split, as four-line records need the order of lines: use the fastq data source for
-    files of more than some hundred MB. stop_at_empty ends a file at its first empty sequence line; otherwise such
+    One file is one row while it is split, as four-line records need the order of lines: use read_large_fastq for files
+    of more than some hundred MB. stop_at_empty ends a file at its first empty sequence line; otherwise such
     records stay. An incomplete last record is dropped.
     """
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
@@ -32,6 +29,28 @@ def read_fastq(spark: SparkSession, path: str, stop_at_empty: bool = True) -> Da
     return df.select("file", barcode_of("file").alias("barcode"), F.col("at").cast("long").alias("read_idx"), "r.*")
 
 
+def read_large_fastq(spark: SparkSession, path: str, stop_at_empty: bool = True) -> DataFrame:
+    """The rows of read_fastq, with every file read in splits by many tasks (a .gz file is one split).
+
+    A line's number is its place in its split plus the lines of the file's earlier splits, whose counts are a small table;
+    the lines of a record then meet by an aggregation. Nothing holds a whole file.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", r"\s+$", "").alias("value"),
+    )
+    splits = lines.groupBy("file", "split").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("file", "split", (earlier - F.col("first")).alias("shift"))
+    lines = lines.join(F.broadcast(splits), ["file", "split"]).withColumn("line", F.col("at") + F.col("shift"))
+    part = {n: F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(n) for k, n in ((0, "id"), (1, "sequence"), (3, "quality"))}
+    records = lines.groupBy("file", F.floor(F.col("line") / 4).alias("read_idx")).agg(*part.values(), F.count("*").alias("n")).filter("n = 4")
+    if stop_at_empty:
+        ends = records.filter("sequence = ''").groupBy("file").agg(F.min("read_idx").alias("stop"))
+        records = records.join(F.broadcast(ends), "file", "left").filter("stop is null or read_idx < stop")
+    return records.select("file", barcode_of("file").alias("barcode"), "read_idx", "id", "sequence", "quality")
+
+
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     """Sequences alone, without an early stop."""
     return read_fastq(spark, path, stop_at_empty=False).select("sequence")
@@ -92,45 +111,3 @@ def write_encoded(df: DataFrame, path: str, n: int, label: str | None = None) ->
     """CSV of encoded sequences (column features): integer headers, the label last."""
     cols = [F.col("features")[i].alias(str(i)) for i in range(n)]
     df.select(*cols, *([F.col(label).alias(str(n))] if label else [])).write.csv(path, header=True)
-
-
-class FastqSource(DataSource):
-    """spark.dataSource.register(FastqSource); spark.read.format("fastq").load(path): a task a file, read as a stream.
-
-    `path` is a file or a folder that the executors can open; records come as file, read_idx, id, sequence, quality.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "fastq"
-
-    def schema(self) -> str:
-        return "file string, read_idx long, id string, sequence string, quality string"
-
-    def reader(self, schema) -> FastqReader:
-        return FastqReader(self.options["path"])
-
-
-class FastqReader(DataSourceReader):
-    def __init__(self, path: str) -> None:
-        self.path = path
-
-    def partitions(self) -> list[InputPartition]:
-        from pathlib import Path
-
-        root = Path(self.path)
-        files = sorted(p for p in root.rglob("*") if p.name.endswith((".fastq", ".fastq.gz", ".fq", ".fq.gz"))) if root.is_dir() else [root]
-        return [InputPartition(str(p)) for p in files]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        import gzip
-
-        opened = gzip.open if partition.value.endswith(".gz") else open
-        with opened(partition.value, "rt", encoding="utf-8") as f:
-            k = 0
-            while header := f.readline():
-                sequence, _, quality = f.readline().rstrip(), f.readline(), f.readline().rstrip()
-                if not sequence:
-                    return
-                yield partition.value, k, header.rstrip(), sequence, quality
-                k += 1

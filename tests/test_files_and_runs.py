@@ -29,8 +29,22 @@ def test_fastq_stops_at_an_empty_sequence(spark, tmp_path):
     got = files.read_fastq(spark, f"{tmp_path}/barcode*/*.fastq.gz").orderBy("read_idx").collect()
     assert [(r["barcode"], r["read_idx"], r["id"], r["sequence"], r["quality"]) for r in got] == [("barcode01", 0, "@r0", "ACGT", "IIII"), ("barcode01", 1, "@r1", "GG", "II")]
     assert files.read_sequences(spark, str(path)).count() == 4
-    spark.dataSource.register(files.FastqSource)
-    assert [r["id"] for r in spark.read.format("fastq").load(str(tmp_path)).orderBy("read_idx").collect()] == ["@r0", "@r1"]
+    large = files.read_large_fastq(spark, f"{tmp_path}/barcode*/*.fastq.gz").orderBy("read_idx").collect()
+    assert [r.asDict() for r in large] == [r.asDict() for r in got]
+
+
+def test_large_fastq_in_many_splits(spark, tmp_path):
+    (tmp_path / "barcode07").mkdir()
+    for name, n in (("a", 300), ("b", 170)):
+        (tmp_path / "barcode07" / f"{name}.fastq").write_text("".join(f"@{name}{k}\n{'ACGT' * (k % 9 + 1)}\n+\n{'@' * (4 * (k % 9 + 1))}\n" for k in range(n)) + "@cut\nAC\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        got = files.read_large_fastq(spark, f"{tmp_path}/barcode07/*.fastq")
+        rows = sorted((r["file"][-7], r["read_idx"], r["id"], len(r["sequence"]), r["quality"]) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert rows == [(name, k, f"@{name}{k}", 4 * (k % 9 + 1), "@" * (4 * (k % 9 + 1))) for name, n in (("a", 300), ("b", 170)) for k in range(n)]
 
 
 def test_fasta_modes(spark, tmp_path):
@@ -152,6 +166,49 @@ def test_run_and_stream(spark, amplicon, tmp_path):
     assert [tuple(r) for r in spark.table("seen").collect()] == [("barcode01", 10)]
 
 
+def test_train_save_analyse_and_command_line(spark, amplicon, tmp_path):
+    from readloom.__main__ import arguments, main
+    from readloom.plans import evaluate
+
+    t = spark.createDataFrame([(LABELS[k], amplicon[k][18:-20]) for k in range(3)], "species string, sequence string")
+    data = simulate.dataset(simulate.errored_amplicons(t, 30, high=0.03))
+    model = models.train_and_save([data.limit(45), data], f"{tmp_path}/model", rows=120, numTrees=8, maxDepth=6)
+    parts = {r["part"] for r in models.report(model, {"train": data, "test": data}).collect()}
+    assert parts == {"train", "test"}
+    rows = data.select(F.lit("barcode01").alias("barcode"), F.monotonically_increasing_id().alias("read_idx"), "features").unionByName(
+        spark.createDataFrame([("barcode02", 0, None)], "barcode string, read_idx long, features array<int>"))
+    tables = evaluate.analyse(model, rows, {LABELS[0]: 0.9, LABELS[1]: 0.0})
+    assert tables["predictions"].count() == 90 and len(tables["probabilities"].columns) == 5
+    assert sum(r["n"] for r in tables["distribution"].collect()) == 90
+    assert sum(r["mean_probability"] for r in tables["average_class"].collect()) == pytest.approx(1)
+    found = {r["species"]: r["n_reads_detected"] for r in tables["detected"].collect()}
+    assert found[LABELS[1]] == 90 and 10 <= found[LABELS[0]] <= 30
+    evaluate.write_analysis(tables, f"{tmp_path}/analysis")
+    assert spark.read.csv(f"{tmp_path}/analysis/predictions", header=True).count() == 90
+    (tmp_path / "run/barcode01").mkdir(parents=True)
+    with gzip.open(tmp_path / "run/barcode01/a.fastq.gz", "wt") as f:
+        f.write("".join(record(k, f"AA{amplicon[0]}TT") for k in range(10)) + record(10, "ACGT"))
+    main(["-c", "-m", f"{tmp_path}/model", "-r", f"{tmp_path}/run", "-o", f"{tmp_path}/out", "-p", "0.3"])
+    wide = spark.read.csv(f"{tmp_path}/out/counts", header=True).collect()
+    assert len(wide) == 1 and float(wide[0][f"{LABELS[0]} (0.3 <= p)"]) == 1.0
+    assert spark.read.csv(f"{tmp_path}/out/quality_after", header=True).count() == len(amplicon[0])
+    with pytest.raises(SystemExit):
+        arguments(["-r", "x", "-o", "y"])
+
+
+def test_real_test_set_and_boosting(spark, amplicon):
+    raw = spark.createDataFrame([(k, f"@r{k}", "barcode01", f"AA{a}TT", "I" * (len(a) + 4)) for k, a in enumerate(amplicon[:4])], "read_idx long, id string, barcode string, sequence string, quality string")
+    refs = spark.createDataFrame([("r1", amplicon[1]), ("r2", amplicon[2])], "ref_id string, sequence string")
+    got = runs.labelled_reads(raw, refs, "Some species", mapq=40).collect()
+    assert len(got) == 2 and {r["species"] for r in got} == {"Some_species"} and all(len(r["features"]) == 160 for r in got)
+    t = spark.createDataFrame([(LABELS[k], amplicon[k][18:-20]) for k in range(3)], "species string, sequence string")
+    data = simulate.dataset(simulate.errored_amplicons(t, 20, high=0.02)).cache()
+    model = models.fit(data, "boosted", maxIter=2, maxDepth=3, subsamplingRate=1.0)
+    assert models.recall(model, data) > 0.8
+    probs = [r["probs"] for r in models.predict(model, data).collect()]
+    assert all(sum(p) == pytest.approx(1) for p in probs)
+
+
 def test_quality_tables(spark):
     df = spark.createDataFrame([("ACGT", "IIII"), ("AC", "55"), ("AC", "55"), ("", "")], "sequence string, quality string")
     first = qc.per_position(df.filter("quality <> ''")).orderBy("position").first()

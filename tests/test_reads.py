@@ -1,5 +1,8 @@
 """Reads: the literal cases of FIXTURES.md, and quirks of every operator."""
 
+import hashlib
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,7 +125,32 @@ def test_subsets(raw):
 
 
 def test_settings():
-    s = config.Settings()
-    assert s.get("ranges")["PARVA"] == (140, 155) and s.get("encoder")["unidentified"] == 10
+    assert (config.primer_set("parva").shortest, config.primer_set("PARVA").longest, config.CODES["unidentified"]) == (140, 155, 10)
     with pytest.raises(ValueError):
-        s.get("nothing")
+        config.primer_set("nothing")
+
+
+def test_sql_functions(spark):
+    fn.register_sql(spark)
+    row = spark.sql("SELECT kmers('ACGTN', 3) AS k, kmers('AC', 3) AS none, reverse_complement('ACGTN') AS r, encode_bases('ACGTNa', 8) AS e").first()
+    assert (row.k, row.none, row.r, row.e) == (["ACG", "CGT", "GTN"], [], "gACGT", [1, 3, 4, 2, 0, 1, 0, 0])
+    assert spark.sql("SELECT explode(k) AS kmer FROM (SELECT kmers(s, 2) AS k FROM VALUES ('ACG'), (null) AS t(s))").count() == 2
+
+
+def test_quantiles(spark):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=500), rng.integers(0, 9, 500).astype(float)
+    df = spark.createDataFrame([(float(x), None if k % 7 == 0 else float(y), None) for k, (x, y) in enumerate(zip(a, b, strict=True))], "a double, b float, c double").repartition(3)
+    wanted = {f"{c}{q}": (c, q) for c in ("a", "b") for q in (0.0, 0.1, 0.333, 0.5, 1.0)} | {"c0.5": ("c", 0.5)}
+    got = ops.quantiles(df, wanted)
+    assert got.pop("c0.5") is None
+    assert all(v == pytest.approx(np.quantile(a if n[0] == "a" else b[np.arange(500) % 7 > 0], wanted[n][1])) for n, v in got.items())
+
+
+def test_stratified_takes_the_first_of_each_label(spark):
+    df = spark.range(3000).withColumn("y", F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 7, None).otherwise("rare"))
+    got = ops.stratified(df, "y", "id", 0.25)
+    assert {r["y"]: r["count"] for r in got.groupBy("y").count().collect()} == {"hot": 525, "rare": 150, None: 75}
+    order = sorted((r.id for r in df.filter("y = 'hot'").collect()), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+    assert {r.id for r in got.filter("y = 'hot'").collect()} == set(order[:525]) and got.columns == df.columns
+
