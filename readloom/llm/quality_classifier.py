@@ -10,6 +10,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from operator import eq
 
 import numpy as np
@@ -26,15 +27,25 @@ GRAMS = (3, 4)
 AGAIN = BUCKETS
 #: Bound on the labelled rows that the classifier learns from.
 TRAIN_ROWS = 4000
-#: Words whose numbers a Python worker remembers.
-REMEMBERED = 200_000
 
 
-def word_features(word: bytes) -> list[int]:
-    """Buckets of a word and of the n-grams of its characters between < and >."""
-    edged = f"<{word.decode('utf-8', 'replace')}>"
-    grams = [edged[i : i + n].encode() for n in GRAMS for i in range(len(edged) - n + 1)]
-    return [zlib.crc32(g) & (BUCKETS - 1) for g in [word, *grams]]
+def features_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, place of its word in the list) of every word and of the n-grams of its characters between < and >."""
+    edged = [f"<{w.decode('utf-8', 'replace')}>" for w in words]
+    chars = np.frombuffer("".join(edged).encode("utf-32-le"), "<u4").astype(np.uint64)
+    size = np.fromiter(map(len, edged), np.int64, len(edged))
+    end = np.repeat(np.cumsum(size), size)
+    owner = np.repeat(np.arange(len(words)), size)
+    buckets, owners = [np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & (BUCKETS - 1)], [np.arange(len(words))]
+    for n in GRAMS:
+        at = np.flatnonzero(np.arange(len(chars)) + n <= end)
+        h = np.full(len(at), n, np.uint64)
+        for j in range(n):
+            h = (h ^ chars[at + j]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        buckets.append((h >> np.uint64(20)).astype(np.int64) & (BUCKETS - 1))
+        owners.append(owner[at])
+    return np.concatenate(buckets), np.concatenate(owners)
 
 
 def repeats(words: list[bytes]) -> int:
@@ -46,8 +57,9 @@ def text_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares."""
     total = np.zeros(BUCKETS + 1, np.int64)
     words = text.split()
-    for w, n in Counter(words).items():
-        np.add.at(total, word_features(w), n)
+    count = Counter(words)
+    bucket, owner = features_of(list(count))
+    np.add.at(total, bucket, np.fromiter(count.values(), np.int64, len(count))[owner])
     total[AGAIN] += repeats(words)
     at = np.flatnonzero(total)
     return at, total[at] / max(1, total.sum())
@@ -117,20 +129,6 @@ def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
     return SubwordModel().fit([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["share"], "<f4").astype(float), r["_y"]) for r in rows])
 
 
-class _Words(dict):
-    """Word -> its features' sum and number, as one complex number."""
-
-    def __init__(self, flat: np.ndarray) -> None:
-        self.flat = flat.tolist()
-
-    def __missing__(self, word: bytes) -> complex:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        f, at = self.flat, word_features(word)
-        self[word] = value = complex(sum([f[i] for i in at]), len(at))
-        return value
-
-
 def score(docs: DataFrame, model: SubwordModel, text: str = "text", out: str = "score") -> DataFrame:
     """docs with a double column `out`: the probability of class 1. Null and blank texts get the prior's."""
     spark = docs.sparkSession
@@ -141,11 +139,16 @@ def score(docs: DataFrame, model: SubwordModel, text: str = "text", out: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, prior = flat.value
-        words, again = _Words(weights), complex(weights[AGAIN], 1)
+        again = complex(weights[AGAIN], 1)
         for b in batches:
+            texts = [(t.as_py() or b"").split() for t in b.column(at).cast(pa.binary())]
+            every = list(set(chain.from_iterable(texts)))
+            bucket, owner = features_of(every)
+            sums = np.bincount(owner, weights[bucket], len(every)) + 1j * np.bincount(owner, minlength=len(every))
+            # A word stands for its features' sum and number, as one complex number.
+            words = dict(zip(every, sums.tolist(), strict=True))
             logits = []
-            for t in b.column(at).cast(pa.binary()):
-                split = (t.as_py() or b"").split()
+            for split in texts:
                 total = sum(map(words.__getitem__, split), again * repeats(split))
                 logits.append(prior + (total.real / total.imag if total.imag else 0.0))
             p = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))

@@ -45,7 +45,7 @@ def rules(text: Column) -> dict[str, Column]:
         "symbols": _count(text, SYMBOLS) * 100 > size * 5,
         "exclamations": _count(text, "!") * 100 > size * 5,
         "capitals": _count(text, UPPER) * 100 > size * 40,
-        "digits": _count(text, DIGITS) * 100 > size * 40,
+        "digits": _count(text, DIGITS) * 100 > size * 70,
         "braces": _count(text, "{}") * 100 > size * 2,
         "no_spaces": dense * 100 > size * 98,
         "word_length": (dense > words * 20) | (dense < words * 2),
@@ -173,7 +173,7 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and not (
     n_symbols * 100 > size * 5 or (size - length(replace(t, '!', ''))) * 100 > size * 5
     or (size - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) * 100 > size * 40
-    or (size - length(translate(t, '0123456789', ''))) * 100 > size * 40
+    or (size - length(translate(t, '0123456789', ''))) * 100 > size * 70
     or (size - length(translate(t, '{}', ''))) * 100 > size * 2
     or (n_lines >= 4 and n_dup_lines * 100 > n_lines * 50) or word_chars * 100 > size * 98
     or word_chars > n_words * 20 or word_chars < n_words * 2
