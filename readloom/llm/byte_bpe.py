@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from readloom.llm.common import places, ship, table, with_columns
+from readloom.llm.common import give_back, places, ship, table, with_columns
 
 #: Parts and pre-tokens whose ids a Python worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Characters of texts whose new pre-tokens are merged together; a longer text stands alone.
 GROUP_CHARS = 100_000
 #: Stands between pre-tokens in the linked list: no UTF-8 text has this byte.
@@ -207,6 +207,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", o
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         c = codec(path, pattern)
         for b in batches:
             texts = [t or "" for t in b.column(at).to_pylist()]
@@ -231,6 +232,7 @@ def decode_ids(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids",
     at = kept.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         c = codec(path, pattern)
         for b in batches:
             raw = pa.array([c.decode(x or []) for x in b.column(at).to_pylist()], pa.binary())
@@ -247,6 +249,7 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         c = codec(path, pattern)
         for b in batches:
             n, of_ids, of_bytes = [], [], []

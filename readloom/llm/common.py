@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -11,36 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from readloom.sources.staging import materialize, shared_dir  # noqa: F401  for the operators
+
 #: ASCII white space separates words; everything else belongs to a word (bytes.split() agrees).
 WORD_GAP = r"[ \t-\r]+"
-_OWN_DIR: dict[str, str] = {}
 _SHIPPED: set[str] = set()
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIR:
-        _OWN_DIR[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(_OWN_DIR[app])
-    return _OWN_DIR[app]
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Cut lineage: write df as Parquet to the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Bytes of rows that go to a Python worker at once; Spark's default of 64 MB is too much for texts of all sizes.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -75,6 +51,20 @@ def spare(name: str, *taken: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return to the system what earlier tasks have left in this Python worker, which Spark reuses; for a task's start."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def places(kept: DataFrame, made: list[T.StructField]) -> list[str]:
     """Names by place for the columns of kept and those made."""
     return [f"c{k}" for k in range(len(kept.columns) + len(made))]

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm.common import materialize, ship, table
+from readloom.llm.common import give_back, materialize, ship, table
 from readloom.llm.components import connected_components
 from readloom.llm.verify import jaccard_links
 
@@ -185,6 +185,7 @@ def _occurrences(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        give_back()
         words, rid = WordHashes(), TaskContext.get().partitionId() << 40
         for batch in batches:
             ids = batch.column(0)
@@ -222,6 +223,7 @@ def _grams(min_words: int, wanted: bytes):
     """Rows (name, grams) of the lines that pass the filter, once for the texts taken apart together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         words, bits = WordHashes(), np.unpackbits(np.frombuffer(wanted, np.uint8), bitorder="little")
         for batch in batches:
             for _, texts in _groups(batch, 0):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from readloom.llm.common import materialize, places, ship, table, with_columns
+from readloom.llm.common import give_back, materialize, places, ship, table, with_columns
 
 BUCKETS = 1 << 17
 GRAMS = (3, 4)
@@ -138,6 +138,7 @@ def score(docs: DataFrame, model: SubwordModel, text: str = "text", out: str = "
     names, at = places(kept, made), kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         weights, prior = flat.value
         again = complex(weights[AGAIN], 1)
         for b in batches:

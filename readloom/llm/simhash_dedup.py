@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from readloom.llm.common import materialize, parts, places, ship, spare, table
+from readloom.llm.common import give_back, materialize, parts, places, ship, spare, table
 from readloom.llm.components import connected_components
 from readloom.llm.verify import jaccard_links
 
@@ -267,6 +267,7 @@ def _slot_counts():
     from readloom.llm.paragraph_dedup import WordHashes, shingle_hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         words, counts = WordHashes(), np.zeros(1 << SLOT_BITS, np.int64)
         for b in batches:
             for t in b.column(0):
@@ -299,6 +300,7 @@ def _shingle_prints(names: list[str], words: int, levels: bytes, similarity: flo
     from readloom.llm.paragraph_dedup import WordHashes, shingle_hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         hashes, level = WordHashes(), np.frombuffer(levels, np.uint8)
         for b in batches:
             prints, name, keys = [], [], []
@@ -321,6 +323,7 @@ def _document_grams(wanted: bytes):
     from readloom.llm.paragraph_dedup import FILTER_BITS, WordHashes, shingle_hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         words, bits = WordHashes(), np.unpackbits(np.frombuffer(wanted, np.uint8), bitorder="little")
         for b in batches:
             names, grams = [], []
