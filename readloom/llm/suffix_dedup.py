@@ -405,15 +405,20 @@ def remove_repeats(
     settled = ties.applyInArrow(_settle(hot_samples), "chunk_id long, bucket long, states binary, hot long")
     settled = materialize(settled, "settled")
     chunks = chunks.join(gathered(settled, "states", "settled"), "chunk_id", "left")
-    hot = chunks.join(settled.filter("hot > 0").select(F.col("chunk_id").alias("_c")).distinct(), F.col("chunk_id") == F.col("_c"), "left_semi")
-    run, schema = _hot_strings(bits, length)
-    hot = hot.mapInArrow(run, schema).groupBy("bucket")
-    hot = gathered(hot.applyInArrow(_repeated_names, "chunk_id long, bucket long, hits binary"), "hits", "hot")
+    marked = settled.filter("hot > 0").select(F.col("chunk_id").alias("_c")).distinct()
+    if marked.isEmpty():
+        hot = None
+    else:
+        run, schema = _hot_strings(bits, length)
+        hot = chunks.join(marked, F.col("chunk_id") == F.col("_c"), "left_semi").mapInArrow(run, schema).groupBy("bucket")
+        hot = gathered(hot.applyInArrow(_repeated_names, "chunk_id long, bucket long, hits binary"), "hits", "hot")
     run, schema = _edges(bits, length)
     edges = chunks.mapInArrow(run, schema).groupBy("bucket")
     proved = gathered(edges.applyInArrow(_sort_suffixes(length), "chunk_id long, bucket long, proved binary"), "proved", "proved")
     run, schema = _cut(bits, length, keep_text)
-    return chunks.join(proved, "chunk_id", "left").join(hot, "chunk_id", "left").mapInArrow(run, schema)
+    done = chunks.join(proved, "chunk_id", "left")
+    done = done.join(hot, "chunk_id", "left") if hot else done.withColumn("hot", F.lit(None).cast("array<struct<bucket: bigint, hits: binary>>"))
+    return done.mapInArrow(run, schema)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
