@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from readloom.llm.common import give_back, places, ship, table, with_columns
 
-#: Parts and pre-tokens whose ids a Python worker remembers, in each of two generations.
+#: Parts and pre-tokens whose ids a task remembers, in each of two generations.
 REMEMBERED = 100_000
 #: Characters of texts whose new pre-tokens are merged together; a longer text stands alone.
 GROUP_CHARS = 100_000
@@ -34,7 +34,6 @@ GROUP_CHARS = 100_000
 _BETWEEN = 0xFF
 _ALONE = re.compile(r"(?<=\S)(?= \S)").split
 _UNEVEN = re.compile(r"\s | \s").search
-_CODECS: dict[tuple[str, str], Codec] = {}
 
 
 def parts_of(text: str) -> list[str]:
@@ -187,13 +186,6 @@ class Codec:
 _BITS = [1 << i for i in range(256)]
 
 
-def codec(path: str, pattern: str) -> Codec:
-    """The worker's codec for a file, loaded once."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = Codec(path, pattern)
-    return _CODECS[path, pattern]
-
-
 def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "token_ids", same: str | None = None) -> DataFrame:
     """docs with an array<int> column `out`: each text's ids (null or empty: none). Special tokens are ordinary text.
 
@@ -208,7 +200,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", o
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
-        c = codec(path, pattern)
+        c = Codec(path, pattern)
         for b in batches:
             texts = [t or "" for t in b.column(at).to_pylist()]
             ids, told = [], []
@@ -233,7 +225,7 @@ def decode_ids(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
-        c = codec(path, pattern)
+        c = Codec(path, pattern)
         for b in batches:
             raw = pa.array([c.decode(x or []) for x in b.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, raw], names=names)
@@ -250,7 +242,7 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
-        c = codec(path, pattern)
+        c = Codec(path, pattern)
         for b in batches:
             n, of_ids, of_bytes = [], [], []
             for ids in c.encode_texts([t or "" for t in b.column(1).to_pylist()]):

@@ -27,6 +27,8 @@ GRAMS = (3, 4)
 AGAIN = BUCKETS
 #: Bound on the labelled rows that the classifier learns from.
 TRAIN_ROWS = 4000
+#: Bytes of texts whose words are hashed together.
+GROUP_BYTES = 1 << 20
 
 
 def features_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -119,14 +121,30 @@ def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
         for b in batches:
             for i, t, y in zip(b.column(0), b.column(1), b.column(2), strict=True):
                 at, share = text_features(t.as_py() or b"")
-                cols = [pa.array([i.as_py()]), pa.array([y.as_py()], pa.int32()), pa.array([at.astype("<i4").tobytes()]), pa.array([share.astype("<f4").tobytes()])]
+                steps = np.diff(at.astype("<i4"), prepend=np.zeros(1, "<i4"))
+                cols = [pa.array([i.as_py()]), pa.array([y.as_py()], pa.int32()), *(pa.array([zlib.compress(x, 1)]) for x in (steps.tobytes(), share.astype("<f4").tobytes()))]
                 yield pa.RecordBatch.from_arrays(cols, names=["_id", "_y", "at", "share"])
 
     # Of rows with one id the first by content stands, so that their number is bounded, whatever repeats.
     one = texts.groupBy(F.col("_id").cast("long").alias("_id"), "_y").agg(F.min("_t").alias("_t")).select("_id", "_t", "_y")
     rows = materialize(one, "rows").mapInArrow(run, "_id long, _y int, at binary, share binary").collect()
     rows.sort(key=lambda r: r["_id"])
-    return SubwordModel().fit([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["share"], "<f4").astype(float), r["_y"]) for r in rows])
+    numbers = lambda x, kind: np.frombuffer(zlib.decompress(x), kind)
+    return SubwordModel().fit([(np.cumsum(numbers(r["at"], "<i4")), numbers(r["share"], "<f4"), r["_y"]) for r in rows])
+
+
+def _groups(texts: pa.Array) -> Iterator[list[bytes]]:
+    """Texts by about GROUP_BYTES; a longer one stands alone."""
+    held, size = [], 0
+    for t in texts:
+        value = t.as_py() or b""
+        if held and size + len(value) > GROUP_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(value)
+        size += len(value)
+    if held:
+        yield held
 
 
 def score(docs: DataFrame, model: SubwordModel, text: str = "text", out: str = "score") -> DataFrame:
@@ -142,16 +160,17 @@ def score(docs: DataFrame, model: SubwordModel, text: str = "text", out: str = "
         weights, prior = flat.value
         again = complex(weights[AGAIN], 1)
         for b in batches:
-            texts = [(t.as_py() or b"").split() for t in b.column(at).cast(pa.binary())]
-            every = list(set(chain.from_iterable(texts)))
-            bucket, owner = features_of(every)
-            sums = np.bincount(owner, weights[bucket], len(every)) + 1j * np.bincount(owner, minlength=len(every))
-            # A word stands for its features' sum and number, as one complex number.
-            words = dict(zip(every, sums.tolist(), strict=True))
             logits = []
-            for split in texts:
-                total = sum(map(words.__getitem__, split), again * repeats(split))
-                logits.append(prior + (total.real / total.imag if total.imag else 0.0))
+            for texts in _groups(b.column(at).cast(pa.binary())):
+                split = [t.split() for t in texts]
+                every = list(set(chain.from_iterable(split)))
+                bucket, owner = features_of(every)
+                sums = np.bincount(owner, weights[bucket], len(every)) + 1j * np.bincount(owner, minlength=len(every))
+                # A word stands for its features' sum and number, as one complex number.
+                words = dict(zip(every, sums.tolist(), strict=True))
+                for x in split:
+                    total = sum(map(words.__getitem__, x), again * repeats(x))
+                    logits.append(prior + (total.real / total.imag if total.imag else 0.0))
             p = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], names=names)
 
