@@ -287,7 +287,7 @@ def duplicate_paragraphs(docs: DataFrame, text: str = "text", doc_id: str = "doc
     wanted = again.withColumn("own", F.lit(1)).unionByName(groups.withColumn("own", F.lit(0)))
     wanted = wanted.groupBy(F.col("name").alias("_name")).agg(F.min_by("group", "own").alias("group"))
     wanted = materialize(wanted, "wanted")
-    hits = materialize(named.join(wanted, F.col("name") == F.col("_name")).select("rid", "doc_id", "start", "n", "line", "group"), "hits")
+    hits = materialize(named.drop("line", "bands").join(wanted, F.col("name") == F.col("_name")).select("rid", "doc_id", "start", "n", "group"), "hits")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "rid", "start", "n")).alias("keeper")
     whole = hits.groupBy(F.col("group").alias("_group")).agg(first, F.min("rid").alias("low"), F.max("rid").alias("high"))
     told = hits.join(materialize(whole, "whole"), F.col("group") == F.col("_group"))
