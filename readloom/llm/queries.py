@@ -3,6 +3,7 @@
 from readloom.llm.benchmark_windows import op8_decontamination
 from readloom.llm.byte_bpe import op4_byte_bpe
 from readloom.llm.context_tree import op1_context_tree
+from readloom.llm.exact_dedup import OP13_SQL, op13_exact_dedup
 from readloom.llm.paragraph_dedup import op2_paragraph_dedup
 from readloom.llm.pii import op5_pii
 from readloom.llm.quality_classifier import op7_quality_classifier
@@ -24,6 +25,7 @@ QUERIES = {
         op8_decontamination,
         op9_simhash_dedup,
         op10_suffix_dedup,
+        op13_exact_dedup,
     )
 }
-ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL, "op6_quality_rules": OP6_SQL}
+ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL, "op6_quality_rules": OP6_SQL, "op13_exact_dedup": OP13_SQL}
