@@ -5,6 +5,7 @@ from readloom.llm.byte_bpe import op4_byte_bpe
 from readloom.llm.context_tree import op1_context_tree
 from readloom.llm.exact_dedup import OP13_SQL, op13_exact_dedup
 from readloom.llm.paragraph_dedup import op2_paragraph_dedup
+from readloom.llm.periodic_runs import op11_periodic_runs
 from readloom.llm.pii import op5_pii
 from readloom.llm.quality_classifier import op7_quality_classifier
 from readloom.llm.quality_rules import OP6_SQL, op6_quality_rules
@@ -25,6 +26,7 @@ QUERIES = {
         op8_decontamination,
         op9_simhash_dedup,
         op10_suffix_dedup,
+        op11_periodic_runs,
         op13_exact_dedup,
     )
 }
