@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +51,17 @@ def spare(name: str, *taken: str) -> str:
     return name
 
 
+def pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in pieces of about `size` bytes that end at white space."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        while end < len(text) and text[end] not in b" \t\n\v\f\r":
+            end += 1
+        yield text[at:end]
+        at = end
+
+
 def give_back() -> None:
     """Return to the system what earlier tasks have left in this Python worker, which Spark reuses; for a task's start."""
     import ctypes

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm.common import give_back, ship, table, word_array
+from readloom.llm.common import give_back, pieces, ship, table, word_array
 
 #: Bytes of texts whose suffixes are sorted together; a longer text stands alone.
 GROUP_BYTES = 1 << 20
@@ -27,24 +27,12 @@ GROUP_BYTES = 1 << 20
 PIECE_BYTES = 4 << 20
 #: Places of a node from which on they are also kept by the word to their left.
 MANY = 12
-SPACES = b" \t\n\v\f\r"
-
-
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """A text in pieces of about PIECE_BYTES that end between words."""
-    at = 0
-    while at < len(text):
-        end = at + PIECE_BYTES
-        while end < len(text) and text[end] not in SPACES:
-            end += 1
-        yield text[at:end]
-        at = end
 
 
 def number_words(text: bytes) -> tuple[np.ndarray, list[bytes]]:
     """(number of each word, the word of each number), numbers in order of first appearance."""
     known: dict[bytes, int] = {}
-    out = [np.fromiter((known.setdefault(w, len(known)) for w in p.split()), np.int64) for p in _pieces(text)]
+    out = [np.fromiter((known.setdefault(w, len(known)) for w in p.split()), np.int64) for p in pieces(text, PIECE_BYTES)]
     return np.concatenate(out) if out else np.empty(0, np.int64), list(known)
 
 
