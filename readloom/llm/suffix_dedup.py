@@ -262,8 +262,11 @@ def _rows(data: np.ndarray, start: np.ndarray, size: np.ndarray, step: int, widt
 
 
 def _ranked(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the rows by their bytes, and how many bytes each has in common with the one before it in that order."""
-    order = np.argsort(rows.view(f"S{rows.shape[1]}").ravel(), kind="stable")
+    """Order of the rows by their bytes, a row before those that it begins, and how many bytes each has in common with the
+    one before it in that order."""
+    # Zeros end a row or belong to it: the size tells, as an odd number, so that no row ends in a zero byte.
+    sized = np.concatenate([rows, (2 * size + 1).astype(">u4").view(np.uint8).reshape(-1, 4)], axis=1)
+    order = np.argsort(sized.view(f"S{sized.shape[1]}").ravel(), kind="stable")
     differ = rows[order[1:]] != rows[order[:-1]]
     common = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
     return order, np.r_[0, np.minimum(common, np.minimum(size[order[1:]], size[order[:-1]]))][: len(order)]

@@ -674,6 +674,28 @@ def test_suffix_dedup(docs, clashing, rows, empty, chunk, bucket, hot):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize(("chunk", "bucket"), [(2 << 20, 6 << 20), (3000, 500)])
+def test_suffix_dedup_with_zero_bytes(spark, chunk, bucket):
+    """Passages that end in U+0000, texts that end where the zeros begin, and strings of zeros of all lengths."""
+    import random
+
+    rng = random.Random(9)
+    passage = "".join(rng.choices("abcdefgh", k=125))
+    texts = []
+    for k in range(60):
+        own = "".join(rng.choices("abcdefgh", k=rng.randrange(100, 260)))
+        texts.append(own + passage + "\0" * (100 if k % 3 == 0 else k) + (own[::-1] if k % 2 else ""))
+    texts += ["\0" * n for n in (0, 1, 150, 199, 200, 201, 260)] + [passage + "\0" * 75, passage + "\0" * 74, passage[1:] + "\0" * 76 + "x"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(frame, chunk_bytes=chunk, bucket_bytes=bucket).collect()}
+    data = [t.encode() for t in texts]
+    seen = collections.Counter(d[i : i + 200] for d in data for i in range(len(d) - 199))
+    for k, d in enumerate(data):
+        gone = {j for i in range(len(d) - 199) if seen[d[i : i + 200]] > 1 for j in range(i, i + 200)}
+        left = bytes(b for j, b in enumerate(d) if j not in gone)
+        assert (got[k].n_removed, bytes(got[k].kept)) == (len(gone), left), k
+
+
 def test_long_texts(spark):
     """One text of some megabytes in words, and one of a single huge line without a space."""
     rng = np.random.default_rng(5)
