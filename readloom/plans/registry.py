@@ -383,6 +383,31 @@ def mapping_counts(spark, sf_dir):
     return runs.mapping_counts(amplicons(spark, sf_dir), _references(spark, sf_dir), reads(spark, sf_dir)).withColumn("log10_n", F.round("log10_n", 6))
 
 
+def _errored(template: str, k: str) -> str:
+    """SQL of a template without one base and with another one changed, at places that depend on the number k."""
+    lost, changed = f"cast(30 + {k} % 20 as int)", f"cast(80 + {k} % 23 as int)"
+    kept = f"substr({template}, 1, {lost} - 1) || substr({template}, {lost} + 1, {changed} - {lost} - 1)"
+    return f"{kept} || translate(substr({template}, {changed}, 1), 'ACGT', 'CGTA') || substr({template}, {changed} + 1)"
+
+
+_TURNED = _RC.replace("sequence", "errored")
+
+
+@query(f"""{_HITS}, refs as (select species, min(read_idx) as first from hits group by species),
+t as (select h.read_idx, h.species, a.sequence as template, {_errored('a.sequence', 'h.read_idx')} as errored from hits h join refs r using (species) join amplicons a on a.read_idx = r.first)
+select read_idx, species, (read_idx % 2 * 16)::INT as flag, 0 as pos, length(template)::INT as ref_end, levenshtein(errored, template)::INT as nm, true as sure, length(errored)::INT as n_read from t""")
+def align_errored_reads(spark, sf_dir):
+    """Of every amplicon an errored copy of its species' template, every other one turned round."""
+    refs = _references(spark, sf_dir)
+    copies = _hits(spark, sf_dir).join(F.broadcast(refs.select("species", F.col("sequence").alias("template"))), "species")
+    copies = copies.withColumn("errored", F.expr(_errored("template", "read_idx")))
+    turned = F.when(F.col("read_idx") % 2 == 1, fn.reverse_complement("errored")).otherwise(F.col("errored"))
+    copies = copies.select("read_idx", F.concat(F.lit("@r"), "read_idx").alias("id"), "barcode", turned.alias("sequence"))
+    found = align(copies, refs, k=19, w=5).filter(F.col("flag").bitwiseAND(256 + 2048) == 0)
+    used = F.aggregate(F.regexp_extract_all("cigar", F.lit("([0-9]+)[MIS]"), F.lit(1)), F.lit(0), lambda n, x: n + x.cast("int"))
+    return found.select("read_idx", "species", "flag", "pos", "ref_end", "nm", (F.col("mapq") >= 40).alias("sure"), used.alias("n_read"))
+
+
 def _between(df: DataFrame) -> DataFrame:
     """species and the sequence between the primers."""
     return df.select("species", F.expr(f"substr(sequence, {len(FORWARD) + 1}, length(sequence) - {len(FORWARD) + len(REVERSE_RC)})").alias("sequence"))
