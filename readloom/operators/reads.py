@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.sequences import (
@@ -57,6 +57,26 @@ def rejects(reads: DataFrame) -> DataFrame:
     return reads.filter(~F.coalesce((F.length("sequence") > 0) & (F.length("quality") >= F.length("sequence")), F.lit(False)))
 
 
+class StageCounts:
+    """Rows that pass each stage of a plan, counted while a job runs it; no job of their own."""
+
+    def __init__(self) -> None:
+        self._stages: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, stage: str) -> DataFrame:
+        """df, counted as `stage`. The plan must run once, whole: write it, and go on from what is written."""
+        self._stages[stage] = Observation()
+        return df.observe(self._stages[stage], F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> list[tuple[str, int, int]]:
+        """(stage, rows kept, rows dropped since the stage before), in order; waits until the plan has run."""
+        kept = [(stage, o.get["rows"]) for stage, o in self._stages.items()]
+        return [(stage, n, kept[k - 1][1] - n if k else 0) for k, (stage, n) in enumerate(kept)]
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows(), "stage string, kept long, dropped long")
+
+
 def quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[str, float | None]:
     """Exact quantiles, name -> (column, share), by linear interpolation between ranks; null where a column has no value.
 

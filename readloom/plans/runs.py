@@ -10,16 +10,26 @@ from readloom.config import LABELS, RANGES, primer_set
 from readloom.functions.sequences import encode, species_name
 from readloom.operators import counts, models
 from readloom.operators.align import align
-from readloom.operators.reads import cut_primers, filter_size
-from readloom.sources.files import read_fasta, read_fastq
+from readloom.operators.reads import StageCounts, cut_primers, filter_size
+from readloom.sources.files import list_folders, read_fasta, read_fastq
 from readloom.sources.staging import materialize
 
 
-def trimmed(reads: DataFrame, primers: str = "CHERIF") -> DataFrame:
-    """Reads cut to their primers and within the primer set's length range, for all barcodes in one plan."""
+def trimmed(reads: DataFrame, primers: str = "CHERIF", counters: StageCounts | None = None) -> DataFrame:
+    """Reads cut to their primers and within the primer set's length range, for all barcodes in one plan.
+
+    counters watch the reads as they come, after the cut and after the length filter.
+    """
     p = primer_set(primers)
-    cut = cut_primers(reads, list(p.forwards), list(p.reverses), p.shortest)
-    return filter_size(cut.withColumn("length", F.length("sequence")), float(p.shortest), float(p.longest)).drop("length")
+    watch = counters.watch if counters else lambda df, stage: df
+    cut = watch(cut_primers(watch(reads, "reads"), list(p.forwards), list(p.reverses), p.shortest), "cut to primers")
+    kept = filter_size(cut.withColumn("length", F.length("sequence")), float(p.shortest), float(p.longest)).drop("length")
+    return watch(kept, "within length range")
+
+
+def barcodes_of(spark: SparkSession, run_folder: str) -> DataFrame:
+    """The barcodes of a run by its folders alone: one whose files hold no read is there too."""
+    return spark.createDataFrame([(name,) for name in list_folders(spark, f"{run_folder}/barcode*")], "barcode string")
 
 
 def load_run(spark: SparkSession, run_folder: str) -> DataFrame:
@@ -63,15 +73,19 @@ def classified_counts(reads: DataFrame, model: PipelineModel, barcodes: DataFram
 
 def run(
     spark: SparkSession, run_folder: str, out: str, species_folder: str | None = None, model: PipelineModel | None = None,
-    primers: str = "CHERIF", k: int = 28, mapq: int = 40, threshold: float = 0.9,
+    primers: str = "CHERIF", k: int = 28, mapq: int = 40, threshold: float = 0.9, counters: StageCounts | None = None,
 ) -> DataFrame:
-    """Map against the FASTA files of species_folder, or classify with a model; write the wide log10 table as CSV."""
+    """Map against the FASTA files of species_folder, or classify with a model; write the wide log10 table as CSV.
+
+    Every barcode of the folder has a row, one without a read too. The files are read once: trimmed reads are written in
+    between, which also fills `counters`.
+    """
     if (species_folder is None) == (model is None):
         raise ValueError("give either species_folder or model")
     if model is not None and primers.upper() != "CHERIF":
         raise ValueError("the classifier knows CHERIF amplicons only")
-    raw = load_run(spark, run_folder)
-    reads, barcodes = trimmed(raw, primers), raw.select("barcode")
+    barcodes = barcodes_of(spark, run_folder)
+    reads = materialize(trimmed(load_run(spark, run_folder), primers, counters), "trimmed")
     if model is not None:
         long, names, label = classified_counts(reads, model, barcodes, threshold), list(LABELS), f"{{}} ({threshold} <= p)"
     else:
@@ -81,4 +95,4 @@ def run(
         long, label = mapping_counts(reads, refs, barcodes, k, mapq), f"{{}} ({mapq} <= MapQ)"
     wide = counts.matrix(long, names, label=label)
     wide.coalesce(1).write.csv(out, header=True, mode="overwrite")
-    return wide
+    return spark.read.schema(wide.schema).csv(out, header=True)

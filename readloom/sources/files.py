@@ -29,6 +29,20 @@ def read_fastq(spark: SparkSession, path: str, stop_at_empty: bool = True) -> Da
     return df.select("file", barcode_of("file").alias("barcode"), F.col("at").cast("long").alias("read_idx"), "r.*")
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a path or glob as a table: file, barcode, bytes, modified. Their contents are not read; files without
+    a byte are left out."""
+    found = spark.read.format("binaryFile").load(path)
+    return found.select(F.col("path").alias("file"), barcode_of("path").alias("barcode"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the folders that a glob meets, in any store that Spark knows; empty ones too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted({f.getPath().getName() for f in found or () if f.isDirectory()})
+
+
 def read_large_fastq(spark: SparkSession, path: str, stop_at_empty: bool = True) -> DataFrame:
     """The rows of read_fastq, with every file read in splits by many tasks (a .gz file is one split).
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from readloom.config import LABELS, PRIMERS
 from readloom.functions.sequences import reverse_complement_text
 from readloom.operators import align, counts, models, qc, simulate
+from readloom.operators import reads as reads_ops
 from readloom.plans import runs
 from readloom.sources import files
 
@@ -149,10 +150,17 @@ def test_run_and_stream(spark, amplicon, tmp_path):
         f.write("".join(record(k, f"AA{amplicon[0]}TT") for k in range(10)))
     with gzip.open(tmp_path / "run/barcode02/a.fastq.gz", "wt") as f:
         f.write(record(0, "ACGT"))
+    for b, data in (("barcode03", gzip.compress(b"")), ("barcode04", b"")):  # files without a read
+        (tmp_path / "run" / b).mkdir()
+        (tmp_path / "run" / b / "a.fastq.gz").write_bytes(data)
+    assert {(r.barcode, r.bytes > 0) for r in files.list_files(spark, f"{tmp_path}/run/*/*.gz").collect()} == {(f"barcode0{k}", True) for k in (1, 2, 3)}
     (tmp_path / "refs").mkdir()
     (tmp_path / "refs/Some_species.fasta").write_text(f">x\n{amplicon[0]}\n")
-    wide = runs.run(spark, f"{tmp_path}/run", f"{tmp_path}/out", species_folder=f"{tmp_path}/refs")
-    assert sorted(map(tuple, wide.collect())) == [("barcode01", 1.0), ("barcode02", 0.0)]
+    seen = reads_ops.StageCounts()
+    wide = runs.run(spark, f"{tmp_path}/run", f"{tmp_path}/out", species_folder=f"{tmp_path}/refs", counters=seen)
+    assert sorted(map(tuple, wide.collect())) == [("barcode01", 1.0), ("barcode02", 0.0), ("barcode03", 0.0), ("barcode04", 0.0)]
+    assert seen.rows() == [("reads", 11, 0), ("cut to primers", 10, 1), ("within length range", 10, 0)]
+    assert [tuple(r) for r in seen.table(spark).collect()] == seen.rows()
     assert wide.columns[1] == "Some species (40 <= MapQ)"
     with pytest.raises(ValueError):
         runs.run(spark, "x", "y")
