@@ -63,7 +63,8 @@ def pieces(text: bytes, size: int) -> Iterator[bytes]:
 
 
 def give_back() -> None:
-    """Return to the system what earlier tasks have left in this Python worker, which Spark reuses; for a task's start."""
+    """Return to the system what this Python process has freed: at a task's start what earlier tasks left in the worker,
+    which Spark reuses, and in the driver what training took."""
     import ctypes
     import gc
 

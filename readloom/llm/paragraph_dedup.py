@@ -244,10 +244,9 @@ def name_filter(names: DataFrame, column: str) -> bytes:
     """FILTER_BITS bits, set at the names' low bits; collected as one long for 64 of them."""
     low = F.col(column).bitwiseAND(FILTER_BITS - 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (low % 64).cast("int")).alias("bit")
-    rows = names.select((low / 64).cast("int").alias("at"), bit).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
+    rows = names.select((low / 64).cast("int").alias("at"), bit).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(FILTER_BITS // 64, "<i8")
-    for at, bits in rows:
-        out[at] = bits
+    out[rows["at"].to_numpy()] = rows["bits"].to_numpy()
     return out.tobytes()
 
 

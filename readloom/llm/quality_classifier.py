@@ -15,7 +15,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ GRAMS = (3, 4)
 AGAIN = BUCKETS
 #: Bound on the labelled rows that the classifier learns from.
 TRAIN_ROWS = 4000
+#: Bound on the bytes of their texts: rows beyond it, in order of their ids' hashes, are not learnt from.
+TRAIN_BYTES = 64 << 20
 #: Bytes of texts whose words are hashed together.
 GROUP_BYTES = 1 << 20
 
@@ -127,11 +129,18 @@ def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
                 yield pa.RecordBatch.from_arrays(cols, names=["_id", "_y", "at", "share"])
 
     # Of rows with one id the first by content stands, so that their number is bounded, whatever repeats.
-    one = texts.groupBy(F.col("_id").cast("long").alias("_id"), "_y").agg(F.min("_t").alias("_t")).select("_id", "_t", "_y")
-    rows = materialize(one, "rows").mapInArrow(run, "_id long, _y int, at binary, share binary").collect()
-    rows.sort(key=lambda r: r["_id"])
-    numbers = lambda x, kind: np.frombuffer(zlib.decompress(x), kind)
-    return SubwordModel().fit([(np.cumsum(numbers(r["at"], "<i4")), numbers(r["share"], "<f4"), r["_y"]) for r in rows])
+    one = texts.groupBy(F.col("_id").cast("long").alias("_id"), "_y").agg(F.min("_t").alias("_t"))
+    size = F.sum(F.coalesce(F.octet_length("_t"), F.lit(0))).over(Window.orderBy(F.xxhash64("_id"), "_id"))
+    one = materialize(one.withColumn("_upto", size).filter(F.col("_upto") <= TRAIN_BYTES).select("_id", "_t", "_y"), "rows")
+    learnt = []
+    for r in one.mapInArrow(run, "_id long, _y int, at binary, share binary").toLocalIterator():
+        steps, share = (np.frombuffer(zlib.decompress(r[k]), kind) for k, kind in (("at", "<i4"), ("share", "<f4")))
+        learnt.append((r["_id"], np.cumsum(steps, dtype=np.int32), share, r["_y"]))
+    learnt.sort(key=lambda x: x[0])
+    model = SubwordModel().fit([x[1:] for x in learnt])
+    del learnt
+    give_back()
+    return model
 
 
 def _groups(texts: pa.Array) -> Iterator[list[bytes]]:

@@ -9,6 +9,7 @@ Matches meet by an equi-join on the segment value, and the complete distance dec
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -263,36 +264,46 @@ def rare_prefix(grams: np.ndarray, levels: np.ndarray, similarity: float) -> np.
 
 
 def _slot_counts():
-    """Rows (slot, n): how many texts of a task have a shingle in the slot."""
+    """Rows (part, task, counts): how many texts of a task have a shingle in each slot of the part, packed."""
     from readloom.llm.paragraph_dedup import WordHashes, shingle_hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         give_back()
-        words, counts = WordHashes(), np.zeros(1 << SLOT_BITS, np.int64)
+        words, counts = WordHashes(), np.zeros(1 << SLOT_BITS, "<i8")
         for b in batches:
             for t in b.column(0):
                 split = (t.as_py() or b"").lower().split()
                 if split:
                     slots = np.unique(shingle_hashes([split], words)[0]) >> np.uint64(64 - SLOT_BITS)
                     np.add.at(counts, slots.astype(np.int64), 1)
-        for at in range(0, len(counts), 1 << 16):
-            some = np.flatnonzero(counts[at : at + (1 << 16)]) + at
-            if len(some):
-                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["slot", "n"])
+        task = TaskContext.get().partitionId()
+        for part, some in enumerate(counts.reshape(SLOT_PARTS, -1)):
+            if some.any():
+                cols = [pa.array([part], pa.int32()), pa.array([task % SLOT_PARTS], pa.int32()), pa.array([zlib.compress(some.tobytes(), 1)])]
+                yield pa.RecordBatch.from_arrays(cols, names=["part", "task", "counts"])
 
     return run
 
 
+def _summed_counts(t: pa.Table) -> pa.Table:
+    total = np.zeros((1 << SLOT_BITS) // SLOT_PARTS, "<i8")
+    for c in t["counts"]:
+        total += np.frombuffer(zlib.decompress(c.as_py()), "<i8")
+    return pa.table({"part": t["part"][:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)])})
+
+
 def slot_levels(texts: DataFrame) -> np.ndarray:
-    """Binary logarithm of each slot's count over one binary column of texts; collected as one long for eight slots."""
-    counts = texts.mapInArrow(_slot_counts(), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    level = F.floor(F.log2("n")).cast("long")
-    byte = F.call_function("shiftleft", level, (F.col("slot") % 8 * 8).cast("int"))
-    rows = counts.select((F.col("slot") / 8).cast("int").alias("at"), byte.alias("byte")).groupBy("at").agg(F.bit_or("byte").alias("bytes")).collect()
-    out = np.zeros((1 << SLOT_BITS) // 8, "<i8")
-    for at, packed in rows:
-        out[at] = packed
-    return out.view(np.uint8)
+    """Binary logarithm of each slot's count over one binary column of texts. The counts are added up in two steps, at
+    most some thousand packed rows at a time; the driver gets a row a part."""
+    counts = texts.mapInArrow(_slot_counts(), "part int, task int, counts binary")
+    counts = counts.groupBy("part", "task").applyInArrow(_summed_counts, "part int, counts binary")
+    counts = counts.groupBy("part").applyInArrow(_summed_counts, "part int, counts binary")
+    out = np.zeros((SLOT_PARTS, (1 << SLOT_BITS) // SLOT_PARTS), np.uint8)
+    for part, packed in counts.collect():
+        out[part] = np.frexp(np.frombuffer(zlib.decompress(packed), "<i8"))[1]
+    return out.ravel()
 
 
 def _shingle_prints(names: list[str], words: int, levels: bytes, similarity: float):
@@ -345,6 +356,8 @@ def _document_grams(wanted: bytes):
 PRINT_WORDS, PRINT_RADIUS = 3, 64
 #: Shingles are counted by their hash's first bits, in a table of fixed size that decides their order alone.
 SLOT_BITS = 20
+#: The table's parts, which travel packed.
+SLOT_PARTS = 256
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = 0.8) -> DataFrame:
