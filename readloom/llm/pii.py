@@ -26,6 +26,10 @@ PATTERNS = {
     "card": "(?<![0-9.+-])(?:[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{13,19})(?![0-9]|[.-][0-9])",
 }
 KINDS = tuple(PATTERNS)
+#: Country calling codes of two digits; those of one are 1 and 7, all others have three.
+TWO_DIGIT_CODES = (
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+).split()
 ROUNDS = 8
 _MARK = "\x01"
 
@@ -103,12 +107,11 @@ def _date(key: str, x: str) -> str:
 
 
 def _phone(key: str, x: str) -> str:
-    """The country code, up to the first separator or three digits, stays; the other digits are permuted."""
-    country = f"regexp_extract({x}, '^[+]([0-9]{{1,3}})', 1)"
-    rest = f"substr({x}, length({country}) + 2)"
-    made = f"concat('+', {country}, {_let(f'regexp_replace({rest}, "[^0-9]", "")', 'd', _let(_digits(key, 'phone', 'd'), 'p', _filled(rest, 'p')))})"
-    size = f"length(regexp_replace({x}, '[^0-9]', ''))"
-    return f"if({size} between 8 and 15, {made}, {x})"
+    """The country code stays and the national digits are permuted, so one number has one pseudonym in every spelling."""
+    two = ", ".join(f"'{c}'" for c in TWO_DIGIT_CODES)
+    size = f"case when substr(d, 1, 1) in ('1', '7') then 1 when substr(d, 1, 2) in ({two}) then 2 else 3 end"
+    made = _let(_digits(key, "phone", "substr(d, cc + 1)"), "p", _filled(x, "concat(substr(d, 1, cc), p)"))
+    return _let(f"regexp_replace({x}, '[^0-9]', '')", "d", f"if(length(d) between 8 and 15, {_let(size, 'cc', made)}, {x})")
 
 
 def _email(key: str, x: str) -> str:
