@@ -418,7 +418,7 @@ def test_pseudonyms_are_a_permutation(spark, made):
 def test_quality_rules(spark, rows, docs, clashing, empty):
     more = spark.createDataFrame([(900, "a b c a b c a b c"), (901, ("good words here and " * 5 + "\n") * 6), (902, "x # y | z " * 30)], "doc_id long, text string")
     frame = docs.select("doc_id", "text").union(more)
-    got = sorted(map(tuple, quality_rules.judge(frame, sample=1.0).drop("failed_rule", "kept").collect()), key=key)
+    got = sorted(map(tuple, quality_rules.judge(frame).drop("failed_rule", "kept").collect()), key=key)
     want = []
     for i, t in [r[:2] for r in rows] + [tuple(r) for r in more.collect()]:
         t = t or ""
@@ -428,26 +428,44 @@ def test_quality_rules(spark, rows, docs, clashing, empty):
         lines = [x for x in t.split("\n") if WORD.search(x.encode())]
         want.append((i, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(again), len(w) < 50 or 100 * len(again) > 50 * len(w)))
     assert got == sorted(want, key=key)
-    kept = {r.doc_id: r.kept for r in quality_rules.judge(frame, sample=1.0).collect()}
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(frame).collect()}
     assert not kept[900] and not kept[902] and kept[64]
-    assert quality_rules.judge(clashing, sample=1.0).count() == len(rows)
+    assert quality_rules.judge(clashing).count() == len(rows)
     assert quality_rules.judge(empty).count() == 0
 
 
-def test_cascade_order_prefers_rejection_per_cost(spark, monkeypatch):
-    texts = spark.createDataFrame([("!" * 10,)] * 5 + [("plain text",)] * 5, "_t string")
-    built = quality_rules.rules(F.col("_t"))
-    order = quality_rules.cascade_order(texts, built)
-    assert sorted(order) == sorted(built)
-    monkeypatch.setattr(quality_rules.time, "perf_counter", lambda: 0.0)
-    order = quality_rules.cascade_order(texts, built)
-    assert order == ["exclamations", *[n for n in built if n != "exclamations"]], "equal costs: by rejections, then as named"
+OWN = {x: x for x in quality_rules._OWN}
+
+
+def test_cascade_order_prefers_rejection_per_cost(spark):
+    texts = quality_rules.measured(spark.createDataFrame([("!" * 10,)] * 5 + [("plain text",)] * 5, "_t string"), "_t", OWN)
+    built = quality_rules.rules()
+    assert quality_rules.cascade_order(texts, built)[0] == "no_spaces", "as many as exclamations rejects, in fewer steps"
+    even = {n: (reject, F.lit(1)) for n, (reject, _) in built.items() if n != "no_spaces"}
+    assert quality_rules.cascade_order(texts, even) == ["exclamations", *[n for n in even if n != "exclamations"]], "then as named"
+    rare = {"a": (F.col("_size") > 99, F.lit(1)), "b": (F.col("_size") > 9, F.lit(8)), "c": (F.contains("_t", F.lit("!")), F.lit(3))}
+    assert quality_rules.cascade_order(texts, rare) == ["c", "b", "a"], "c: 5 of 10 at 3 steps; b: 10 of 10 at 8"
+
+
+def test_sample_is_bounded_and_from_few_files(spark, tmp_path):
+    spark.range(30_000).selectExpr("id as doc_id", "cast(id as string) as text").repartition(40).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    part = quality_rules.few_files(docs)
+    assert part.select(F.input_file_name()).distinct().count() == quality_rules.SAMPLE_FILES and 5000 < part.count() < 7000
+    assert quality_rules.few_files(docs, 50).count() == 30_000
+    some = quality_rules.few_rows(part, 1000)
+    assert 800 < some.count() < 1200 and sorted(some.collect()) == sorted(quality_rules.few_rows(part, 1000).collect())
+    same = docs.select(F.lit("same").alias("text"))
+    assert quality_rules.few_rows(same, 100).count() in (0, 200)
+    assert quality_rules.few_rows(spark.range(500), 100).count() < 200 and quality_rules.few_rows(spark.range(0)).count() == 0
+    once, twice = (sorted(map(str, quality_rules.judge(docs, sample=part, sample_rows=50).collect())) for _ in range(2))
+    assert once == twice
 
 
 @pytest.mark.parametrize(("rule", "text"), [("symbols", "a # b"), ("exclamations", "hey!!"), ("capitals", "ABC DEf"), ("digits", "1234 5678 9"), ("braces", "{a} b"), ("no_spaces", "x" * 60), ("word_length", "a b c d"), ("word_length", "y" * 25 + " " + "z" * 30), ("repeated_lines", "a b\na b\na b\na b"), ("ellipses", "so on...\nand\n"), ("bullets", "- one\n* two\n\u2022 three")])
 def test_each_rule(spark, rule, text):
     df = spark.createDataFrame([(text,), ("Plain words in a sentence stay.\nOthers too, 3 of them.",)], "_t string")
-    assert [r[0] for r in df.select(quality_rules.rules(F.col("_t"))[rule]).collect()] == [True, False]
+    assert [r[0] for r in quality_rules.measured(df, "_t", OWN).select(quality_rules.rules()[rule][0]).collect()] == [True, False]
 
 
 # 7 --------------------------------------------------------------------------------------------------------------------
