@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from readloom.config import LABELS, PRIMERS, RANGES
 from readloom.functions import sequences as fn
-from readloom.operators import counts, models, qc, simulate
+from readloom.operators import counts, dictionary, models, qc, simulate
 from readloom.operators import reads as ops
 from readloom.operators.align import align
 from readloom.plans import runs
@@ -191,6 +191,17 @@ def text_pattern_counts(spark, sf_dir):
     return docs.select("doc_id", "t", words).select("doc_id", "word", n.alias("n"))
 
 
+@query(f"""{READS}, p as (select distinct lower(substr(sequence, 30, (16 + read_idx % 9)::INT)) as pattern from reads),
+w as (select read_idx, n, lower(sequence) as s, unnest(range(1, length(sequence) - n + 2)) as i from reads, (select distinct length(pattern) as n from p) l)
+select read_idx, pattern, i - 1 as start from w, p where length(pattern) = n and substr(s, i, n) = pattern""")
+def dictionary_search(spark, sf_dir):
+    """A stretch of every read, of 16 to 24 bases, as the patterns; every read is searched for all of them."""
+    texts = reads(spark, sf_dir)
+    patterns = texts.select(F.expr("substr(sequence, 30, cast(16 + read_idx % 9 as int))").alias("pattern"))
+    found = dictionary.search_dictionary(texts, patterns, "read_idx", "sequence")
+    return found.withColumn("start", F.col("start").cast("long"))
+
+
 _CODE = "translate(regexp_replace(upper(sequence), '[^ATCG]', '0', 'g'), 'ATCG', '1234')"
 
 
