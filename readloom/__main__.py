@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from readloom.config import PRIMER_SETS
 from readloom.operators import models, qc
+from readloom.operators.reads import StageCounts
 from readloom.plans import runs
 
 
@@ -41,8 +42,10 @@ def main(given: list[str] | None = None) -> None:
     raw = runs.load_run(spark, a.run)
     for name, reads in (("before", raw), ("after", runs.trimmed(raw, a.primers))):
         qc.per_position(reads).write.csv(f"{a.out}/quality_{name}", header=True, mode="overwrite")
-    model = models.load(a.model) if a.classify else None
-    runs.run(spark, a.run, f"{a.out}/counts", None if a.classify else a.species, model, a.primers, a.kmers, a.mapq, a.threshold)
+    model, calibration = (models.load(a.model), models.load_calibration(a.model)) if a.classify else (None, None)
+    seen = StageCounts()
+    runs.run(spark, a.run, f"{a.out}/counts", None if a.classify else a.species, model, a.primers, a.kmers, a.mapq, a.threshold, seen, calibration)
+    seen.table(spark).coalesce(1).write.csv(f"{a.out}/stages", header=True, mode="overwrite")
 
 
 if __name__ == "__main__":

@@ -10,6 +10,7 @@ from readloom.config import LABELS, RANGES, primer_set
 from readloom.functions.sequences import encode, species_name
 from readloom.operators import counts, models
 from readloom.operators.align import align
+from readloom.operators.calibration import Calibration
 from readloom.operators.reads import StageCounts, cut_primers, filter_size
 from readloom.sources.files import list_folders, read_fasta, read_fastq
 from readloom.sources.staging import materialize
@@ -58,14 +59,15 @@ def mapping_counts(reads: DataFrame, references: DataFrame, barcodes: DataFrame,
     return counts.complete_counts(hits, barcodes, references)
 
 
-def classified_counts(reads: DataFrame, model: PipelineModel, barcodes: DataFrame, threshold: float = 0.9) -> DataFrame:
+def classified_counts(reads: DataFrame, model: PipelineModel, barcodes: DataFrame, threshold: float = 0.9, calibration: Calibration | None = None) -> DataFrame:
     """(barcode, species, n, log10_n, seen) of reads whose predicted class has at least a probability.
 
     Trimmed reads and predictions are written in between: the optimizer would else merge trimming, model and threshold
-    into one filter, which evaluates the model several times a row, and on reads that trimming drops.
+    into one filter, which evaluates the model several times a row, and on reads that trimming drops. With a
+    calibration, the threshold is one of calibrated probabilities.
     """
     rows = materialize(vectors(reads), "vectors")
-    scored = materialize(models.predict(model, rows).select("barcode", "prediction", "predicted", "probs"), "scored")
+    scored = materialize(models.predict(model, rows, calibration).select("barcode", "prediction", "predicted", "probs"), "scored")
     hits = counts.confident(scored, threshold).withColumnRenamed("predicted", "species")
     names = reads.sparkSession.createDataFrame([(x,) for x in LABELS], "species string")
     return counts.complete_counts(hits, barcodes, names)
@@ -74,6 +76,7 @@ def classified_counts(reads: DataFrame, model: PipelineModel, barcodes: DataFram
 def run(
     spark: SparkSession, run_folder: str, out: str, species_folder: str | None = None, model: PipelineModel | None = None,
     primers: str = "CHERIF", k: int = 28, mapq: int = 40, threshold: float = 0.9, counters: StageCounts | None = None,
+    calibration: Calibration | None = None,
 ) -> DataFrame:
     """Map against the FASTA files of species_folder, or classify with a model; write the wide log10 table as CSV.
 
@@ -87,7 +90,7 @@ def run(
     barcodes = barcodes_of(spark, run_folder)
     reads = materialize(trimmed(load_run(spark, run_folder), primers, counters), "trimmed")
     if model is not None:
-        long, names, label = classified_counts(reads, model, barcodes, threshold), list(LABELS), f"{{}} ({threshold} <= p)"
+        long, names, label = classified_counts(reads, model, barcodes, threshold, calibration), list(LABELS), f"{{}} ({threshold} <= p)"
     else:
         fasta = read_fasta(spark, f"{species_folder}/*.fasta")
         refs = fasta.select(species_name("file").alias("species"), F.concat_ws("/", "file", "ordinal").alias("ref_id"), "sequence")
