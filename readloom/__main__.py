@@ -10,10 +10,12 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from readloom.config import PRIMER_SETS
+from readloom.config import PRIMER_SETS, primer_set
+from readloom.functions.sequences import reverse_complement_text
 from readloom.operators import models, qc
 from readloom.operators.reads import StageCounts
 from readloom.plans import runs
+from readloom.sources.staging import materialize
 
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
@@ -41,7 +43,10 @@ def main(given: list[str] | None = None) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(a.parallel))
     raw = runs.load_run(spark, a.run)
     for name, reads in (("before", raw), ("after", runs.trimmed(raw, a.primers))):
-        qc.per_position(reads).write.csv(f"{a.out}/quality_{name}", header=True, mode="overwrite")
+        p = primer_set(a.primers)
+        ends = {f"forward {k + 1}": x for k, x in enumerate(p.forwards)} | {f"reverse {k + 1}": reverse_complement_text(x) for k, x in enumerate(p.reverses)}
+        for table, rows in qc.tables(materialize(reads, "reads"), ends).items():
+            rows.coalesce(1).write.csv(f"{a.out}/quality_{name}/{table}", header=True, mode="overwrite")
     model, calibration = (models.load(a.model), models.load_calibration(a.model)) if a.classify else (None, None)
     seen = StageCounts()
     runs.run(spark, a.run, f"{a.out}/counts", None if a.classify else a.species, model, a.primers, a.kmers, a.mapq, a.threshold, seen, calibration)

@@ -12,6 +12,7 @@ from readloom.operators import reads as ops
 from readloom.operators.align import align
 from readloom.plans import runs
 from readloom.sources.derived import reads, reads_sql
+from readloom.sources.staging import materialize
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -371,6 +372,28 @@ def qc_duplication_levels(spark, sf_dir):
     return qc.duplication_levels(reads(spark, sf_dir))
 
 
+@query(f"""{READS}, b as (select unnest(string_split(sequence, '')) as base, generate_subscripts(string_split(sequence, ''), 1) - 1 as position from reads)
+select position, count(*) as n, {', '.join(f"round(avg((base = '{x}')::INT), 6) as {x}" for x in 'ACGT')}, round(avg((base not in ('A', 'C', 'G', 'T'))::INT), 6) as other from b group by position""")
+def qc_base_content(spark, sf_dir):
+    df = qc.base_content(reads(spark, sf_dir))
+    return df.select(F.col("position").cast("long").alias("position"), "n", *[F.round(c, 6).alias(c) for c in (*qc.BASES, "other")])
+
+
+@query(f"""{READS}, t as (select count(*) as total from reads)
+select substr(sequence, 1, 4) as sequence, count(*) as n, round(count(*) / total, 6) as share from reads, t group by 1, total having count(*) >= 0.004::DOUBLE * total""")
+def qc_overrepresented(spark, sf_dir):
+    """The beginnings of four bases that one read in 250 has."""
+    return qc.overrepresented(reads(spark, sf_dir), 0.004, 4).withColumn("share", F.round("share", 6))
+
+
+@query(f"""{READS}, a(adapter, seq) as (values ('forward', '{FORWARD}'), ('reverse', '{REVERSE_RC}')), t as (select count(*) as total from reads),
+f as (select adapter, instr(sequence, seq) - 1 as position, count(*) as own from reads, a where instr(sequence, seq) > 0 group by all)
+select adapter, position, (sum(own) over (partition by adapter order by position))::BIGINT as n, round(sum(own) over (partition by adapter order by position) / total, 6) as share from f, t""")
+def qc_adapter_content(spark, sf_dir):
+    df = qc.adapter_content(reads(spark, sf_dir), {"forward": FORWARD, "reverse": REVERSE_RC})
+    return df.select("adapter", F.col("position").cast("long").alias("position"), "n", F.round("share", 6).alias("share"))
+
+
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A template for each species: its first amplicon."""
     first = _hits(spark, sf_dir).groupBy("species").agg(F.min("read_idx").alias("_first"))
@@ -430,12 +453,23 @@ def simulated_amplicons(spark, sf_dir):
     return simulate.errored_amplicons(_between(amplicons(spark, sf_dir).withColumn("species", F.col("id"))), 1)
 
 
-@query()
+def _changed(template: str, k: str) -> str:
+    """SQL of a template with one base changed, at a place that depends on the number k."""
+    at = f"cast(80 + {k} % 23 as int)"
+    return f"substr({template}, 1, {at} - 1) || translate(substr({template}, {at}, 1), 'ACGT', 'CGTA') || substr({template}, {at} + 1)"
+
+
+@query(f"""{_HITS} select b.barcode, s.species, count(h.read_idx) as n, case when count(h.read_idx) = 0 then 0.0::DOUBLE else round(log10(count(h.read_idx)), 6) end as log10_n,
+count(h.read_idx) >= 10 as seen
+from (select distinct barcode from reads) b cross join (select unnest({_LABELS}) as species) s left join hits h on h.barcode = b.barcode and h.species = s.species group by all""")
 def classified_counts(spark, sf_dir):
-    """Train on errored copies of the references, then classify every amplicon."""
-    copies = simulate.errored_amplicons(_between(_references(spark, sf_dir)), 20, high=0.05)
-    model = models.fit(simulate.dataset(copies), numTrees=10, maxDepth=8)
-    return runs.classified_counts(amplicons(spark, sf_dir), model, reads(spark, sf_dir), 0.5).withColumn("log10_n", F.round("log10_n", 6))
+    """Of every amplicon a copy of its species' template with one base changed, learnt and then classified: each is to be
+    counted in its own barcode and species, as SQL counts them."""
+    refs = _references(spark, sf_dir).select("species", F.col("sequence").alias("template"))
+    copies = _hits(spark, sf_dir).join(F.broadcast(refs), "species").select("barcode", "species", F.expr(_changed("template", "read_idx")).alias("sequence"))
+    copies = materialize(copies, "copies")
+    model = models.fit(copies.select("species", fn.encode("sequence", RANGES["CHERIF"][1]).alias("features")), numTrees=20, maxDepth=10)
+    return runs.classified_counts(copies, model, reads(spark, sf_dir), 0.5).withColumn("log10_n", F.round("log10_n", 6))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

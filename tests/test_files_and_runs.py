@@ -199,7 +199,11 @@ def test_train_save_analyse_and_command_line(spark, amplicon, tmp_path):
     main(["-c", "-m", f"{tmp_path}/model", "-r", f"{tmp_path}/run", "-o", f"{tmp_path}/out", "-p", "0.3"])
     wide = spark.read.csv(f"{tmp_path}/out/counts", header=True).collect()
     assert len(wide) == 1 and float(wide[0][f"{LABELS[0]} (0.3 <= p)"]) == 1.0
-    assert spark.read.csv(f"{tmp_path}/out/quality_after", header=True).count() == len(amplicon[0])
+    assert spark.read.csv(f"{tmp_path}/out/quality_after/positions", header=True).count() == len(amplicon[0])
+    stages = [tuple(r) for r in spark.read.csv(f"{tmp_path}/out/stages", header=True).collect()]
+    assert stages == [("reads", "11", "0"), ("cut to primers", "10", "1"), ("within length range", "10", "0")]
+    top = spark.read.csv(f"{tmp_path}/out/quality_before/overrepresented", header=True).orderBy(F.desc("n")).first()
+    assert (top.sequence, top.n) == (f"AA{amplicon[0]}TT", "10")
     with pytest.raises(SystemExit):
         arguments(["-r", "x", "-o", "y"])
 
@@ -224,6 +228,25 @@ def test_quality_tables(spark):
     assert {r["copies"]: r["n_sequences"] for r in qc.duplication_levels(df).collect()} == {1: 2, 2: 1}
 
 
+def test_overrepresented_sequences_exactly(spark):
+    """Many more distinct sequences than a task keeps, frequent ones spread over tasks or in one."""
+    import collections
+    import random
+
+    rng = random.Random(3)
+    pool = [f"s{min(int(rng.paretovariate(0.5)), 10**6)}" for _ in range(6000)] + ["late"] * 70
+    df = spark.createDataFrame([(x,) for x in pool] + [(None,)], "sequence string").repartition(5)
+    count = collections.Counter(pool)
+    for share in (0.5, 0.05, 0.01, 0.004):
+        got = {r.sequence: (r.n, r.share) for r in qc.overrepresented(df, share).collect()}
+        assert got == {s: (n, pytest.approx(n / len(pool))) for s, n in count.items() if n >= share * len(pool)}
+    assert qc.overrepresented(df.limit(0)).count() == 0
+    content = {r.position: r for r in qc.base_content(spark.createDataFrame([("ACg",), ("AN",), ("",), (None,)], "sequence string")).collect()}
+    assert (content[0].n, content[0].A, content[1].other, content[2].G) == (2, 1.0, 0.5, 1.0) and len(content) == 3
+    found = qc.adapter_content(spark.createDataFrame([("xxACGT",), ("acgt",), ("A",), (None,)], "sequence string"), {"a": "ACGT", "b": "TTT"}).orderBy("position").collect()
+    assert [(r.adapter, r.position, r.n) for r in found] == [("a", 0, 1), ("a", 2, 2)] and found[1].share == pytest.approx(2 / 3)
+
+
 def test_knn_vote_beyond_one_broadcast(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(450, 500))
