@@ -10,7 +10,7 @@ from readloom.functions import sequences as fn
 from readloom.operators import counts, dictionary, models, qc, simulate
 from readloom.operators import reads as ops
 from readloom.operators.align import align
-from readloom.plans import runs
+from readloom.plans import evaluate, runs
 from readloom.sources.derived import reads, reads_sql
 from readloom.sources.staging import materialize
 
@@ -459,18 +459,63 @@ def _changed(template: str, k: str) -> str:
     return f"substr({template}, 1, {at} - 1) || translate(substr({template}, {at}, 1), 'ACGT', 'CGTA') || substr({template}, {at} + 1)"
 
 
+_COPIES = f"{_HITS}, refs as (select species, min(read_idx) as first from hits group by species), copies as (select h.barcode, h.species, {_changed('a.sequence', 'h.read_idx')} as sequence from hits h join refs r using (species) join amplicons a on a.read_idx = r.first)"
+_LEARNT: dict[tuple[str, str], tuple] = {}
+
+
+def _learnt(spark: SparkSession, sf_dir: str) -> tuple:
+    """Of every amplicon a copy of its species' template with one base changed (barcode, read_idx, id, species, sequence,
+    quality), and a forest that has learnt their species; made once a session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _LEARNT:
+        refs = _references(spark, sf_dir).select("species", F.col("sequence").alias("template"))
+        copies = _hits(spark, sf_dir).join(F.broadcast(refs), "species").withColumn("sequence", F.expr(_changed("template", "read_idx")))
+        copies = copies.select("barcode", "read_idx", F.concat(F.lit("@r"), "read_idx").alias("id"), "species", "sequence", F.expr("repeat('I', length(sequence))").alias("quality"))
+        copies = materialize(copies, "copies")
+        _LEARNT[at] = copies, models.fit(copies.select("species", fn.encode("sequence", RANGES["CHERIF"][1]).alias("features")), numTrees=20, maxDepth=10)
+    return _LEARNT[at]
+
+
 @query(f"""{_HITS} select b.barcode, s.species, count(h.read_idx) as n, case when count(h.read_idx) = 0 then 0.0::DOUBLE else round(log10(count(h.read_idx)), 6) end as log10_n,
 count(h.read_idx) >= 10 as seen
 from (select distinct barcode from reads) b cross join (select unnest({_LABELS}) as species) s left join hits h on h.barcode = b.barcode and h.species = s.species group by all""")
 def classified_counts(spark, sf_dir):
-    """Of every amplicon a copy of its species' template with one base changed, learnt and then classified: each is to be
-    counted in its own barcode and species, as SQL counts them."""
-    refs = _references(spark, sf_dir).select("species", F.col("sequence").alias("template"))
-    copies = _hits(spark, sf_dir).join(F.broadcast(refs), "species").select("barcode", "species", F.expr(_changed("template", "read_idx")).alias("sequence"))
-    copies = materialize(copies, "copies")
-    model = models.fit(copies.select("species", fn.encode("sequence", RANGES["CHERIF"][1]).alias("features")), numTrees=20, maxDepth=10)
+    """The copies, classified: each is to be counted in its own barcode and species, as SQL counts them."""
+    copies, model = _learnt(spark, sf_dir)
     return runs.classified_counts(copies, model, reads(spark, sf_dir), 0.5).withColumn("log10_n", F.round("log10_n", 6))
 
 
+@query(f"{_COPIES} select barcode, species as prediction, count(*) as n from copies group by all")
+def analysed_distribution(spark, sf_dir):
+    copies, model = _learnt(spark, sf_dir)
+    rows = copies.select("barcode", "read_idx", fn.encode("sequence", RANGES["CHERIF"][1]).alias("features"))
+    return evaluate.analyse(model, rows, {LABELS[0]: 0.5})["distribution"]
+
+
+@query(f"""{_COPIES}, c as (select species as class, count(*) as support from copies group by all union all
+select unnest(['accuracy', 'macro avg', 'weighted avg']), count(*) from copies)
+select 'train' as part, class, 1.0::DOUBLE as precision, 1.0::DOUBLE as recall, 1.0::DOUBLE as f1, support from c""")
+def model_report(spark, sf_dir):
+    copies, model = _learnt(spark, sf_dir)
+    return models.report(model, {"train": copies.select("species", fn.encode("sequence", RANGES["CHERIF"][1]).alias("features"))})
+
+
+def _code(features: str) -> F.Column:
+    return F.array_join(F.transform(features, lambda x: x.cast("string")), "")
+
+
+@query(f"{READS}{_CUT} select barcode, rpad({_CODE}, 160, '0') as code, count(*) as n from amplicons group by all")
+def barcode_vectors(spark, sf_dir):
+    return runs.vectors(amplicons(spark, sf_dir)).groupBy("barcode", _code("features").alias("code")).agg(F.count("*").alias("n"))
+
+
+@query(f"{_COPIES} select species, rpad({_CODE}, 160, '0') as code, count(*) as n from copies where species = '{LABELS[9]}' group by all")
+def real_test_set(spark, sf_dir):
+    """Reads that map in one species, as labelled vectors: of the copies those of that species."""
+    copies, _ = _learnt(spark, sf_dir)
+    found = runs.labelled_reads(copies, _references(spark, sf_dir).filter(F.col("species") == LABELS[9]), LABELS[9])
+    return found.groupBy("species", _code("features").alias("code")).agg(F.count("*").alias("n"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amplicons_by_barcode(spark, sf_dir)
