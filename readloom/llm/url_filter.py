@@ -139,6 +139,13 @@ def pages_of_hosts(pages: DataFrame, terms: tuple = TERMS, url: str = "url") ->
     return rows.filter(F.arrays_overlap(F.split("host", "[.-]"), F.array(*map(F.lit, terms)))).select("key")
 
 
+def drawn_pages(pages: DataFrame, digits: tuple = ("0",), url: str = "url") -> DataFrame:
+    """A list for judge_urls that grows with the corpus: the pages whose md5 begins with one of the hexadecimal digits."""
+    host, path = host_and_path(F.col(url))
+    rows = pages.select(F.concat(host, path).alias("key")).distinct()
+    return rows.filter(F.substring(F.md5("key"), 1, 1).isin(*digits))
+
+
 def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", page_id: str = "page_id", key: str = "key", rules: tuple = RULES) -> DataFrame:
     """One row for each row of pages: page_id, host, path, rule, verdict and listed.
 
@@ -159,7 +166,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", page_id: s
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return judge_urls(pages, pages_of_hosts(pages))
+    return judge_urls(pages, pages_of_hosts(pages).union(drawn_pages(pages)))
 
 
 #: DuckDB SQL for op3_url_filter.
@@ -176,7 +183,8 @@ with p as (
     when (host = 'net' or host like '%.net') and starts_with(path, '/es/') then 'net/es/'
     when (host = 'net' or host like '%.net') and starts_with(path, '/fr/') then 'net/fr/'
     when (host = 'com' or host like '%.com') and starts_with(path, '/') then 'com/' end as rule,
-    len(list_intersect(string_split(replace(host, '-', '.'), '.'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam'])) > 0 as listed
+    len(list_intersect(string_split(replace(host, '-', '.'), '.'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam'])) > 0
+      or starts_with(md5(host || path), '0') as listed
   from q
 )
 select page_id, host, path, rule, case

@@ -209,6 +209,29 @@ def test_passages_inside_lines_and_across_them(spark):
     assert [r[0] for r in spark.createDataFrame([("a b\nc  d",), (None,)], "t string").select(paragraph_dedup.without_words(F.col("t"), F.expr("array(named_struct('start', 1, 'end', 3))"))).collect()] == ["a d", None]
 
 
+def test_recall_of_near_passages_inside_long_lines(spark):
+    """Passages of 80 words inside longer lines, copied with some words changed: a copy is found by a stretch of 24 equal
+    words at an anchor, so every copy with 50 equal words in a row is, and most of those with fewer changes than six."""
+    import random
+
+    rng = random.Random(6)
+    make = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    rows, run, changes = [], {}, {}
+    for k in range(240):
+        passage = make(80)
+        copy, n = list(passage), k % 6
+        for at in rng.sample(range(80), n):
+            copy[at] = "changed"
+        cuts = [-1, *[i for i, w in enumerate(copy) if w == "changed"], 80]
+        run[2 * k + 1], changes[2 * k + 1] = max(b - a - 1 for a, b in zip(cuts, cuts[1:], strict=False)), n
+        rows += [(2 * k, " ".join(make(30) + passage + make(30))), (2 * k + 1, " ".join(make(25) + copy + make(35)))]
+    got = {r.doc_id: r.n_linked for r in paragraph_dedup.duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] > 0 for i, n in run.items() if n >= 50) and all(got[i] == 0 for i, n in run.items() if n < 24)
+    found = [got[i] > 0 for i in run]
+    near = [got[i] > 0 for i, n in changes.items() if 1 <= n <= 3]
+    assert sum(found) >= 0.7 * len(found) and sum(near) >= 0.85 * len(near)
+
+
 def test_short_lines_are_paragraphs(spark, tmp_path):
     texts = ["Yes\nno\n\none two three four", "a b c d e f\nyes \n no no", "one  two three FOUR\nyes\none two three four five", None, "no"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
@@ -256,6 +279,15 @@ def test_urls(spark):
     assert url_filter.judge_urls(df, url_filter.pages_of_hosts(df.limit(0))).filter("verdict = 'block'").count() == 4
 
 
+def test_a_list_that_grows_with_the_pages(spark):
+    """One page in sixteen is listed, whatever their number; judging finds just these."""
+    for n in (2000, 8000):
+        df = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 700, F.lit(".org/p"), "id").alias("url"))
+        got = url_filter.judge_urls(df, url_filter.drawn_pages(df)).collect()
+        want = {r.page_id for r in got if hashlib.md5((r.host + r.path).encode()).hexdigest()[0] == "0"}
+        assert {r.page_id for r in got if r.verdict == "block"} == want and abs(len(want) - n / 16) < n / 50
+
+
 @pytest.mark.parametrize(("n", "chars"), [(1500, 1 << 17), (120_000, 1 << 17), (120_000, 1 << 14)])
 def test_cascade_is_exact(spark, n, chars):
     keys = spark.range(n).select(F.concat(F.lit("k"), "id").alias("key"))
