@@ -65,6 +65,13 @@ def encode(seq: str | Column, n: int) -> Column:
     return F.transform(F.split(padded, ""), lambda c: c.cast("int"))
 
 
+def encode_one_hot(seq: str | Column, n: int) -> Column:
+    """array<int> of 4 n places: of each of the first n bases one of four is 1, in the order of encode(); none for other
+    letters and past the end. Unlike encode() it puts no base between two others."""
+    codes = F.slice(encode(seq, n), 1, n)
+    return F.flatten(F.transform(codes, lambda c: F.array(*[(c == k).cast("int") for k in (1, 2, 3, 4)])))
+
+
 def phred(quality: str | Column) -> Column:
     """array<int> of Phred scores of a quality string (offset 33)."""
     return F.transform(F.split(_col(quality), ""), lambda c: F.ascii(c) - 33)
@@ -108,9 +115,8 @@ def barcode_name(n: str | Column) -> Column:
 
 
 def register_sql(spark: SparkSession) -> None:
-    """Make kmers(seq, k), reverse_complement(seq) and encode_bases(seq, n) SQL functions of the session.
-
-    They are SQL expressions that the optimizer sees through. A row for each k-mer: explode kmers() of a subquery.
+    """Make kmers(seq, k), reverse_complement(seq), encode_bases(seq, n) and the table function kmer_table(seq, k), a row
+    (kmer, start) for each k-mer, SQL functions of the session. They are SQL expressions that the optimizer sees through.
     """
     turned = "translate(regexp_replace(reverse(seq), '[^ACGTacgt]', 'c'), 'ACGTacgt', 'TGCAtgca')"
     places = "if(length(seq) >= k, sequence(1, length(seq) - k + 1), cast(array() as array<int>))"
@@ -121,3 +127,7 @@ def register_sql(spark: SparkSession) -> None:
         ("encode_bases(seq STRING, n INT) RETURNS ARRAY<INT>", f"transform(split(rpad({digits}, greatest(n, length(seq)), '0'), ''), c -> int(c))"),
     ):
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION kmer_table(seq STRING, k INT) RETURNS TABLE (kmer STRING, start INT) "
+        f"RETURN SELECT substr(seq, i, k), i - 1 FROM explode({places}) AS p(i)"
+    )

@@ -57,6 +57,11 @@ def mean_probability(scored: DataFrame, labels: list[str], probs: str = "probs",
     return named.orderBy(*by, F.desc("mean_probability"), "species")
 
 
+def unique_labels(df: DataFrame, label: str) -> list[str]:
+    """The labels that occur, in order; nulls are none."""
+    return [r[0] for r in df.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("y")).distinct().orderBy("y").collect()]
+
+
 def confusion(df: DataFrame, label: str, prediction: str, classes: list) -> DataFrame:
     """Rows are true classes, columns predicted ones."""
     return df.groupBy(label).pivot(prediction, classes).count().na.fill(0)

@@ -108,6 +108,11 @@ def read_table(spark: SparkSession, path: str, schema: str, sep: str = "\t") ->
     return spark.read.csv(path, header=True, schema=schema, sep=sep, mode="PERMISSIVE", ignoreTrailingWhiteSpace=True)
 
 
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Comma-separated tables with a header, of the given schema: nothing is read to guess types."""
+    return spark.read.csv(path, header=True, schema=schema)
+
+
 def interval(text: str) -> tuple[F.Column, F.Column]:
     """Start and end of a text like (577, 693)."""
     return tuple(F.regexp_extract(text, rf"\(\s*(-?[0-9]+)\s*,\s*(-?[0-9]+)\s*\)", k).try_cast("int") for k in (1, 2))

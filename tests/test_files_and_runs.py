@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.config import LABELS, PRIMERS
-from readloom.functions.sequences import reverse_complement_text
+from readloom.functions.sequences import encode_one_hot, register_sql, reverse_complement_text
 from readloom.operators import align, counts, models, qc, simulate
 from readloom.operators import reads as reads_ops
 from readloom.plans import runs
@@ -247,6 +247,30 @@ def test_overrepresented_sequences_exactly(spark):
     assert [(r.adapter, r.position, r.n) for r in found] == [("a", 0, 1), ("a", 2, 2)] and found[1].share == pytest.approx(2 / 3)
 
 
+def test_scratch_folders_go(spark):
+    from pathlib import Path
+
+    from readloom.sources import staging
+
+    kept = staging.materialize(spark.range(3), "kept")
+    with staging.scratch(spark):
+        gone = staging.materialize(spark.range(4), "gone")
+        path = gone.inputFiles()[0].removeprefix("file://")
+        assert gone.count() == 4 and Path(path).exists()
+    assert not Path(path).parent.exists() and kept.count() == 3
+
+
+def test_metadata_columns_and_labels(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name,species\nx,b\ny,a\nz,b\n,\n")
+    df = files.read_csv(spark, f"{tmp_path}/a.csv", "name string, species string")
+    assert df.count() == 4 and counts.unique_labels(df, "species") == ["a", "b"]
+    hot = df.limit(1).select(encode_one_hot(F.lit("ATg?"), 5).alias("v")).first().v
+    assert hot == [1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 0, 1, 0, 0, 0, 0, 0, 0, 0, 0]
+    register_sql(spark)
+    rows = spark.sql("select s, k.kmer, k.start from values ('ACGTA'), ('AC'), (null) t(s), lateral kmer_table(s, 3) k").collect()
+    assert [tuple(r) for r in rows] == [("ACGTA", "ACG", 0), ("ACGTA", "CGT", 1), ("ACGTA", "GTA", 2)]
+
+
 def test_knn_vote_beyond_one_broadcast(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(450, 500))
