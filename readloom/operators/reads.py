@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from readloom.functions.sequences import (
     distance_score,
     first_start,
-    kmers,
     last_end,
     phred,
     rank_quantile,
     reverse_complement_text,
 )
+from readloom.operators.kmers import distinct_kmers, kmer_counts  # noqa: F401  part of this module's interface
 from readloom.sources.staging import materialize
 
 LOW_QUALITY = 15
@@ -229,15 +229,6 @@ def multi_filter(
     return filter_duplicates(out) if duplicated else out
 
 
-def distinct_kmers(reads: DataFrame, k: int = 21) -> DataFrame:
-    return reads.select(F.explode_outer(kmers("sequence", k)).alias("kmer")).filter("kmer is not null").distinct().orderBy("kmer")
-
-
-def kmer_counts(reads: DataFrame, k: int = 21) -> DataFrame:
-    each = reads.select(F.explode_outer(kmers("sequence", k)).alias("kmer")).filter("kmer is not null")
-    return each.groupBy("kmer").agg(F.count("*").alias("n"))
-
-
 def by_ids(reads: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     """Reads whose id is in ids; repeated ids all stay."""
     return reads.join(ids.select(F.col(id_col).alias("_id")).distinct(), F.col("id") == F.col("_id"), "left_semi")

@@ -154,3 +154,16 @@ def test_stratified_takes_the_first_of_each_label(spark):
     order = sorted((r.id for r in df.filter("y = 'hot'").collect()), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
     assert {r.id for r in got.filter("y = 'hot'").collect()} == set(order[:525]) and got.columns == df.columns
 
+
+
+@pytest.mark.parametrize("k", [1, 3, 21, 31, 40])
+def test_kmer_counts_of_any_letters(spark, k):
+    import collections
+    import random
+
+    rng = random.Random(k)
+    seqs = ["".join(rng.choices("ACGT", k=rng.randrange(70))) for _ in range(40)] + ["ACGTNACGTACGTN" * 5, "acgtACGT" * 6, "ÀCGTACGT" * 8, "", None, "A" * 90, "\0ACGT" * 9]
+    df = spark.createDataFrame([(s,) for s in seqs], "sequence string").repartition(3)
+    want = collections.Counter(s[i : i + k] for s in seqs if s for i in range(len(s) - k + 1))
+    assert {r.kmer: r.n for r in ops.kmer_counts(df, k).collect()} == want
+    assert [r.kmer for r in ops.distinct_kmers(df, k).collect()] == sorted(want, key=lambda x: x.encode())
