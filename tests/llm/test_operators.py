@@ -822,8 +822,15 @@ def test_long_texts(spark):
     assert {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(df).collect()} == {0: 0, 1: 1, 2: 2, 3: 0}
     assert {r.doc_id for r in simhash_dedup.one_of_each(df).collect()} == {0, 1, 2}
     assert all(math.isfinite(r.score) for r in context_tree.context_tree_scores(df).collect())
-    counts = {r.doc_id: r.n_words for r in quality_rules.judge(df, sample=1.0).collect()}
+    counts = {r.doc_id: r.n_words for r in quality_rules.judge(df).collect()}
     assert counts == {0: 400_000, 1: 1, 2: 2, 3: len(texts[3].split())}
+    marked = df.withColumn("text", F.concat("text", F.lit(" at 10.0.0.1")))
+    assert {r.doc_id: (r.n, r.m) for r in pii.pseudonymize(marked, "k", found="n").select("doc_id", "n", F.length("text").alias("m")).collect()}.keys() == {0, 1, 2, 3}
+    assert pii.pseudonymize(marked, "k", found="n").filter("n <> 1 or text like '%10.0.0.1'").count() == 0
+    item = spark.createDataFrame([(7, " ".join(words.split()[200_000:200_060]))], "item_id long, text string")
+    assert {(r.doc_id, r.similarity) for r in benchmark_windows.contaminated(df, item).collect()} == {(0, 1.0), (3, 1.0)}
+    urls = df.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://a.org/"), "text").alias("url"))
+    assert url_filter.judge_urls(urls, url_filter.drawn_pages(urls, tuple("0123456789abcdef"))).filter("verdict = 'block'").count() == 4
     tokenizers = pytest.importorskip("public_tokenizers")
     path = tokenizers.path("byte_bpe_multi_50k.tiktoken")
     assert byte_bpe.encode_texts(df, path, tokenizers.PATTERN, same="same").filter("not same").count() == 0
