@@ -110,7 +110,17 @@ def fit(train: DataFrame, kind: str = "forest", label: str = "species", **params
     if kind == "rbf":
         own = {k: params.pop(k) for k in ("gamma", "size", "seed") if k in params}
         kernel = [KernelFeatures(inputCol="vector", outputCol="kernel", **{"gamma": own.get("gamma") or _scale(train), **{k: v for k, v in own.items() if k != "gamma"}})]
-    return Pipeline(stages=[index, *kernel, classifier(kind, **params), names]).fit(_vectors(train))
+    return _without_summaries(Pipeline(stages=[index, *kernel, classifier(kind, **params), names]).fit(_vectors(train)))
+
+
+def _without_summaries(model: PipelineModel) -> PipelineModel:
+    """The model without its classifiers' training summaries. Those of two classes hold the session, which cannot travel
+    to tasks with the model once a plan of the session has been observed (StageCounts)."""
+    found = _classifier_of(model)
+    for each in found.models if isinstance(found, OneVsRestModel) else [found]:
+        if getattr(each, "hasSummary", False):
+            each._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
 
 
 def labels_of(model: PipelineModel | Boosted) -> list[str]:

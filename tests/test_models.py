@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.operators import boosting, calibration, models
+from readloom.operators.reads import StageCounts
 
 
 def labelled(spark, n=400, width=12, seed=2):
@@ -148,6 +149,18 @@ def test_kernel_separates_a_ring(spark, tmp_path):
     assert models.recall(models.load(f"{tmp_path}/ring"), df) == models.recall(ring, df)
 
 
+@pytest.mark.parametrize("kind", ["svm", "logistic", "forest"])
+def test_models_travel_after_an_observed_plan(spark, kind):
+    seen = StageCounts()
+    assert seen.watch(spark.range(5), "all").count() == 5 and seen.rows() == [("all", 5, 0)]
+    for labels in ("ab", "a"):
+        df = spark.createDataFrame([([k % 2, k % 3], labels[k % len(labels)]) for k in range(40)], "features array<int>, species string")
+        if kind == "svm" and labels == "a":
+            continue
+        model = models.fit(df, kind, **({"numTrees": 3} if kind == "forest" else {"maxIter": 5}))
+        assert models.predict(model, df).filter("predicted = species").count() == 40
+
+
 def test_searches_side_by_side(spark):
     df, _ = labelled(spark, 200, 5)
     df = df.filter("features is not null and species is not null").withColumn("k", F.xxhash64("features", "species"))
