@@ -23,7 +23,8 @@ from readloom.llm.common import give_back, materialize, parts, places, ship, spa
 from readloom.llm.components import connected_components
 from readloom.llm.verify import jaccard_links
 
-#: Rows of one segment value that a task compares by itself; larger groups are cut into pairs of blocks.
+#: Rows of one segment value that a task compares by itself; larger groups have finer keys, and what is still larger is
+#: cut into pairs of blocks.
 BLOCK = 4096
 SEGMENT_BITS = 32
 
@@ -175,13 +176,37 @@ def _link_runs(widths: list[str], radius: int, block: int):
     return run
 
 
-def _hot_links(hot: DataFrame, widths: list[str], radius: int, block: int) -> DataFrame:
-    """Links of the large groups: rows dealt to blocks, every pair of blocks compared in a task of its own."""
-    sizes = hot.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+def _finer(hot: DataFrame, width: str, radius: int) -> DataFrame:
+    """Rows of large segment groups under finer keys: the segment's key with each of radius + 1 pieces of the other
+    segment of the 64-bit fingerprint.
+
+    Two rows within `radius` bits differ by no more in the other segment, so one of its pieces is equal: no link is
+    lost, for radius + 1 rows each. Fingerprints are distinct, so a group that stays large after this is spread over the
+    remaining bits, of which few lie close together.
+    """
+    size = min(16, SEGMENT_BITS // (radius + 1))
+    first = F.shiftrightunsigned("key", SEGMENT_BITS) == 0
+    other = F.when(first, F.shiftrightunsigned(width, SEGMENT_BITS)).otherwise(F.col(width))
+    pieces = [
+        F.shiftrightunsigned(other, size * k).bitwiseAND(F.lit((1 << size) - 1)).cast("long") * F.lit(1 << 40) + F.lit(k << 36)
+        for k in range(radius + 1)
+    ]
+    return hot.withColumn("_piece", F.explode(F.array(*pieces))).withColumn("key", F.col("key") + F.col("_piece")).drop("_piece")
+
+
+def _dealt_blocks(hot: DataFrame, block: int) -> DataFrame:
+    """Rows of groups dealt to blocks, a copy for each pair of blocks (lo, hi); groups without a table row are out."""
+    sizes = hot.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("_n"), F.bool_and("asks").alias("_ask"))
+    sizes = sizes.filter("_n > 1 and not _ask").drop("_n", "_ask")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = hot.join(sizes, "key").withColumn("i", mine)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("*", other).withColumn("lo", F.least("i", "other")).withColumn("hi", F.greatest("i", "other"))
+    return dealt.select("*", other).withColumn("lo", F.least("i", "other")).withColumn("hi", F.greatest("i", "other"))
+
+
+def _hot_links(hot: DataFrame, widths: list[str], radius: int, block: int) -> DataFrame:
+    """Links of the large groups: rows dealt to blocks, every pair of blocks compared in a task of its own."""
+    dealt = _dealt_blocks(hot, block)
 
     def run(t: pa.Table) -> pa.Table:
         asks, node = t["asks"].to_numpy(), t["node"].to_numpy()
@@ -201,16 +226,20 @@ def hamming_links(fps: DataFrame, widths: list[str], radius: int, block: int = B
     """
     fields = ", ".join(f"{w} long" for w in widths)
     probes = fps.select("node", *widths).mapInArrow(_probes(widths), f"key long, asks boolean, node long, {fields}")
-    return _links_by_key(probes, widths, radius, block)
+    return _links_by_key(probes, widths, radius, block, segments=len(widths) == 1 and radius <= 3)
+
 
+def _links_by_key(probes: DataFrame, widths: list[str], radius: int, block: int, segments: bool = False) -> DataFrame:
+    """Spanning links (a, b) of the nodes that share a key, are not both asking, and lie within `radius` bits.
 
-def _links_by_key(probes: DataFrame, widths: list[str], radius: int, block: int) -> DataFrame:
-    """Spanning links (a, b) of the nodes that share a key, are not both asking, and lie within `radius` bits."""
+    segments: keys are those of a 64-bit fingerprint's two segments, whose large groups have finer keys."""
     fields = ", ".join(f"{w} long" for w in widths)
     dealt = probes.repartition(parts(probes.sparkSession), "key").sortWithinPartitions("key", "asks")
     out = f"key long, asks boolean, node long, {fields}, a long, b long"
     linked = materialize(dealt.mapInArrow(_link_runs(widths, radius, block), out), "hamming")
     hot = linked.filter("key is not null").select("key", "asks", "node", *widths)
+    if segments:
+        hot = _finer(hot, widths[0], radius)
     return linked.filter("key is null").select("a", "b").union(_hot_links(hot, widths, radius, block))
 
 

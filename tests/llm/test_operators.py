@@ -705,6 +705,35 @@ def test_hamming_links_find_all_components(spark, block):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
 
 
+@pytest.mark.parametrize(("shift", "radius"), [(0, 3), (32, 3), (0, 2), (32, 1)])
+def test_large_segment_groups_lose_no_link(spark, shift, radius):
+    rng = np.random.default_rng(shift + radius)
+    seeds = rng.integers(0, 2**32, 300, dtype=np.uint64)
+    near = seeds[rng.integers(0, 300, 1500)]
+    for _ in range(3):
+        near = near ^ (rng.integers(0, 2, 1500, dtype=np.uint64) << rng.integers(0, 32, 1500, dtype=np.uint64))
+    fps = np.unique((near << np.uint64(shift)) | (np.uint64(0x9E3779B9) << np.uint64(32 - shift)))
+    signed = fps.view(np.int64).tolist()
+    links = simhash_dedup.hamming_links(spark.createDataFrame([(x, x) for x in signed], "node long, fp long"), ["fp"], radius, 64).collect()
+    at = {x: k for k, x in enumerate(signed)}
+    close = [set(np.flatnonzero(np.bitwise_count(fps ^ x) <= radius).tolist()) for x in fps]
+    ends = [(at[r.a], at[r.b]) for r in links]
+    found = collections.defaultdict(set)
+    for a, b in ends:
+        found[a].add(b)
+    assert groups(len(fps), lambda i, j: j in close[i]) == groups(len(fps), lambda i, j: j in found[i] or i in found[j])
+
+
+def test_large_segment_groups_are_not_all_pairs(spark):
+    n = 50_000
+    hot = spark.range(n).select(F.lit(7).cast("long").alias("key"), F.lit(False).alias("asks"), F.col("id").alias("node"))
+    hot = hot.withColumn("fp", F.shiftleft(F.xxhash64("node"), 32) + 7)
+    plain = simhash_dedup._dealt_blocks(hot, 512).count()
+    assert plain > 90 * n
+    assert simhash_dedup._dealt_blocks(simhash_dedup._finer(hot, "fp", 3), 512).count() < 5 * n
+    assert simhash_dedup._dealt_blocks(hot.withColumn("asks", F.lit(True)), 512).count() == 0
+
+
 def test_one_of_each(docs, clashing, rows, empty):
     sets = [shingle_set(split(t)) if split(t) else frozenset() for _, t, *_ in rows]
     root = groups(len(rows), lambda x, y: sets[x] == sets[y] or bool(sets[x] and sets[y]) and jaccard(sets[x], sets[y]) >= 0.8)
