@@ -1,7 +1,8 @@
 """Read-to-reference alignment: an equi-join of minimizers, colinear chains, base-level extension, SAM records.
 
-Spark joins the sampled k-mers of reads and references, gathers each read's anchors, and brings each chain together with
-its reference's bases; the steps inside a row (sampling, chaining, extension) are small functions over Arrow batches.
+Reads of equal bases align alike, so each distinct sequence is aligned once and meets its reads at the end. Spark joins
+the sampled k-mers of sequences and references, gathers each sequence's anchors, and brings each chain together with its
+reference's bases; the steps inside a row (sampling, chaining, extension) are small functions over Arrow batches.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions.sequences import reverse_complement
+from readloom.sources.staging import materialize
 
 #: References whose bases are broadcast, at most; larger sets meet the reads by shuffled joins.
 BROADCAST_BASES = 8_000_000
@@ -31,7 +33,8 @@ _NONE = np.uint64((1 << 64) - 1)
 _CODE = np.full(256, 4, np.uint64)
 for _k, _pair in enumerate(("Aa", "Cc", "Gg", "Tt")):
     _CODE[[ord(c) for c in _pair]] = _k
-_KEYS = "id string, read_idx long, barcode string"
+#: Distinct sequences of a task that samples and chains, about.
+TASK_SEQUENCES = 20_000
 
 
 def minimizers(seqs: list[bytes], k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -259,38 +262,42 @@ def align(reads: DataFrame, references: DataFrame, k: int = 28, w: int = 10, bas
     if not 4 <= k <= 31:
         raise ValueError("k: 4 to 31 bases")
     keys = ["id", "read_idx", "barcode"]
-    asked = _sampled(reads, _KEYS, k, w)
+    texts = materialize(reads.select("sequence").filter("sequence is not null").distinct().withColumn("_n", F.monotonically_increasing_id()), "sequences")
+    parts = max(1, -(-texts.count() // TASK_SEQUENCES))
+    asked = _sampled(texts.repartition(parts, "_n"), "_n long", k, w)
     known = references.select("species", F.col("ref_id").cast("string").alias("ref_id"), F.upper("sequence").alias("sequence"))
+    known = materialize(known, "references")  # read three times
     index = _sampled(known, "species string, ref_id string", k, w).select("species", "ref_id", F.col("h").alias("_h"), F.col("at").alias("ref_at"), F.col("turned").alias("_t"))
     small = (known.agg(F.sum(F.length("sequence"))).first()[0] or 0) <= BROADCAST_BASES
     hits = asked.join(F.broadcast(index) if small else index, F.col("h") == F.col("_h"))
     anchor = F.struct("species", "ref_id", (F.col("turned") != F.col("_t")).alias("turned"), "ref_at", "at")
-    gathered = hits.groupBy(*keys).agg(F.collect_list(anchor).alias("anchors"))
-    quality = F.col("quality") if "quality" in reads.columns else F.lit(None).cast("string").alias("quality")
-    held = reads.select(*[F.col(c).alias(f"_{c}") for c in keys], "sequence", quality)
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-    rows = gathered.join(held, same).select(*keys, "sequence", "quality", "anchors")
-    chained = rows.mapInArrow(_chained(k), f"{_KEYS}, sequence string, quality string, species string, ref_id string, flag int, mapq int, score double, x array<int>, y array<int>")
+    gathered = hits.groupBy("_n").agg(F.collect_list(anchor).alias("anchors"))
+    rows = gathered.join(texts, "_n").select("sequence", "anchors")
+    chained = rows.mapInArrow(_chained(k), "sequence string, species string, ref_id string, flag int, mapq int, score double, x array<int>, y array<int>")
     known = known.select(F.col("species").alias("_s"), F.col("ref_id").alias("_r"), F.col("sequence").alias("ref"))
     met = chained.join(F.broadcast(known) if small else known, (F.col("species") == F.col("_s")) & (F.col("ref_id") == F.col("_r")))
     turned = F.when(F.col("flag").bitwiseAND(16) > 0, reverse_complement("sequence")).otherwise(F.col("sequence"))
     met = met.select(*chained.columns, F.upper(turned).alias("read"), "ref")
-    done = met.mapInArrow(_extended(k), f"{_KEYS}, sequence string, quality string, species string, ref_id string, flag int, mapq int, score double, n_anchors int, pos int, ref_end int, cigar string, nm int")
+    done = materialize(met.mapInArrow(_extended(k), "sequence string, species string, ref_id string, flag int, mapq int, score double, n_anchors int, pos int, ref_end int, cigar string, nm int"), "aligned")
     columns = [*keys, "species", "ref_id", "flag", "pos", "ref_end", "mapq", "score", "n_anchors", "cigar", "nm"]
-    return done.select(*columns, *(["sequence", "quality"] if bases else []))
+    quality = ["quality"] if "quality" in reads.columns else []
+    out = reads.select(*keys, "sequence", *quality).join(done, "sequence")
+    if not bases:
+        return out.select(*columns)
+    return out.select(*columns, "sequence", F.col("quality") if quality else F.lit(None).cast("string").alias("quality"))
 
 
 def _chained(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        names = ["id", "read_idx", "barcode", "sequence", "quality", "species", "ref_id", "flag", "mapq", "score", "x", "y"]
+        kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        names = ["sequence", "species", "ref_id", "flag", "mapq", "score", "x", "y"]
         for b in batches:
             out = []
             for r in b.to_pylist():
                 r["anchors"].sort(key=lambda a: a["species"])
                 for species, group in groupby(r["anchors"], key=lambda a: a["species"]):
                     for c in _ranked(list(group), len(r["sequence"]), k):
-                        out.append([r["id"], r["read_idx"], r["barcode"], r["sequence"], r["quality"], species, c["ref_id"], c["flag"], c["mapq"], c["score"], c["x"], c["y"]])
+                        out.append([r["sequence"], species, c["ref_id"], c["flag"], c["mapq"], c["score"], c["x"], c["y"]])
             yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], t) for j, t in enumerate(kinds)], names=names)
 
     return run
@@ -301,7 +308,7 @@ def _extended(k: int):
         for b in batches:
             cols = {n: b.column(n).to_pylist() for n in ("read", "ref", "x", "y")}
             found = [cigar_of(a.encode(), r.encode(), x, y, k) for a, r, x, y in zip(cols["read"], cols["ref"], cols["x"], cols["y"], strict=True)]
-            keep = ["id", "read_idx", "barcode", "sequence", "quality", "species", "ref_id", "flag", "mapq", "score"]
+            keep = ["sequence", "species", "ref_id", "flag", "mapq", "score"]
             made = {"n_anchors": (pa.int32(), list(map(len, cols["x"])))}
             made |= {n: (t, [f[j] for f in found]) for j, (n, t) in enumerate((("pos", pa.int32()), ("ref_end", pa.int32()), ("cigar", pa.string()), ("nm", pa.int32())))}
             yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], *[pa.array(v, t) for t, v in made.values()]], names=[*keep, *made])

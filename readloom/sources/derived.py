@@ -10,6 +10,8 @@ from readloom.sources.staging import shared_dir
 
 FORWARD, REVERSE_RC = "GCGGTAATTCCAGCTCCA", "CGTGTGCGCTTAATTGAGTG"
 _WRITTEN: dict[tuple[str, str], str] = {}
+#: Reads of a task and of a file: at most, and at least where there are cores to spare.
+MOST_READS, LEAST_READS = 100_000, 5_000
 
 
 def reads_sql(text: str) -> str:
@@ -37,12 +39,19 @@ def reads_sql(text: str) -> str:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """read_idx, id, barcode, sequence, quality for every event with an id."""
+    """read_idx, id, barcode, sequence, quality for every event with an id.
+
+    Ids are dealt evenly before reads are made of them: a row of events compresses to a few bytes, so one split of their
+    file would else be one task, and one row group of reads that all later scans take in one task too.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
         path = f"{shared_dir(spark)}/reads-{uuid.uuid4().hex}"
         view = f"events_{uuid.uuid4().hex}"
-        spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_id is not null").createOrReplaceTempView(view)
+        events = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_id is not null").select("event_id")
+        n = events.count()
+        parts = max(1, -(-n // MOST_READS), min(2 * spark.sparkContext.defaultParallelism, n // LEAST_READS))
+        events.repartition(parts, "event_id").createOrReplaceTempView(view)
         spark.sql(reads_sql("STRING").replace("from events)", f"from {view})")).write.parquet(path)
         spark.catalog.dropTempView(view)
         _WRITTEN[key] = path

@@ -229,3 +229,23 @@ def test_nothing_to_align(spark):
     assert align.align(none, refs).collect() == []
     with pytest.raises(ValueError):
         align.align(none, refs, k=40)
+
+
+def test_equal_reads_are_aligned_once_each_distinct_sequence(spark, monkeypatch, tmp_path):
+    """Three thousand reads of two sequences: chains and paths are made of two rows, and every read has its record."""
+    rng = random.Random(5)
+    ref = dna(rng, 200)
+    rows = [(i, f"@r{i}", "b", None if i == 7 else (ref[:150], ref[30:180])[i % 2]) for i in range(3000)]
+    reads = spark.createDataFrame(rows, "read_idx long, id string, barcode string, sequence string")
+    made, written = [], align.materialize
+
+    def watched(df, tag):
+        out = written(df, tag)
+        made.append((tag, out.count()))
+        return out
+
+    monkeypatch.setattr(align, "materialize", watched)
+    refs = spark.createDataFrame([("s", "r", ref)], "species string, ref_id string, sequence string")
+    got = {r.read_idx: (r.pos, r.ref_end, r.cigar, r.nm) for r in align.align(reads, refs, k=15, w=5).collect()}
+    assert made == [("sequences", 2), ("references", 1), ("aligned", 2)]
+    assert got == {i: ((0, 150, "150M", 0), (30, 180, "150M", 0))[i % 2] for i in range(3000) if i != 7}
