@@ -48,3 +48,22 @@ def test_nothing(spark):
     assert dictionary.search_dictionary(none, one, "k", "t").collect() == []
     text = spark.createDataFrame([(1, "acgt")], "k int, t string")
     assert dictionary.search_dictionary(text, one.limit(0), "k", "t").collect() == []
+
+
+def test_windows_that_no_seed_has_do_not_travel(spark):
+    """Of two hundred texts of a hundred bases each, few windows pass the filter; a full filter loses no match."""
+    rng = random.Random(3)
+    texts = [(k, "".join(rng.choices("acgt", k=100))) for k in range(200)]
+    frame = spark.createDataFrame(texts, "k int, t string")
+    seeds = dictionary.windows(spark.createDataFrame([(t[20:36],) for _, t in texts], "p string"), "p", [16])
+    kept = dictionary.windows(frame, "t", [16], dictionary.bit_filter(seeds, 200))
+    got = {(r.k, r["at"]) for r in kept.collect()}
+    assert {(k, 20) for k, _ in texts} <= got and len(got) < 2 * len(texts)
+
+
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(dictionary, "MOST_BITS", 7)
+    texts = [(k, "acgtacgtttgacca"[k % 9 :] * 3) for k in range(60)]
+    patterns = ["acg", "ttgacca", "tacgtttgaccaacgtacg", "gg"]
+    frames = spark.createDataFrame(texts, "k int, t string"), spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    assert sorted(map(tuple, dictionary.search_dictionary(*frames, "k", "t", most=0).collect())) == plain(texts, patterns)
