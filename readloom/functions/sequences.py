@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, SparkSession
@@ -39,10 +40,23 @@ def last_end(seq: str | Column, primers: list[str]) -> Column:
 
 
 def all_starts(seq: str | Column, word: str) -> Column:
-    """Every 0-based start of a word, overlaps included, in any case."""
-    low, m = F.lower(_col(seq)), len(word)
-    places = F.when(F.length(low) >= m, F.sequence(F.lit(0), F.length(low) - m)).otherwise(F.array().cast("array<int>"))
-    return F.filter(places, lambda i: F.substring(low, i + 1, F.lit(m)) == word.lower())
+    """Every 0-based start of a word, overlaps included, in any case.
+
+    The text is cut before each start once; starts are the running lengths of the pieces. Only the first piece may begin
+    without the word.
+    """
+    low, none = F.lower(_col(seq)), F.array().cast("array<int>")
+    if not word:
+        return F.when(low.isNull(), none).otherwise(F.sequence(F.lit(0), F.length(low)))
+    w = word.lower()
+    pieces = F.split(low, "(?=" + re.escape(w) + ")", -1)
+    begin = F.struct(F.lit(0).alias("at"), none.alias("starts"), F.startswith(low, F.lit(w)).alias("here"))
+    step = lambda s, p: F.struct(
+        (s["at"] + F.length(p)).alias("at"),
+        F.when(s["here"], F.array_append(s["starts"], s["at"])).otherwise(s["starts"]).alias("starts"),
+        F.lit(True).alias("here"),
+    )
+    return F.coalesce(F.aggregate(pieces, begin, step, lambda s: s["starts"]), none)
 
 
 def search_all(seq: str | Column, words: list[str]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from readloom import config
 from readloom.functions import sequences as fn
 from readloom.operators import reads as ops
+from readloom.sources import derived
 
 ROWS = [
     (0, "@r1", "ACGTACGTAC", "IIIII55555"),
@@ -167,3 +168,24 @@ def test_kmer_counts_of_any_letters(spark, k):
     want = collections.Counter(s[i : i + k] for s in seqs if s for i in range(len(s) - k + 1))
     assert {r.kmer: r.n for r in ops.kmer_counts(df, k).collect()} == want
     assert [r.kmer for r in ops.distinct_kmers(df, k).collect()] == sorted(want, key=lambda x: x.encode())
+
+
+def test_word_starts_read_the_text_once(spark):
+    """Overlaps, words at either end, signs of regular expressions, nothing; no step of the plan lower-cases a text for
+    each of its places."""
+    texts = ["CGCGCG", "xacgACG", "a.c.", "", None, "ÉCGÉcg日cg", "GGGG"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for word in ("CGCG", "acg", ".", "cg", "GG", ""):
+        low = [(t or "").lower() for t in texts]
+        want = [[] if t is None else [i for i in range(len(x) - len(word) + 1) if x.startswith(word.lower(), i)] for t, x in zip(texts, low, strict=True)]
+        assert [r[0] for r in df.select(fn.all_starts("s", word)).collect()] == want, word
+    plan = df.select(fn.all_starts("s", "acg").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan and plan.count("lower(") == 2
+
+
+def test_reads_are_spread_evenly(spark, tmp_path):
+    """Thirty thousand events of one small file become several files of reads, for as many tasks."""
+    spark.range(30_000).selectExpr("id as event_id", "id % 7 as user_id").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    made = derived.reads(spark, str(tmp_path))
+    per = [r[1] for r in made.groupBy(F.input_file_name()).count().collect()]
+    assert len(per) == 6 and sum(per) == 30_000 and max(per) < 6_000
