@@ -96,14 +96,32 @@ def _scale(train: DataFrame) -> float:
     return 1 / (size * row[0]) if row[0] else 1.0
 
 
+#: Rows of equal label and features that stay apart when trees learn: beyond, as many rows share the weight of all.
+EQUAL_ROWS = 64
+
+
+def _weighted(train: DataFrame, label: str) -> DataFrame:
+    """(label, features, weight): equal rows as EQUAL_ROWS rows at most, whose weights add up to the number of rows.
+
+    Trees keep all their rows in memory for each level, so reads of one sequence would else fill it over and over; enough
+    rows remain for bootstraps to draw from.
+    """
+    equal = train.groupBy(label, "features").agg(F.count("*").alias("n"))
+    shares = F.least("n", F.lit(EQUAL_ROWS)).cast("int")
+    return equal.select(label, "features", (F.col("n") / shares).alias("weight"), F.explode(F.sequence(F.lit(1), shares)).alias("_share")).drop("_share")
+
+
 def fit(train: DataFrame, kind: str = "forest", label: str = "species", **params) -> PipelineModel | Boosted:
     """Label index (alphabetical), classifier and names of predictions, for columns features and `label`.
 
     kind joint gives a Boosted model, which all functions here take too; rbf has the parameters gamma (by the features'
-    variance unless given), size and seed of its kernel features beside those of the linear classifier.
+    variance unless given), size and seed of its kernel features beside those of the linear classifier. forest and tree
+    learn from distinct rows with weights.
     """
     if kind == "joint":
         return fit_boosted(train, label, **params)
+    if kind in ("forest", "tree"):
+        train, params = materialize(_weighted(train, label), "weighted"), {"weightCol": "weight", **params}
     index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=[*index.labels, "unknown"])
     kernel = []

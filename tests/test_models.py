@@ -169,3 +169,14 @@ def test_searches_side_by_side(spark):
     assert one == many
     curves = [models.learning_curve(df, df, "k", (0.3, 1.0), parallelism=n, kind="tree", maxDepth=3) for n in (1, 2)]
     assert curves[0] == curves[1] and [n for n, _ in curves[0]] == [60, 200]
+
+
+def test_equal_rows_share_their_weight(spark):
+    """Trees learn from a bounded number of rows of one content, whose weights add up to all of them."""
+    rows = [("a", [1, 0])] * 1000 + [("b", [0, 1])] * 10 + [("b", [0, 2])]
+    train = spark.createDataFrame(rows, "species string, features array<int>")
+    weighted = models._weighted(train, "species")
+    got = {(r.species, tuple(r.features)): (r.n, r.w) for r in weighted.groupBy("species", "features").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert got == {("a", (1, 0)): (64, 1000.0), ("b", (0, 1)): (10, 10.0), ("b", (0, 2)): (1, 1.0)}
+    model = models.fit(train, numTrees=5, maxDepth=3)
+    assert models.predict(model, train).filter("species <> predicted").count() == 0
