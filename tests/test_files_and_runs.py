@@ -280,3 +280,29 @@ def test_knn_vote_beyond_one_broadcast(spark):
     far = [((x - v) ** 2).sum(1) for v in x]
     votes = [np.bincount(y[np.lexsort((np.arange(450), d))[:5]], minlength=3) for d in far]
     assert x.size > counts.QUERY_VALUES and got == {k: int(v.argmax()) for k, v in enumerate(votes)}
+
+
+def test_knn_vote_of_odd_vectors_as_in_sql(spark):
+    """Copies, ties, vectors of other lengths, missing elements and vectors: as the query's SQL has it."""
+    import duckdb
+
+    from readloom.plans import registry
+
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.integers(0, 4, 3).astype(float).tolist(), int(rng.integers(0, 3))) for k in range(700)]
+    rows += [(k, [1.0, 2.0, 3.0], 7 - k % 2) for k in range(700, 1000)]
+    rows += [(1000, None, 1), (1001, [2.0], 2), (1002, [], 0), (1003, [1.0, None, 2.0], 1), (1004, [1.0, 1.0, 1.0, 9.0], 1), (1020, [1.0], 0), (1040, [2.0, 2.0, 2.0, 2.0], 1)]
+    rows += [(1060, [None, 3.0, 3.0], 2), (1080, None, 2), (1100, [], 1), (1120, [float("nan"), 0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    asked = df.filter("vec_id % 20 = 0")
+    embeddings = df.toArrow()  # noqa: F841  read by DuckDB
+    want = dict(duckdb.sql(registry.ORACLES["knn_vote"]).fetchall())
+    assert {r.vec_id: r.prediction for r in counts.knn_vote(asked, df, "embedding", "label", "vec_id").collect()} == want
+
+
+def test_knn_vote_multiplies_blocks(spark):
+    """Rows of the plan between points and votes are k a query and block, not all pairs."""
+    df = spark.range(3000).select("id", F.array(F.sin("id"), F.cos("id")).alias("v"), (F.col("id") % 3).alias("y"))
+    out = counts.knn_vote(df.filter("id % 20 = 0"), df, "v", "y", "id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "zip_with" not in plan and out.count() == 150
