@@ -170,6 +170,28 @@ def test_kmer_counts_of_any_letters(spark, k):
     assert [r.kmer for r in ops.distinct_kmers(df, k).collect()] == sorted(want, key=lambda x: x.encode())
 
 
+def test_kmers_of_many_ranges_stay_in_order(spark, monkeypatch):
+    """Ranges and runs of a few codes: right counts, in order without a sort of strings, and no k-mer of its own in a
+    shuffle."""
+    import collections
+    import random
+
+    from readloom.operators import kmers
+
+    monkeypatch.setattr(kmers, "RANGE_CODES", 300)
+    monkeypatch.setattr(kmers, "RUN_CODES", 500)
+    rng = random.Random(5)
+    seqs = ["".join(rng.choices("ACGT", k=90)) for _ in range(60)] * 2 + ["A" * 2000, "ACGT" * 300, "", None]
+    df = spark.createDataFrame([(s,) for s in seqs], "sequence string").repartition(3)
+    want = collections.Counter(s[i : i + 21] for s in seqs if s for i in range(len(s) - 20))
+    assert {r.kmer: r.n for r in kmers.kmer_counts(df).collect()} == want
+    got = kmers.distinct_kmers(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert [r.kmer for r in got.collect()] == sorted(want) and got.rdd.getNumPartitions() > 10
+    assert "HashAggregate" not in plan and "rangepartitioning" not in plan
+    assert kmers.kmer_counts(df.limit(0)).count() == 0
+
+
 def test_word_starts_read_the_text_once(spark):
     """Overlaps, words at either end, signs of regular expressions, nothing; no step of the plan lower-cases a text for
     each of its places."""
