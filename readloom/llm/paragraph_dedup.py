@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm.common import give_back, materialize, ship, table
+from readloom.llm.common import give_back, materialize, parts, ship, table
 from readloom.llm.components import connected_components
 from readloom.llm.verify import jaccard_links
 
@@ -253,11 +253,14 @@ def name_filter(names: DataFrame, column: str) -> bytes:
 def line_groups(rows: DataFrame, seen: DataFrame, similarity: float, min_words: int) -> DataFrame:
     """(name, group) of the lines that have a near-duplicate; rows: the texts as one binary column."""
     banded = seen.filter("bands is not null").groupBy("name").agg(F.first("bands").alias("bands"))
-    keys = materialize(banded.select("name", F.explode_outer("bands").alias("key")), "bands")
+    # Both sides of this join read the same shuffle, in which a line has one narrow row a band.
+    keys = banded.select("name", F.explode_outer("bands").alias("key")).repartition(parts(rows.sparkSession), "key")
     alike = ("n", "least", "most", "mark")
     sizes = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("name").alias("least"), F.max("name").alias("most"), F.bit_xor(F.xxhash64("name")).alias("mark"))
-    once = materialize(sizes.filter("least <> most").groupBy(*alike).agg(F.min("key").alias("_key")).select("_key"), "colliding")
-    members = materialize(keys.join(once, F.col("key") == F.col("_key")).select(F.col("name").alias("_name"), F.col("key").alias("cluster")), "members")
+    sizes = sizes.filter("least <> most").withColumnRenamed("key", "_key")
+    shared = materialize(keys.join(sizes, F.col("key") == F.col("_key")).drop("_key"), "colliding")
+    once = shared.groupBy(*alike).agg(F.min("key").alias("_key")).select("_key")
+    members = materialize(shared.join(once, F.col("key") == F.col("_key")).select(F.col("name").alias("_name"), F.col("key").alias("cluster")), "members")
     run, schema = _grams(min_words, name_filter(members, "_name"))
     grams = rows.mapInArrow(run, schema).groupBy("name").agg(F.first("grams").alias("grams"))
     grams = grams.join(members, F.col("name") == F.col("_name")).select("cluster", F.col("name").alias("node"), "grams")

@@ -788,6 +788,21 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_bands_are_shuffled_once(spark, docs, monkeypatch):
+    """Bands are read back from a shuffle, not written and shuffled again to be joined with those that collide."""
+    written = {}
+    write = paragraph_dedup.materialize
+
+    def seen(df, tag):
+        written[tag] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, tag)
+
+    monkeypatch.setattr(paragraph_dedup, "materialize", seen)
+    paragraph_dedup.duplicate_paragraphs(docs).count()
+    assert "bands" not in written and "REPARTITION_BY_NUM" in written["colliding"]
+    assert not [x for x in written["colliding"].splitlines() if "hashpartitioning(key" in x and "REPARTITION_BY_NUM" not in x]
+
+
 # 10 -------------------------------------------------------------------------------------------------------------------
 
 
