@@ -2,11 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import materialize
 
+#: Links (8 MB of them) that one task settles by itself; more are contracted in rounds.
+FEW_LINKS = 1 << 19
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, least node reached) of all links of a task, for nodes that are not the least themselves."""
+    ends = [np.column_stack([c.to_numpy() for c in b.columns]) for b in batches]
+    if not ends:
+        return
+    ids, places = np.unique(np.concatenate(ends), return_inverse=True)
+    root = list(range(len(ids)))
+    for a, b in places.reshape(-1, 2).tolist():
+        while root[a] != a:
+            root[a] = a = root[root[a]]
+        while root[b] != b:
+            root[b] = b = root[root[b]]
+        root[max(a, b)] = min(a, b)
+    to = np.array(root)
+    while (to != to[to]).any():
+        to = to[to]
+    other = np.flatnonzero(to != np.arange(len(to)))
+    yield pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(ids[to[other]])], names=["u", "v"])
+
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(a, b) links of long node ids -> (node, component), component being the smallest node id reached.
@@ -15,12 +42,13 @@ def connected_components(links: DataFrame) -> DataFrame:
     gives an empty result. A round finds each node's least neighbour by an aggregation that combines before its
     shuffle, and joins it back to the links by a key that Spark deals anew, so that it can split the link list of a hub:
     no task needs it whole. A round is written to the shared folder, so a lost executor repeats one at most. Rounds go on
-    until nothing changes; their number grows with the logarithm of the longest chain.
+    until nothing changes, or no more than FEW_LINKS links are left, which one task settles; their number grows with the
+    logarithm of the longest chain.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     edges = materialize(edges, "links")
     state = _state(edges)
-    while state[0]:
+    while state[0] > FEW_LINKS:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.min("v").alias("m")).select(_dealt_anew("u").alias("w"), F.least("u", "m").alias("m"))
         large = edges.join(nearest, _dealt_anew("v") == nearest.w).select("u", F.col("m").alias("v")).filter("u <> v").distinct()
@@ -32,6 +60,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         before, state = state, _state(edges)
         if before == state:
             break
+    if 0 < state[0] <= FEW_LINKS:
+        edges = materialize(edges.coalesce(1).mapInArrow(_settled, "u long, v long"), "stars")
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 

@@ -788,6 +788,21 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 1 << 19])
+def test_components_in_rounds_and_at_once(spark, monkeypatch, few):
+    """A long chain in random order, negative ids and stars: the same with and without rounds; few links take one write
+    more, none a round."""
+    monkeypatch.setattr(components, "FEW_LINKS", few)
+    order = np.random.default_rng(4).permutation(300).tolist()
+    links = [(order[k], order[k + 1]) for k in range(299)] + [(-5, 1000), (1001, -5), (2000, 2001)]
+    written = []
+    write = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, tag: written.append(tag) or write(df, tag))
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(300), 0) | {-5: -5, 1000: -5, 1001: -5, 2000: 2000, 2001: 2000}
+    assert written == ["links", "stars"] if few else len(written) > 3
+
+
 def test_bands_are_shuffled_once(spark, docs, monkeypatch):
     """Bands are read back from a shuffle, not written and shuffled again to be joined with those that collide."""
     written = {}
