@@ -16,7 +16,7 @@ FEW_LINKS = 1 << 19
 
 
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, least node reached) of all links of a task, for nodes that are not the least themselves."""
+    """(node, least node reached) of all links of a task, the least nodes themselves included."""
     ends = [np.column_stack([c.to_numpy() for c in b.columns]) for b in batches]
     if not ends:
         return
@@ -31,8 +31,7 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     to = np.array(root)
     while (to != to[to]).any():
         to = to[to]
-    other = np.flatnonzero(to != np.arange(len(to)))
-    yield pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(ids[to[other]])], names=["u", "v"])
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[to])], names=["node", "component"])
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -43,11 +42,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     shuffle, and joins it back to the links by a key that Spark deals anew, so that it can split the link list of a hub:
     no task needs it whole. A round is written to the shared folder, so a lost executor repeats one at most. Rounds go on
     until nothing changes, or no more than FEW_LINKS links are left, which one task settles; their number grows with the
-    logarithm of the longest chain.
+    logarithm of the longest chain. Few links are written as they come, with no shuffle of theirs.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
     edges = materialize(edges, "links")
     state = _state(edges)
+    if state[0] > FEW_LINKS:
+        edges = materialize(edges.distinct(), "links")
+        state = _state(edges)
     while state[0] > FEW_LINKS:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.min("v").alias("m")).select(_dealt_anew("u").alias("w"), F.least("u", "m").alias("m"))
@@ -60,8 +62,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         before, state = state, _state(edges)
         if before == state:
             break
-    if 0 < state[0] <= FEW_LINKS:
-        edges = materialize(edges.coalesce(1).mapInArrow(_settled, "u long, v long"), "stars")
+    if state[0] <= FEW_LINKS:
+        return materialize(edges.coalesce(1).mapInArrow(_settled, "node long, component long"), "stars")
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 

@@ -293,12 +293,10 @@ def rare_prefix(grams: np.ndarray, levels: np.ndarray, similarity: float) -> np.
 
 
 def _slot_counts():
-    """Rows (part, task, counts): how many texts of a task have a shingle in each slot of the part, packed."""
+    """Rows (part, counts): how many texts of a task have a shingle in each slot of the part, packed."""
     from readloom.llm.paragraph_dedup import WordHashes, shingle_hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         give_back()
         words, counts = WordHashes(), np.zeros(1 << SLOT_BITS, "<i8")
         for b in batches:
@@ -307,27 +305,27 @@ def _slot_counts():
                 if split:
                     slots = np.unique(shingle_hashes([split], words)[0]) >> np.uint64(64 - SLOT_BITS)
                     np.add.at(counts, slots.astype(np.int64), 1)
-        task = TaskContext.get().partitionId()
         for part, some in enumerate(counts.reshape(SLOT_PARTS, -1)):
             if some.any():
-                cols = [pa.array([part], pa.int32()), pa.array([task % SLOT_PARTS], pa.int32()), pa.array([zlib.compress(some.tobytes(), 1)])]
-                yield pa.RecordBatch.from_arrays(cols, names=["part", "task", "counts"])
+                cols = [pa.array([part], pa.int32()), pa.array([zlib.compress(some.tobytes(), 1)])]
+                yield pa.RecordBatch.from_arrays(cols, names=["part", "counts"])
 
     return run
 
 
-def _summed_counts(t: pa.Table) -> pa.Table:
+def _summed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((1 << SLOT_BITS) // SLOT_PARTS, "<i8")
-    for c in t["counts"]:
-        total += np.frombuffer(zlib.decompress(c.as_py()), "<i8")
-    return pa.table({"part": t["part"][:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)])})
+    for b in batches:
+        part = b.column("part")[:1]
+        for c in b.column("counts"):
+            total += np.frombuffer(zlib.decompress(c.as_py()), "<i8")
+    yield pa.RecordBatch.from_arrays([part, pa.array([zlib.compress(total.tobytes(), 1)])], names=["part", "counts"])
 
 
 def slot_levels(texts: DataFrame) -> np.ndarray:
-    """Binary logarithm of each slot's count over one binary column of texts. The counts are added up in two steps, at
-    most some thousand packed rows at a time; the driver gets a row a part."""
-    counts = texts.mapInArrow(_slot_counts(), "part int, task int, counts binary")
-    counts = counts.groupBy("part", "task").applyInArrow(_summed_counts, "part int, counts binary")
+    """Binary logarithm of each slot's count over one binary column of texts. A part's packed counts, a row a task, are
+    added up batch by batch; the driver gets a row a part."""
+    counts = texts.mapInArrow(_slot_counts(), "part int, counts binary")
     counts = counts.groupBy("part").applyInArrow(_summed_counts, "part int, counts binary")
     out = np.zeros((SLOT_PARTS, (1 << SLOT_BITS) // SLOT_PARTS), np.uint8)
     for part, packed in counts.collect():

@@ -803,6 +803,32 @@ def test_components_in_rounds_and_at_once(spark, monkeypatch, few):
     assert written == ["links", "stars"] if few else len(written) > 3
 
 
+def test_few_links_are_not_shuffled(spark, monkeypatch):
+    """Each shuffle is a stage of all partitions, whose tasks the driver has to keep: few links, repeated ones among them,
+    go to their task without one, and what it writes is the result."""
+    plans, write = [], components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, tag: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, tag))
+    links = spark.createDataFrame([(3, 2), (2, 3), (2, 1), (2, 1), (9, 8), (5, 5), (None, 4)], "a long, b long")
+    out = components.connected_components(links)
+    assert sorted(out.collect()) == [(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)]
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and not any("Exchange" in x for x in plans)
+
+
+def test_slot_levels_take_one_shuffle(spark, docs, monkeypatch):
+    """Counts of every slot by brute force; each part's are added up in one step."""
+    texts = docs.select(F.col("text").cast("binary").alias("_b")).repartition(7)
+    words, counts = paragraph_dedup.WordHashes(), np.zeros(1 << simhash_dedup.SLOT_BITS, np.int64)
+    for (t,) in texts.collect():
+        if split := bytes(t or b"").lower().split():
+            grams = np.unique(paragraph_dedup.shingle_hashes([split], words)[0])
+            np.add.at(counts, (grams >> np.uint64(64 - simhash_dedup.SLOT_BITS)).astype(np.int64), 1)
+    grouped, group = [], type(texts).groupBy
+    monkeypatch.setattr(type(texts), "groupBy", lambda self, *c: grouped.append(c) or group(self, *c))
+    assert (simhash_dedup.slot_levels(texts) == np.frexp(counts)[1]).all()
+    assert grouped == [("part",)]
+
+
 def test_bands_are_shuffled_once(spark, docs, monkeypatch):
     """Bands are read back from a shuffle, not written and shuffled again to be joined with those that collide."""
     written = {}
